@@ -28,4 +28,6 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from lamina.plans import (  # noqa: F401
         gold_queries,
+        io_queries,
+        layer_queries,
     )
