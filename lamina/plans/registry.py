@@ -30,4 +30,5 @@ def load_all() -> None:
         gold_queries,
         io_queries,
         layer_queries,
+        ml_queries,
     )
