@@ -49,3 +49,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
         cond = c if cond is None else cond & c
     out = left.join(r, cond, how)
     return out.drop(*[f"__r_{k}" for k in keys])
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet under the shared checkpoint
+    folder and read it back. Later jobs start from these files instead of
+    recomputing the plan, and a lost executor only costs re-reading them."""
+    from lamina.session import work_path
+
+    path = work_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -31,4 +31,5 @@ def load_all() -> None:
         io_queries,
         layer_queries,
         ml_queries,
+        ml_train_queries,
     )
