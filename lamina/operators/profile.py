@@ -63,3 +63,10 @@ def duplicate_key_report(df: DataFrame, id_col: str, period_col: str,
     return (df.join(dup_ids, on=id_col, how="left_semi")
             .groupBy(period_col, id_col, *keys)
             .agg(F.count(F.lit(1)).alias(count_col)))
+
+
+def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:
+    """Guard: raise when ``df`` has no rows (reads at most one row)."""
+    if df.isEmpty():
+        raise ValueError(f"{what} is empty")
+    return df
