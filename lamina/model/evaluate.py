@@ -92,7 +92,7 @@ def below_sums(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
     within = per_score.withColumns({
         "in_pos": F.sum("n_pos").over(ws) - F.col("n_pos"),
         "in_neg": F.sum("n_neg").over(ws) - F.col("n_neg")})
-    j = within.join(sized_broadcast(offsets, 4_000_000), [*g, "__b"], "inner")
+    j = within.join(sized_broadcast(offsets, 4_000_000, derived=True), [*g, "__b"], "inner")
     return j.select(*g, score, "n_pos", "n_neg",
                     (F.col("off_pos") + F.col("in_pos")).alias("pos_below"),
                     (F.col("off_neg") + F.col("in_neg")).alias("neg_below"))

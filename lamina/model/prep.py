@@ -293,7 +293,7 @@ def apply_encoding(df: DataFrame, columns: Sequence[str], encoding: DataFrame,
                  .select(F.col("category").alias(cat),
                          *([F.col(fold_col).alias(f"__fold_{c}")] if fold_col else []),
                          F.col("encoding").alias(enc)))
-        table = sized_broadcast(table, max_broadcast_rows)
+        table = sized_broadcast(table, max_broadcast_rows, derived=True)
         left = out.withColumn(cat, F.col(c).cast("string"))
         keys = [cat]
         if fold_col:

@@ -98,7 +98,8 @@ def exact_rank(df: DataFrame, part: str, id_col: str, salt: str = SPLIT_SALT,
         (F.sum("__n").over(w) - F.col("__n")).alias("__off"),
         F.sum("__n").over(Window.partitionBy(part)).alias(size_col))
     inner = Window.partitionBy(part, "__b").orderBy("__u", id_col)
-    ranked = keyed.join(sized_broadcast(offsets, broadcast_rows), [part, "__b"], "left")
+    ranked = keyed.join(sized_broadcast(offsets, broadcast_rows, derived=True),
+                        [part, "__b"], "left")
     return (ranked.withColumn(rank_col, F.col("__off") + F.row_number().over(inner) - 1)
             .drop("__u", "__b", "__off"))
 

@@ -26,7 +26,8 @@ def join_indicators(fact: DataFrame, indicators: DataFrame,
     side is broadcast only when proven small; otherwise a shuffle join (AQE
     splits a hot key's partition)."""
     ind = drop_overlap(indicators, fact, keys)
-    return fact.join(sized_broadcast(ind, max_broadcast_rows), list(keys), "left")
+    return fact.join(sized_broadcast(ind, max_broadcast_rows, derived=True), list(keys),
+                     "left")
 
 
 def group_rate(df: DataFrame, group: str, outcome: str, prior_pos: float = 5.0,

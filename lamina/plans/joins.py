@@ -10,22 +10,43 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_BOUND_PROOFS: dict[tuple, bool] = {}
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: the scan stops once the bound is
-    passed, so the check costs at most ``max_rows + 1`` rows, not the table.
+    Runs ``limit(max_rows + 1).count()``: each partition stops once it passes
+    the bound, so the check reads at most ``max_rows + 1`` rows per partition.
+    The answer is remembered per session and plan (``semanticHash``), so a
+    dimension used by many queries is proven once; inputs are taken to be
+    immutable while a session runs.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _BOUND_PROOFS:
+        _BOUND_PROOFS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _BOUND_PROOFS[key]
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    derived: bool = False) -> DataFrame:
     """Broadcast hint if the frame is proven small, else leave it to a shuffle join.
 
     Above the bound Spark plans a sort-merge join on the keys; with AQE on it can
     still convert to broadcast at runtime or split skewed partitions.
+
+    ``derived=True`` is for frames computed from big inputs (aggregates): the
+    frame is persisted before the check, so proving its size and using it in
+    the join share one computation instead of repeating the upstream work.
+    A derived frame that turns out large is released again.
     """
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
+    if not derived:
+        return F.broadcast(df) if bounded_rows(df, max_rows) else df
+    cached = df.persist()
+    if bounded_rows(cached, max_rows):
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -42,7 +63,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """Equi-join on ``keys`` with null == null, keeping one copy of the keys."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
-    r = sized_broadcast(r, max_rows)
+    r = sized_broadcast(r, max_rows, derived=True)
     cond = None
     for k in keys:
         c = left[k].eqNullSafe(r[f"__r_{k}"])
