@@ -27,6 +27,7 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from lamina.plans import (  # noqa: F401
+        batch_queries,
         gold_queries,
         io_queries,
         layer_queries,
