@@ -53,8 +53,9 @@ def enrich(fact: DataFrame, dim: DataFrame, key: str, on_duplicate: str = "fanou
             raise ValueError(f"dimension key {key!r} is not unique")
     elif on_duplicate == "first":
         dim = dim.groupBy(key).agg(*[F.min(c).alias(c) for c in others])
-    return fact.join(sized_broadcast(dim, max_broadcast_rows, derived=True), on=key,
-                     how="left")
+    # not persisted: an in-memory dimension would stop Spark from reusing the
+    # fact's exchanges across branches (e.g. the levels of the indicator block)
+    return fact.join(sized_broadcast(dim, max_broadcast_rows), on=key, how="left")
 
 
 def fill_defaults(df: DataFrame, codes: Sequence[str] = (), texts: Sequence[str] = (),

@@ -23,6 +23,7 @@ from lamina.plans import ml_queries as mq
 from lamina.plans.joins import materialize
 from lamina.plans.registry import register
 from lamina.session import work_path
+from lamina.sources import sinks
 
 PARTITIONS = 4          # fixed training layout so seeded tree models repeat
 EXPLAIN_ROWS = 250      # rows explained by sampled Shapley values (a sample by design)
@@ -131,7 +132,11 @@ def q_score_batch(spark, sf_dir):
         round_half_up(F.col(wf.SCORE) * 100, 2).alias("score_pct"))
     s = s.withColumn("risk_tier", risk_tier("score_pct"))
     original = model_frame(spark, sf_dir).drop("split", "fold")
-    return original.join(s, "entity_id", "inner")
+    scored = original.join(s, "entity_id", "inner")
+    # the scored rows are published as a table (errors propagate, nothing swallowed)
+    path = work_path(spark, "scored")
+    sinks.write_table(scored, path)
+    return sinks.read_back(spark, path)
 
 
 @register("model_roundtrip")
