@@ -78,7 +78,7 @@ def fold_id(id_col: str, k: int = 5, salt: str = FOLD_SALT) -> Column:
 
 
 def exact_rank(df: DataFrame, part: str, id_col: str, salt: str = SPLIT_SALT,
-               bucket_bits: int = 16, rank_col: str = "rank", size_col: str = "part_size",
+               bucket_bits: int = 20, rank_col: str = "rank", size_col: str = "part_size",
                broadcast_rows: int = 4_000_000) -> DataFrame:
     """0-based rank of every row inside its ``part`` (e.g. class) ordered by
     (hash, id), computed without a single-task global window.
@@ -86,7 +86,9 @@ def exact_rank(df: DataFrame, part: str, id_col: str, salt: str = SPLIT_SALT,
     Rows go to 2^bucket_bits hash buckets; per (part, bucket) counts are tiny
     and their running sums give each bucket's offset; the rank inside a bucket
     is a window over that bucket alone. The hash is uniform, so buckets are
-    even whatever the skew of the data: raise ``bucket_bits`` as data grows.
+    even whatever the skew of the data. With 2^20 buckets the offset table is
+    at most 2^20 rows per part (broadcast) and at 10^12 rows a bucket window
+    holds about 5 * 10^5 rows.
     """
     u = hash_u32(id_col, salt)
     shift = 32 - bucket_bits
