@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lamina import fixed
+
 # Fixed labels used by the decoders and defaults (domain-neutral wording).
 UNKNOWN = "Unknown"
 NOT_INFORMED = "Not informed"
@@ -22,7 +24,7 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_up(c: str | Column, digits: int = 2) -> Column:
+def round_half_up(c: str | Column, digits: int = fixed.DECIMALS) -> Column:
     """Round half away from zero on the decimal value of a double.
 
     The detour through DECIMAL(28,8) removes binary noise first, so Spark and
@@ -41,7 +43,7 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col(num).cast("double"), col(den))
 
 
-def percent(num: str | Column, den: str | Column, digits: int = 2) -> Column:
+def percent(num: str | Column, den: str | Column, digits: int = fixed.DECIMALS) -> Column:
     return round_half_up(ratio(num, den) * F.lit(100), digits)
 
 
@@ -71,8 +73,8 @@ def threshold_flag(c: str | Column, threshold: float) -> Column:
     return F.when(col(c) >= F.lit(threshold), F.lit(1)).otherwise(F.lit(0))
 
 
-def risk_tier(score_pct: str | Column, high_below: float = 45.0,
-              low_from: float = 70.0) -> Column:
+def risk_tier(score_pct: str | Column, high_below: float = fixed.RISK_HIGH_BELOW,
+              low_from: float = fixed.RISK_LOW_FROM) -> Column:
     """Tier of a class-1 probability in percent: low probability = high risk."""
     s = col(score_pct)
     return (F.when(s < F.lit(high_below), F.lit("High"))

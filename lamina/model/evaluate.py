@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina import fixed
 from lamina.functions.exprs import round_fine
 from lamina.plans.joins import sized_broadcast
 
@@ -123,12 +124,13 @@ def roc_curve_points(df: DataFrame, label: str, score: str, bits: int = 16) -> D
                     round_fine(tpr).alias("tpr"))
 
 
-def threshold_grid(start: int = 40, count: int = 36, div: int = 100) -> list[float]:
+def threshold_grid(start: int = fixed.SWEEP_START_PCT, count: int = fixed.SWEEP_POINTS,
+                   div: int = fixed.SWEEP_DIVISOR) -> list[float]:
     return [(start + i) / div for i in range(count)]
 
 
-def threshold_sweep(df: DataFrame, label: str, score: str, start: int = 40, count: int = 36,
-                    div: int = 100) -> DataFrame:
+def threshold_sweep(df: DataFrame, label: str, score: str, start: int = fixed.SWEEP_START_PCT,
+                    count: int = fixed.SWEEP_POINTS, div: int = fixed.SWEEP_DIVISOR) -> DataFrame:
     """Class-0 F1 at thresholds (start+i)/div, predicting 1 when score >= t.
 
     Each row gets j = number of thresholds <= its score (JVM-side
@@ -157,7 +159,7 @@ def threshold_sweep(df: DataFrame, label: str, score: str, start: int = 40, coun
     return out
 
 
-def best_threshold(sweep: DataFrame, default: float = 0.5) -> DataFrame:
+def best_threshold(sweep: DataFrame, default: float = fixed.DEFAULT_THRESHOLD) -> DataFrame:
     """Highest class-0 F1, the lowest threshold on ties; ``default`` if all 0."""
     best = sweep.orderBy(F.col("f1_class0").desc(), F.col("threshold").asc()).limit(1)
     return best.select(
@@ -165,7 +167,7 @@ def best_threshold(sweep: DataFrame, default: float = 0.5) -> DataFrame:
         .alias("threshold"), "f1_class0")
 
 
-def best_threshold_value(sweep: DataFrame, default: float = 0.5) -> float:
+def best_threshold_value(sweep: DataFrame, default: float = fixed.DEFAULT_THRESHOLD) -> float:
     return float(best_threshold(sweep, default).first()["threshold"])
 
 
@@ -197,7 +199,8 @@ def classification_report(df: DataFrame, label: str, score: str,
 
 
 def binary_metrics(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
-                   threshold: float = 0.5, strict: bool = True, bits: int = 16) -> DataFrame:
+                   threshold: float = fixed.DEFAULT_THRESHOLD, strict: bool = True,
+                   bits: int = 16) -> DataFrame:
     """accuracy, f1 (class 1), f1_macro, recall_class0 at the model's own rule
     (class 1 when p > 0.5) and ROC-AUC, per group."""
     cells = metric_columns(confusion_cells(df, label, score, threshold, strict, group))

@@ -12,12 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina import fixed
 from lamina.plans.joins import sized_broadcast
 
 TWO_32 = 4294967296.0
-SAMPLE_SALT = "|sample42"
-SPLIT_SALT = "|split42"
-FOLD_SALT = "|fold42"
+SAMPLE_SALT = f"|sample{fixed.SEED}"
+SPLIT_SALT = f"|split{fixed.SEED}"
+FOLD_SALT = f"|fold{fixed.SEED}"
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -46,8 +47,9 @@ def sample_stratified_hash(df: DataFrame, label: str, fractions: dict, id_col: s
     return df.filter(cond)
 
 
-def sample_to_target(df: DataFrame, label: str, classes: Sequence, target_rows: int,
-                     id_col: str, salt: str = SAMPLE_SALT) -> DataFrame:
+def sample_to_target(df: DataFrame, label: str, classes: Sequence, id_col: str,
+                     target_rows: int = fixed.SAMPLE_TARGET_ROWS,
+                     salt: str = SAMPLE_SALT) -> DataFrame:
     """Sample down to about ``target_rows`` with the same fraction per class,
     only when the frame is larger (the count is one scalar job)."""
     total = df.count()
@@ -57,12 +59,14 @@ def sample_to_target(df: DataFrame, label: str, classes: Sequence, target_rows:
     return sample_stratified_hash(df, label, {c: frac for c in classes}, id_col, salt)
 
 
-def sample_bernoulli(df: DataFrame, label: str, fractions: dict, seed: int = 42) -> DataFrame:
+def sample_bernoulli(df: DataFrame, label: str, fractions: dict,
+                     seed: int = fixed.SEED) -> DataFrame:
     """Spark's own stratified Bernoulli sampler (partition-dependent)."""
     return df.sampleBy(label, fractions=fractions, seed=seed)
 
 
-def split_hash(df: DataFrame, id_col: str, train_pct: int = 70, valid_pct: int = 15,
+def split_hash(df: DataFrame, id_col: str, train_pct: int = fixed.TRAIN_PCT,
+               valid_pct: int = fixed.VALIDATION_PCT,
                salt: str = SPLIT_SALT, split_col: str = "split") -> DataFrame:
     """Bucket 0..99 of the hash: [0, train) train, then validation, rest test.
     Stratified in expectation (the hash ignores the label)."""
@@ -73,7 +77,7 @@ def split_hash(df: DataFrame, id_col: str, train_pct: int = 70, valid_pct: int =
                          .otherwise(F.lit(TEST)))
 
 
-def fold_id(id_col: str, k: int = 5, salt: str = FOLD_SALT) -> Column:
+def fold_id(id_col: str, k: int = fixed.ENCODER_FOLDS, salt: str = FOLD_SALT) -> Column:
     return (hash_u32(id_col, salt) % k).cast("int")
 
 
@@ -106,8 +110,8 @@ def exact_rank(df: DataFrame, part: str, id_col: str, salt: str = SPLIT_SALT,
             .drop("__u", "__b", "__off"))
 
 
-def split_exact(df: DataFrame, label: str, id_col: str, train_pct: int = 70,
-                valid_pct: int = 15, salt: str = SPLIT_SALT,
+def split_exact(df: DataFrame, label: str, id_col: str, train_pct: int = fixed.TRAIN_PCT,
+                valid_pct: int = fixed.VALIDATION_PCT, salt: str = SPLIT_SALT,
                 split_col: str = "split") -> DataFrame:
     """Exact per-class proportions: in class c of size n, rank < floor(n*70/100)
     is train, rank < floor(n*85/100) validation, the rest test (integer

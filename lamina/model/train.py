@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina import fixed
+
 
 def class_weights(df: DataFrame, label: str, weight_cols: bool = True) -> DataFrame:
     """Balanced weights n / (2 n_c) and the positive-class scale n_neg / max(1, n_pos)."""
@@ -40,25 +42,19 @@ class Candidate:
     params: dict
 
 
-# Reference hyper-parameters (fixed values of the benchmark stage).
 REFERENCE_CANDIDATES = (
-    Candidate("logreg", "logistic", {"maxIter": 1000, "C": 1.0}),
-    Candidate("rf", "forest", {"numTrees": 120, "maxDepth": 14, "subsamplingRate": 0.75}),
-    Candidate("xgb", "boosted", {"maxIter": 160, "stepSize": 0.06, "maxDepth": 6}),
+    Candidate("logreg", "logistic", dict(fixed.LOGISTIC_PARAMS)),
+    Candidate("rf", "forest", dict(fixed.FOREST_PARAMS)),
+    Candidate("xgb", "boosted", dict(fixed.BOOSTED_PARAMS)),
 )
 
-# Random-search grids of the tuning stage (fixed values).
-SEARCH_GRIDS = {
-    "boosted": {"maxIter": [120, 200], "maxDepth": [5, 7, 9], "stepSize": [0.03, 0.06],
-                "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.7", "0.9"]},
-    "forest": {"numTrees": [100, 160], "maxDepth": [12, 18], "minInstancesPerNode": [5, 10]},
-    "logistic": {"C": [0.1, 1.0, 5.0]},
-}
+SEARCH_GRIDS = {"boosted": fixed.BOOSTED_GRID, "forest": fixed.FOREST_GRID,
+                "logistic": fixed.LOGISTIC_GRID}
 
 
 def make_classifier(kind: str, params: dict, features_col: str = "features",
                     label_col: str = "label", weight_col: str | None = "weight",
-                    n_train: int | None = None, seed: int = 42):
+                    n_train: int | None = None, seed: int = fixed.SEED):
     """Spark ML estimator for a candidate. ``C`` (inverse L2 strength) maps to
     regParam = 1 / (C * n) for an unscaled sum-of-losses objective."""
     from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
@@ -87,7 +83,8 @@ def make_classifier(kind: str, params: dict, features_col: str = "features",
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def sample_param_maps(grid: dict, n_iter: int = 3, seed: int = 42) -> list[dict]:
+def sample_param_maps(grid: dict, n_iter: int = fixed.SEARCH_DRAWS,
+                      seed: int = fixed.SEED) -> list[dict]:
     """``n_iter`` distinct points drawn without replacement from the grid."""
     keys = sorted(grid)
     points = [{}]

@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina import fixed
 from lamina.model import evaluate as ev
 from lamina.model import split as sp
 from lamina.model.stages import (CrossFitTargetEncoder, MedianImputer, ModeImputer,
@@ -27,7 +28,7 @@ LABEL = "label"
 WEIGHT = "weight"
 OOF_FLAG = "__oof"
 SCORE = "p1"
-CV_SALT = "|cv42"
+CV_SALT = f"|cv{fixed.SEED}"
 
 
 @dataclass
@@ -114,8 +115,9 @@ def benchmark(data: ModelData, candidates: Sequence[Candidate] = REFERENCE_CANDI
     return metrics, models, best
 
 
-def random_search(data: ModelData, cand: Candidate, grid: dict | None = None, n_iter: int = 3,
-                  n_folds: int = 3, seed: int = 42, partitions: int | None = None):
+def random_search(data: ModelData, cand: Candidate, grid: dict | None = None,
+                  n_iter: int = fixed.SEARCH_DRAWS, n_folds: int = fixed.SEARCH_FOLDS,
+                  seed: int = fixed.SEED, partitions: int | None = None):
     """Randomised search over the candidate's grid: ``n_iter`` draws, each
     scored by mean ROC-AUC over ``n_folds`` hash folds of the training rows
     (fit on the others, evaluated with full-fit encodings), then the best

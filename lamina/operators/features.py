@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from lamina import fixed
 from lamina.plans.joins import DEFAULT_BROADCAST_ROWS, join_null_safe, sized_broadcast
 
 INDICATOR_JOIN_KEYS = ("period", "region_code", "area_code", "segment_code")
@@ -30,8 +31,9 @@ def join_indicators(fact: DataFrame, indicators: DataFrame,
                      "left")
 
 
-def group_rate(df: DataFrame, group: str, outcome: str, prior_pos: float = 5.0,
-               prior_n: float = 10.0, exclude_self: bool = False,
+def group_rate(df: DataFrame, group: str, outcome: str,
+               prior_pos: float = fixed.RATE_PRIOR_POSITIVES,
+               prior_n: float = fixed.RATE_PRIOR_COUNT, exclude_self: bool = False,
                rate_col: str = "group_rate", volume_col: str = "group_volume",
                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Smoothed outcome rate of each row's group: (sum(y) + a) / (count(y) + b)

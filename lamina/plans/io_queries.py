@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lamina import fixed
 from lamina.functions.exprs import threshold_flag
 from lamina.operators import ingest as ing
 from lamina.plans import oracle as sql
@@ -122,14 +123,16 @@ def q_json_props_extract(spark, sf_dir):
 # -- event expressions -------------------------------------------------------------
 
 
-@register("threshold_label", """
-SELECT event_id, CAST(730 + event_id AS DOUBLE) AS measure,
-       CASE WHEN CAST(730 + event_id AS DOUBLE) >= 743 THEN 1 ELSE 0 END AS label
+@register("threshold_label", f"""
+SELECT event_id, CAST({fixed.SIM_MEASURE_OFFSET} + event_id AS DOUBLE) AS measure,
+       CASE WHEN CAST({fixed.SIM_MEASURE_OFFSET} + event_id AS DOUBLE) >= {fixed.LABEL_THRESHOLD}
+            THEN 1 ELSE 0 END AS label
 FROM events""")
 def q_threshold_label(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
-    m = (F.lit(730) + F.col("event_id")).cast("double")
-    return ev.select("event_id", m.alias("measure"), threshold_flag(m, 743).alias("label"))
+    m = (F.lit(fixed.SIM_MEASURE_OFFSET) + F.col("event_id")).cast("double")
+    return ev.select("event_id", m.alias("measure"),
+                     threshold_flag(m, fixed.LABEL_THRESHOLD).alias("label"))
 
 
 @register("event_key_unique", """

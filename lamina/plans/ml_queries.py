@@ -108,13 +108,15 @@ def q_class_balance(spark, sf_dir):
 
 # -- sampling and splitting ------------------------------------------------------------
 
+# query parameter (the library default is fixed.SAMPLE_TARGET_ROWS, which would not
+# sample a table this small): exercises the sampling path on the driver tables
 SAMPLE_TARGET_ROWS = 5000
 
 
 @register("sample_stratified_hash", sql.sample_sql(SAMPLE_TARGET_ROWS))
 def q_sample_stratified_hash(spark, sf_dir):
     mf = model_base(spark, sf_dir)
-    return sp.sample_to_target(mf, LABEL, [0, 1], SAMPLE_TARGET_ROWS, "entity_id").select(
+    return sp.sample_to_target(mf, LABEL, [0, 1], "entity_id", SAMPLE_TARGET_ROWS).select(
         "entity_id", LABEL)
 
 

@@ -13,6 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina import fixed
 from lamina.functions.exprs import risk_tier, round_fine, round_half_up
 from lamina.model import evaluate as ev
 from lamina.model import split as sp
@@ -26,7 +27,7 @@ from lamina.session import work_path
 from lamina.sources import sinks
 
 PARTITIONS = 4          # fixed training layout so seeded tree models repeat
-EXPLAIN_ROWS = 250      # rows explained by sampled Shapley values (a sample by design)
+EXPLAIN_ROWS = fixed.EXPLAIN_ROWS  # rows explained by sampled Shapley values (a sample)
 EXPLAIN_SALT = "|explain42"
 
 _CACHE: dict = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lamina import fixed
 from lamina.plans.oracle import AREA_CTE, rf, with_gold
 
 NUMERIC = ("region_code", "segment_code", "n_total", "n_known", "prev_n_total",
@@ -322,9 +323,9 @@ UNION ALL SELECT 'weighted avg', {rf('p0 * w0 + p1 * w1')}, {rf('r0 * w0 + r1 *
 RISK_TIER = "WITH " + EVAL_CTE + f""",
 pct AS (SELECT entity_id, outcome, score_price, {rn('score_price * 100', 2)} AS score_pct FROM ev_test)
 SELECT entity_id, outcome, score_price, score_pct,
-       CASE WHEN score_pct < 45.0 THEN 'High'
-            WHEN score_pct >= 45.0 AND score_pct < 70.0 THEN 'Medium'
-            WHEN score_pct >= 70.0 THEN 'Low' ELSE 'N/A' END AS risk_tier
+       CASE WHEN score_pct < {fixed.RISK_HIGH_BELOW} THEN 'High'
+            WHEN score_pct >= {fixed.RISK_HIGH_BELOW} AND score_pct < {fixed.RISK_LOW_FROM} THEN 'Medium'
+            WHEN score_pct >= {fixed.RISK_LOW_FROM} THEN 'Low' ELSE 'N/A' END AS risk_tier
 FROM pct"""
 
 ATTRIBUTION_WEIGHTS = {"score_price": 2.0, "score_inverse": -1.0, "score_group": 3.0}

@@ -30,11 +30,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if EXACT else round(v, 9)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())
@@ -85,12 +88,17 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str, max_show: int = 5)
 
 
 def main(argv):
-    from lamina.session import local_session
     import __spark_entry__ as entry
+    from lamina.session import local_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = local_session()
+    if os.environ.get("ORACLE_DEFAULT_SESSION") == "1":  # as a driver would build it
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = local_session()
     con = duck(sf_dir)
     qs = entry.queries()
     sqls = entry.oracle_sql()
