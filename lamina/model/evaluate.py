@@ -18,9 +18,6 @@ from lamina import fixed
 from lamina.functions.exprs import round_fine
 from lamina.plans.joins import sized_broadcast
 
-LABELS_POSITIVE_FIRST = ("1", "0")
-
-
 def _safe(num: Column, den: Column) -> Column:
     """num / den, 0 when den is 0 (zero-division -> 0 convention)."""
     return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den)

@@ -12,7 +12,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -303,7 +302,3 @@ def apply_encoding(df: DataFrame, columns: Sequence[str], encoding: DataFrame,
                .withColumn(c, F.coalesce(F.col(enc), dflt))
                .drop(*keys, enc))
     return out
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

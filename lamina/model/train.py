@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lamina import fixed
 
 
-def class_weights(df: DataFrame, label: str, weight_cols: bool = True) -> DataFrame:
+def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (2 n_c) and the positive-class scale n_neg / max(1, n_pos)."""
     y = F.col(label)
     cnt = df.where(y.isNotNull()).agg(
@@ -30,11 +30,6 @@ def class_weights(df: DataFrame, label: str, weight_cols: bool = True) -> DataFr
     })
 
 
-def with_weight(df: DataFrame, label: str, w0: float, w1: float,
-                weight_col: str = "weight") -> DataFrame:
-    return df.withColumn(weight_col, F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0)))
-
-
 @dataclass
 class Candidate:
     name: str

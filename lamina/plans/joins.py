@@ -49,15 +49,6 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return df
 
 
-def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    """Join condition where null keys match each other (``<=>``)."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Equi-join on ``keys`` with null == null, keeping one copy of the keys."""

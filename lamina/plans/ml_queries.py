@@ -4,7 +4,7 @@ evaluation of a score (no trained model needed)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions.exprs import risk_tier, round_fine, round_half_up
@@ -306,4 +306,4 @@ def q_attribution_linear(spark, sf_dir):
                               frame.where(F.col("split") == sp.TRAIN), sql.ATTRIBUTION_WEIGHTS)
 
 
-__all__ = ["model_frame", "model_base", "eval_frame", "Window"]
+__all__ = ["model_frame", "model_base", "eval_frame"]
