@@ -2,9 +2,9 @@
 
 Nothing is collected: confusion cells are conditional counts; ROC-AUC and the
 ROC curve need running sums over the score order, which are computed per
-score bucket (a fixed grid over [0, 1]) so no window ever spans all rows:
-the bucket table is at most 2^bits + 1 rows per group, and each bucket's own
-window holds only the distinct scores that fall in it.
+score bucket (a fixed grid of 2^20 cells over [0, 1]) so no window ever spans
+all rows: the bucket table is at most 2^20 + 1 rows per group (broadcast), and
+each bucket's own window holds only the distinct scores that fall in it.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def _grid_bucket(score: Column, bits: int) -> Column:
 
 
 def below_sums(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
-               bits: int = 16) -> DataFrame:
+               bits: int = 20) -> DataFrame:
     """Per (group, distinct score): n_pos, n_neg and the counts of positives /
     negatives with a strictly lower score, without a global window."""
     y = F.col(label)
@@ -90,14 +90,14 @@ def below_sums(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
     within = per_score.withColumns({
         "in_pos": F.sum("n_pos").over(ws) - F.col("n_pos"),
         "in_neg": F.sum("n_neg").over(ws) - F.col("n_neg")})
-    j = within.join(sized_broadcast(offsets, 4_000_000, derived=True), [*g, "__b"], "inner")
+    j = within.join(sized_broadcast(offsets, 8_000_000, derived=True), [*g, "__b"], "inner")
     return j.select(*g, score, "n_pos", "n_neg",
                     (F.col("off_pos") + F.col("in_pos")).alias("pos_below"),
                     (F.col("off_neg") + F.col("in_neg")).alias("neg_below"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
-            bits: int = 16) -> DataFrame:
+            bits: int = 20) -> DataFrame:
     """Exact ROC-AUC (Mann-Whitney, ties count one half) per group."""
     s = below_sums(df, label, score, group, bits)
     wins = F.col("n_pos").cast("double") * (F.col("neg_below").cast("double")
@@ -108,7 +108,7 @@ def roc_auc(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
     return out.select(*group, round_fine(auc).alias("roc_auc"))
 
 
-def roc_curve_points(df: DataFrame, label: str, score: str, bits: int = 16) -> DataFrame:
+def roc_curve_points(df: DataFrame, label: str, score: str, bits: int = 20) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score: rates of rows scoring >= it."""
     s = below_sums(df, label, score, (), bits)
     tot = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).agg(
@@ -197,7 +197,7 @@ def classification_report(df: DataFrame, label: str, score: str,
 
 def binary_metrics(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
                    threshold: float = fixed.DEFAULT_THRESHOLD, strict: bool = True,
-                   bits: int = 16) -> DataFrame:
+                   bits: int = 20) -> DataFrame:
     """accuracy, f1 (class 1), f1_macro, recall_class0 at the model's own rule
     (class 1 when p > 0.5) and ROC-AUC, per group."""
     cells = metric_columns(confusion_cells(df, label, score, threshold, strict, group))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.exprs import percent
@@ -40,12 +40,13 @@ def value_distribution(df: DataFrame, column: str, count_col: str = "n",
                        pct_col: str = "pct") -> DataFrame:
     """Frequency of each value (null is a value) with percent of all rows.
 
-    The total comes from a window over the grouped frame, i.e. over the
-    distinct values only, so there is no separate count job.
+    The grouped frame (one row per distinct value) is persisted; the total is
+    a scalar summed from it, so the input is scanned once and no window has
+    to hold every distinct value in one task.
     """
-    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias(count_col))
-    total = F.sum(count_col).over(Window.partitionBy())
-    return (grouped.withColumn(pct_col, percent(F.col(count_col), total))
+    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias(count_col)).persist()
+    total = grouped.agg(F.sum(count_col)).first()[0] or 0
+    return (grouped.withColumn(pct_col, percent(F.col(count_col), F.lit(total)))
             .orderBy(F.col(column).asc_nulls_first()))
 
 
