@@ -16,6 +16,7 @@ from lamina.operators import features as fe
 from lamina.operators import indicators as ind
 from lamina.plans import oracle_ml as sql
 from lamina.plans.gold_queries import gold
+from lamina.plans.joins import materialize
 from lamina.plans.registry import register
 from lamina.sources.tables import read_table
 
@@ -25,8 +26,13 @@ CATEGORICAL = list(sql.CATEGORICAL)
 
 
 def model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published fact + area indicators (overlap dropped) + group context."""
-    g = gold(spark, sf_dir)
+    """Published fact + area indicators (overlap dropped) + group context.
+
+    The published fact feeds the indicator aggregation, the indicator join and
+    the group statistics with their join back, so it is written once to the
+    shared folder (as the published table it is) and read for each use,
+    instead of recomputing its joins three times."""
+    g = materialize(gold(spark, sf_dir), "published-fact")
     joined = fe.join_indicators(g, ind.indicators_for(g, ind.AREA))
     return fe.group_rate(joined, "group_id", LABEL)
 
