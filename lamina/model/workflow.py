@@ -29,6 +29,13 @@ WEIGHT = "weight"
 OOF_FLAG = "__oof"
 SCORE = "p1"
 CV_SALT = f"|cv{fixed.SEED}"
+ROWS_PER_PARTITION = 1_000_000
+
+
+def training_partitions(n_rows: int) -> int:
+    """A layout that follows the data (about a million rows per partition) and is
+    the same on every run for the same data, so seeded tree models repeat."""
+    return max(1, -(-int(n_rows) // ROWS_PER_PARTITION))
 
 
 @dataclass
@@ -80,8 +87,8 @@ def fit_candidate(data: ModelData, cand: Candidate, train: DataFrame | None = No
     weights for logistic/forest; positive-class scale for boosted trees."""
     w = data.weights["scale_pos"] if cand.kind == "boosted" else data.weights["balanced"]
     rows = _weighted(train if train is not None else data.train, w)
-    if partitions:
-        rows = rows.repartition(partitions, data.id_col)  # fixed layout: seeded trees repeat
+    parts = partitions or training_partitions(data.weights["n_train"])
+    rows = rows.repartition(parts, data.id_col)  # fixed layout: seeded trees repeat
     clf = make_classifier(cand.kind, cand.params, label_col=LABEL, weight_col=WEIGHT,
                           n_train=int(data.weights["n_train"]))
     return build_pipeline(data.numeric, data.categorical, clf).fit(rows)

@@ -26,7 +26,7 @@ from lamina.plans.registry import register
 from lamina.session import work_path
 from lamina.sources import sinks
 
-PARTITIONS = 4          # fixed training layout so seeded tree models repeat
+PARTITIONS = None       # training layout follows the data (workflow.training_partitions)
 EXPLAIN_ROWS = fixed.EXPLAIN_ROWS  # rows explained by sampled Shapley values (a sample)
 EXPLAIN_SALT = "|explain42"
 
