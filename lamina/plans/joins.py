@@ -63,12 +63,21 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
+_MATERIALIZED: dict[tuple, str] = {}
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet under the shared checkpoint
     folder and read it back. Later jobs start from these files instead of
-    recomputing the plan, and a lost executor only costs re-reading them."""
+    recomputing the plan, and a lost executor only costs re-reading them.
+    The same plan materialized again in the same session reuses the files
+    (inputs are taken to be immutable while a session runs)."""
     from lamina.session import work_path
 
-    path = work_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, df.semanticHash(), name)
+    if key not in _MATERIALIZED:
+        path = work_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(_MATERIALIZED[key])
