@@ -35,17 +35,23 @@ def stream_source(spark: SparkSession, path: str, schema: StructType | str,
     return r.load(path)
 
 
+def stream_table(spark: SparkSession, table: str) -> DataFrame:
+    """Stream the files appended to a catalog table."""
+    return spark.readStream.table(table)
+
+
 def run_incremental(stream: DataFrame, sink_path: str, checkpoint: str,
                     query_name: str, origin: str = "stream", fmt: str = "parquet",
-                    timeout_sec: float = 600.0) -> RunResult:
-    """Append everything new in ``stream`` (plus lineage) to ``sink_path``."""
+                    timeout_sec: float = 600.0, sink_table: str | None = None) -> RunResult:
+    """Append everything new in ``stream`` (plus lineage) to ``sink_path``;
+    with ``sink_table`` the sink is also registered as that (external) table."""
     out = add_lineage(stream, origin)
-    q = (out.writeStream.format(fmt).outputMode("append")
+    w = (out.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint)
          .option("path", sink_path)
          .queryName(query_name)
-         .trigger(availableNow=True)
-         .start())
+         .trigger(availableNow=True))
+    q = w.toTable(sink_table) if sink_table else w.start()
     finished = q.awaitTermination(timeout_sec)
     if not finished:
         q.stop()

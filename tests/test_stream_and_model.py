@@ -28,6 +28,22 @@ def test_stream_restart_is_exactly_once(spark):
     assert out.select("event_id").distinct().count() == 60
 
 
+def test_stream_between_catalog_tables(spark):
+    from lamina.streaming.incremental import stream_table
+
+    events = read_table(spark, SF_SMALL, "events").orderBy("event_id")
+    src_path, sink_path, ckpt = (work_path(spark, n) for n in ("t-src", "t-sinkt", "t-ckptt"))
+    events.limit(30).write.mode("append").option("path", src_path).saveAsTable("t_events_src")
+    counts = []
+    for new in (None, None, events.offset(30).limit(30)):
+        if new is not None:
+            new.write.mode("append").saveAsTable("t_events_src")
+        run_incremental(stream_table(spark, "t_events_src"), sink_path, ckpt, "t_tables",
+                        sink_table="t_events_sink")
+        counts.append(spark.table("t_events_sink").count())
+    assert counts == [30, 30, 60]
+
+
 def test_logistic_fit_save_load(spark):
     from pyspark.ml import PipelineModel
 
