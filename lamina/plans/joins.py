@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-_BOUND_PROOFS: dict[tuple, bool] = {}
+_BOUND_PROOFS: dict[tuple, list] = {}
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
@@ -23,9 +23,12 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     immutable while a session runs.
     """
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _BOUND_PROOFS:
-        _BOUND_PROOFS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _BOUND_PROOFS[key]
+    for seen, answer in _BOUND_PROOFS.get(key, []):
+        if df.sameSemantics(seen):  # the hash is only a bucket; confirm the plan
+            return answer
+    answer = df.limit(max_rows + 1).count() <= max_rows
+    _BOUND_PROOFS.setdefault(key, []).append((df, answer))
+    return answer
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -63,7 +66,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-_MATERIALIZED: dict[tuple, str] = {}
+_MATERIALIZED: dict[tuple, list] = {}
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -76,8 +79,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
     spark = df.sparkSession
     key = (spark.sparkContext.applicationId, df.semanticHash(), name)
-    if key not in _MATERIALIZED:
-        path = work_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(_MATERIALIZED[key])
+    for seen, path in _MATERIALIZED.get(key, []):
+        if df.sameSemantics(seen):  # the hash is only a bucket; confirm the plan
+            return spark.read.parquet(path)
+    path = work_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.setdefault(key, []).append((df, path))
+    return spark.read.parquet(path)
