@@ -1,0 +1,2 @@
+"""Structured Streaming: bounded incremental append copies with lineage and
+exactly-once restarts through the checkpoint."""
