@@ -108,7 +108,7 @@ def q_json_flatten_dimension(spark, sf_dir):
                           .alias("payload"))
     return flatten_nested_record(
         payload, "payload",
-        top={"area_code": ("id", "bigint"), "area_abbrev": ("code", "string"),
+        top={"area_code": ("id", "int"), "area_abbrev": ("code", "string"),
              "area_name": ("name", "string")},
         nested="region", nested_field="name", nested_alias="region_name")
 
@@ -182,7 +182,7 @@ def q_stream_report(spark, sf_dir):
     sink_df = spark.read.parquet(_ingest_events(spark, sf_dir)).drop(ing.INGESTED_AT, ing.ORIGIN)
     total = sink_df.count()
     latest = sink_df.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(30)
-    return latest.withColumn("total_rows", F.lit(total))
+    return latest.withColumn("total_rows", F.lit(total).cast("bigint"))
 
 
 SPLIT_TS = "2024-01-16"

@@ -46,6 +46,19 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(sdf, rel) -> dict:
+    """Columns whose Spark type differs from the oracle's DuckDB type."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in sdf.schema.fields}
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def _key(row):
     return tuple((v is None, str(type(v).__name__) if v is not None else "", v if v is not None else 0)
                  for v in row)
@@ -58,13 +71,15 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str, max_show: int = 5)
     srows = [tuple(_norm(r[c]) for c in cols) for r in sdf.collect()]
     t1 = time.time()
     res = con.sql(sql)
+    types_bad = type_mismatches(sdf, res)
     dcols = list(res.columns)
     drows_raw = res.fetchall()
     order = sorted(range(len(dcols)), key=lambda i: dcols[i])
     dsorted = [dcols[i] for i in order]
     drows = [tuple(_norm(r[i]) for i in order) for r in drows_raw]
     out = {"name": name, "spark_rows": len(srows), "oracle_rows": len(drows),
-           "spark_sec": round(t1 - t0, 2), "cols_match": cols == dsorted}
+           "spark_sec": round(t1 - t0, 2), "cols_match": cols == dsorted,
+           "types_match": not types_bad, "type_mismatches": types_bad}
     if cols != dsorted:
         out["spark_cols"] = cols
         out["oracle_cols"] = dsorted

@@ -22,6 +22,7 @@ def con():
 def test_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_ORACLE)
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["match"], r
 
