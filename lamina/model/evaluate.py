@@ -104,7 +104,8 @@ def roc_auc(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
                                             + F.lit(0.5) * F.col("n_neg").cast("double"))
     aggs = [F.sum(wins).alias("__w"), F.sum("n_pos").alias("__p"), F.sum("n_neg").alias("__n")]
     out = s.groupBy(*group).agg(*aggs) if group else s.agg(*aggs)
-    auc = F.col("__w") / (F.col("__p").cast("double") * F.col("__n").cast("double"))
+    # a group with only one class has no pairs: null, not an error
+    auc = F.try_divide(F.col("__w"), F.col("__p").cast("double") * F.col("__n").cast("double"))
     return out.select(*group, round_fine(auc).alias("roc_auc"))
 
 

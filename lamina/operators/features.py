@@ -71,7 +71,8 @@ DERIVED_INPUTS = {
 def derived_features(df: DataFrame, names: dict = DERIVED_INPUTS) -> DataFrame:
     """Ratio, log and change features, each added only if its inputs exist.
 
-    ``log1p(max(0, x))`` keeps null for a null x (no silent 0).
+    ``log1p(max(0, x))`` keeps null for a null x (no silent 0); a zero
+    denominator gives null instead of an error.
     """
     cols = set(df.columns)
     inc, vul = names["income"], names["vulnerability"]
@@ -79,11 +80,11 @@ def derived_features(df: DataFrame, names: dict = DERIVED_INPUTS) -> DataFrame:
     rate, rate_prev = names["rate_current"], names["rate_previous"]
     new = {}
     if inc in cols and vul in cols:
-        new["income_vulnerability_ratio"] = F.col(inc) / (F.col(vul) + F.lit(1.0))
+        new["income_vulnerability_ratio"] = F.try_divide(F.col(inc), F.col(vul) + F.lit(1.0))
         new["log_income"] = F.when(F.col(inc).isNotNull(),
                                    F.log1p(F.greatest(F.lit(0.0), F.col(inc).cast("double"))))
     if idx in cols and vul in cols:
-        new["social_pressure"] = F.col(vul) / (F.col(idx) + F.lit(1e-4))
+        new["social_pressure"] = F.try_divide(F.col(vul), F.col(idx) + F.lit(1e-4))
     if idx in cols and idx_prev in cols:
         new["index_change"] = F.col(idx) - F.col(idx_prev)
     if rate in cols and rate_prev in cols:

@@ -221,3 +221,10 @@ def test_derived_features_null_guard(spark):
     got = [r.log_income for r in fe.derived_features(df).collect()]
     assert got[0] is None and got[1] == 0.0 and math.isclose(got[2], math.log(10.0))
     assert "index_change" not in fe.derived_features(df).columns
+
+
+def test_zero_denominators_give_null(spark):
+    df = spark.createDataFrame([(5.0, -1.0)], "income_current double, vulnerability_current double")
+    assert fe.derived_features(df).first().income_vulnerability_ratio is None
+    one_class = spark.createDataFrame([(0.3, 1), (0.7, 1)], "p double, y int")
+    assert ev.roc_auc(one_class, "y", "p").first().roc_auc is None
