@@ -7,13 +7,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import bpe, idstore, langid, quality
+from lamina.llm import bpe, decontam, idstore, langid, paritysketch, pii, quality, substrings, topk, urls
 from lamina.llm.common import fold, write_and_read
 from lamina.sources.tables import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 QUALITY_FROM = 0.7
+#: Rules of the URL filter, by its contract.
+URL_RULES = (urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"),
+             urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/"))
+#: The key of the pseudonyms; a deployment passes its own to the operator.
+PII_KEY = "corpus-pseudonym-key"
 
 
 def held_out(id_col: str = "doc_id"):
@@ -21,6 +26,42 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(fold(id_col) == 2, F.lit(True))
 
 
+def q_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontam.hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    listed = F.array_join(F.sort_array(F.col("items").cast("array<string>")), ",")
+    return hits.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed.cast("binary"), 256).alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"))
+
+
+def q_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, count_col="n_replaced")
+
+
+def q_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def q_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def q_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = paritysketch.join(read_table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     encoded = bpe.encode(docs, RANK_FILE, public_tokenizers.PATTERN)
@@ -60,9 +101,15 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": q_decontam,
+    "op2_topk": q_topk,
+    "op3_pii": q_pii,
     "op4_byte_bpe": q_bpe,
     "op5_token_ids": q_idstore,
+    "op6_substring_dedup": q_substrings,
     "op7_language_id": q_langid,
+    "op8_url_filter": q_urls,
+    "op9_jaccard_join": q_join,
     "op10_quality": q_quality,
 }
 
