@@ -75,31 +75,34 @@ def encode_text(text: str, rank_file: str, pattern: str) -> list[int]:
     return ids
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """One row per document: its id and ``ids`` (array of int).
+def encode(docs: DataFrame, rank_file: str, pattern: str, keep: list[str] = ("doc_id",),
+           text_col: str = "text", out_col: str = "ids") -> DataFrame:
+    """The columns ``keep`` (the text may be one) and ``out_col`` (array of int).
 
     A null or empty text has no ids. Repeated rows and null ids are kept as they
     are; other columns are not read. No shuffle: the file splits are the tasks.
     """
     ship_package(docs.sparkSession)
+    keep = list(keep)
+    read = keep if text_col in keep else [*keep, text_col]
+    text_at = read.index(text_col)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(text_at)
             out, held, first = [], 0, 0
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or ""
                 out.append(encode_text(text, rank_file, pattern))
                 held += len(text)
                 if held > 4 << 20 or i + 1 == batch.num_rows:
+                    part = batch.slice(first, len(out)).columns[:len(keep)]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(first, len(out)),
-                         pa.array(out, pa.list_(pa.int32()))], names=[id_col, "ids"])
+                        [*part, pa.array(out, pa.list_(pa.int32()))], names=[*keep, out_col])
                     out, held, first = [], 0, i + 1
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    return docs.select(*read).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids",

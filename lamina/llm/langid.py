@@ -158,8 +158,10 @@ def train(docs: DataFrame, where: Column | None = None, text_col: str = "text",
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] = ("doc_id",),
-            text_col: str = "text", orders: tuple[int, ...] = ORDERS) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (posterior of that language) to ``id_cols``.
+            text_col: str = "text", orders: tuple[int, ...] = ORDERS,
+            pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """``id_cols`` (the text may be one), and ``pred_col``, ``score_col``: the predicted
+    language and its posterior.
 
     A null text, one without letters, or a model without languages gives ``und``
     with score 0. A tie goes to the language that sorts first.
@@ -170,6 +172,8 @@ def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] = ("doc_id
         raise ValueError("the model is larger than its broadcast bound")
     shared = spark.sparkContext.broadcast(model)
     keep = list(id_cols)
+    read = keep if text_col in keep else [*keep, text_col]
+    text_at = read.index(text_col)
 
     def score(batches):
         m: LanguageModel = shared.value
@@ -177,7 +181,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] = ("doc_id
         columns = [np.ascontiguousarray(m.log_prob[:, j]) for j in range(k)]
         for batch in batches:
             preds, scores = [], []
-            for chunk in text_chunks(batch.column(len(keep))):
+            for chunk in text_chunks(batch.column(text_at)):
                 codes, begin = _letter_codes(chunk)
                 letters = np.concatenate(([0], np.cumsum(codes != _BLANK)))
                 some = letters[begin[1:]] > letters[begin[:-1]]
@@ -202,8 +206,8 @@ def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] = ("doc_id
                 scores += np.where(some, prob, 0.0).tolist()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(preds, pa.string()),
-                 pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+                 pa.array(scores, pa.float64())], names=[*keep, pred_col, score_col])
 
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, text_col).mapInArrow(score, schema)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(pred_col, T.StringType()),
+                           T.StructField(score_col, T.DoubleType())])
+    return docs.select(*read).mapInArrow(score, schema)
