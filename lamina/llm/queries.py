@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import bpe, decontam, idstore, langid, paritysketch, pii, quality, substrings, topk, urls
 from lamina.llm.common import fold, write_and_read
+from lamina.llm.oracles import ORACLE  # noqa: F401
 from lamina.sources.tables import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -112,5 +113,3 @@ QUERIES = {
     "op9_jaccard_join": q_join,
     "op10_quality": q_quality,
 }
-
-ORACLE: dict[str, str] = {}

@@ -281,8 +281,9 @@ class _Plan:
                 out.append((b, _ANCHORS, y[own].tobytes(), b"".join(around[i] for i in own)))
         if strings:
             s, spans = self._earliest(np.concatenate(strings))
+            spans = merged(spans)
             out += [(b, _STRINGS, r, None) for b, r in _dealt((s["one"] % np.uint64(self.buckets)).astype(np.int64), s)]
-            out += [(b, _SPANS, r, None) for b, r in _dealt(_by(spans["doc"], self.buckets), merged(spans))]
+            out += [(b, _SPANS, r, None) for b, r in _dealt(_by(spans["doc"], self.buckets), spans)]
         return pa.Table.from_batches([_batch(out)])
 
     def _strings(self, data: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -71,8 +71,8 @@ def equal_runs(text: bytes, starts: np.ndarray, length: int, group: np.ndarray,
     sorted order: their places in ``starts``, and the number of their class."""
     padded = text + bytes(8)
     words = np.ndarray((len(text) + 1,), dtype=">u8", buffer=padded, strides=(1,))
-    at = np.arange(len(starts))
-    g = np.unique(group, return_inverse=True)[1].astype(np.int64) if len(group) else group
+    at = np.argsort(group, kind="stable")
+    g = np.unique(group, return_inverse=True)[1].astype(np.int64)[at]
     for depth in range(0, min(shallow, length - 7), 8):
         if not len(at):
             break
