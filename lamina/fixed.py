@@ -9,8 +9,7 @@ stated here once, in natural order, and imported where used.
 # rounding of published measures and percentages
 DECIMALS = 2
 
-# simulated measurement: value = 730 + id; label 1 when value >= 743
-SIM_MEASURE_OFFSET = 730
+# label 1 when the measurement reaches 743
 LABEL_THRESHOLD = 743
 
 # smoothed group rate (sum(y) + 5) / (count(y) + 10)
@@ -36,9 +35,6 @@ DEFAULT_THRESHOLD = 0.5
 RISK_HIGH_BELOW = 45.0
 RISK_LOW_FROM = 70.0
 
-# rows explained by the attribution step
-EXPLAIN_ROWS = 250
-
 # benchmark candidates: logistic (1000 iterations, C = 1, tolerance 1e-4 -- the
 # reference library's default), forest (120 trees, depth 14, 75 % rows per tree),
 # boosted trees (160 rounds, rate 0.06, depth 6)

@@ -25,12 +25,9 @@ def col(c: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, digits: int = fixed.DECIMALS) -> Column:
-    """Round half away from zero on the decimal value of a double.
-
-    The detour through DECIMAL(28,8) removes binary noise first, so Spark and
-    any SQL engine using the same rule agree on ties such as 1.005 -> 1.01.
-    """
-    return F.round(col(c).cast("decimal(28,8)"), digits).cast("double")
+    """Round a double once, half away from zero on its shortest decimal form
+    (so 1.005 gives 1.01, and 71.0049999999 gives 71.0)."""
+    return F.round(col(c).cast("double"), digits)
 
 
 def round_fine(c: str | Column, digits: int = 8) -> Column:

@@ -1,10 +1,8 @@
 """Evaluation of a probability score against a 0/1 label, as aggregations.
 
 Nothing is collected: confusion cells are conditional counts; ROC-AUC and the
-ROC curve need running sums over the score order, which are computed per
-score bucket (a fixed grid of 2^20 cells over [0, 1]) so no window ever spans
-all rows: the bucket table is at most 2^20 + 1 rows per group (broadcast), and
-each bucket's own window holds only the distinct scores that fall in it.
+ROC curve need running sums over the score order, which are computed per bucket
+of distinct scores, with buckets taken from the data, so no window spans all rows.
 """
 
 from __future__ import annotations
@@ -15,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina import fixed
-from lamina.functions.exprs import round_fine
-from lamina.plans.joins import sized_broadcast
+from lamina.plans.joins import materialize, sized_broadcast
 
 def _safe(num: Column, den: Column) -> Column:
     """num / den, 0 when den is 0 (zero-division -> 0 convention)."""
@@ -64,25 +61,27 @@ def metric_columns(cells: DataFrame) -> DataFrame:
     })
 
 
-def _grid_bucket(score: Column, bits: int) -> Column:
-    size = 1 << bits
-    return F.least(F.greatest(F.floor(score * F.lit(float(size))), F.lit(0)), F.lit(size))
-
-
 def below_sums(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
-               bits: int = 20) -> DataFrame:
+               buckets: int | None = None) -> DataFrame:
     """Per (group, distinct score): n_pos, n_neg and the counts of positives /
-    negatives with a strictly lower score, without a global window."""
+    negatives with a strictly lower score, without a global window.
+
+    Distinct scores are dealt out by ranges that Spark samples from them, so that
+    buckets are even whatever the scores' distribution; running sums are taken over
+    the buckets, and within each one.
+    """
     y = F.col(label)
     g = list(group)
+    n = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_score = (df.where(y.isNotNull() & F.col(score).isNotNull())
                  .groupBy(*g, score)
                  .agg(F.count(F.when(y == 1, 1)).alias("n_pos"),
                       F.count(F.when(y == 0, 1)).alias("n_neg"))
-                 .withColumn("__b", _grid_bucket(F.col(score), bits)))
+                 .repartitionByRange(n, *g, score).withColumn("__b", F.spark_partition_id()))
+    per_score = materialize(per_score, "scores")     # read twice: the buckets must be the same
     per_bucket = per_score.groupBy(*g, "__b").agg(F.sum("n_pos").alias("bp"),
                                                   F.sum("n_neg").alias("bn"))
-    wb = Window.partitionBy(*g).orderBy("__b")
+    wb = Window.partitionBy(*g).orderBy("__b")       # at most n rows a group
     offsets = per_bucket.select(*g, "__b",
                                 (F.sum("bp").over(wb) - F.col("bp")).alias("off_pos"),
                                 (F.sum("bn").over(wb) - F.col("bn")).alias("off_neg"))
@@ -90,36 +89,36 @@ def below_sums(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
     within = per_score.withColumns({
         "in_pos": F.sum("n_pos").over(ws) - F.col("n_pos"),
         "in_neg": F.sum("n_neg").over(ws) - F.col("n_neg")})
-    j = within.join(sized_broadcast(offsets, 8_000_000, derived=True), [*g, "__b"], "inner")
+    j = within.join(sized_broadcast(offsets, derived=True), [*g, "__b"], "inner")
     return j.select(*g, score, "n_pos", "n_neg",
                     (F.col("off_pos") + F.col("in_pos")).alias("pos_below"),
                     (F.col("off_neg") + F.col("in_neg")).alias("neg_below"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
-            bits: int = 20) -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """Exact ROC-AUC (Mann-Whitney, ties count one half) per group."""
-    s = below_sums(df, label, score, group, bits)
+    s = below_sums(df, label, score, group, buckets)
     wins = F.col("n_pos").cast("double") * (F.col("neg_below").cast("double")
                                             + F.lit(0.5) * F.col("n_neg").cast("double"))
     aggs = [F.sum(wins).alias("__w"), F.sum("n_pos").alias("__p"), F.sum("n_neg").alias("__n")]
     out = s.groupBy(*group).agg(*aggs) if group else s.agg(*aggs)
     # a group with only one class has no pairs: null, not an error
     auc = F.try_divide(F.col("__w"), F.col("__p").cast("double") * F.col("__n").cast("double"))
-    return out.select(*group, round_fine(auc).alias("roc_auc"))
+    return out.select(*group, auc.alias("roc_auc"))
 
 
-def roc_curve_points(df: DataFrame, label: str, score: str, bits: int = 20) -> DataFrame:
+def roc_curve_points(df: DataFrame, label: str, score: str,
+                     buckets: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score: rates of rows scoring >= it."""
-    s = below_sums(df, label, score, (), bits)
+    s = below_sums(df, label, score, (), buckets)
     tot = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("P"),
         F.count(F.when(F.col(label) == 0, 1)).alias("N")).first()
     P, N = float(tot["P"]), float(tot["N"])
     tpr = (F.lit(P) - F.col("pos_below")) / F.lit(P) if P else F.lit(None)
     fpr = (F.lit(N) - F.col("neg_below")) / F.lit(N) if N else F.lit(None)
-    return s.select(F.col(score).alias("threshold"), round_fine(fpr).alias("fpr"),
-                    round_fine(tpr).alias("tpr"))
+    return s.select(F.col(score).alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr"))
 
 
 def threshold_grid(start: int = fixed.SWEEP_START_PCT, count: int = fixed.SWEEP_POINTS,
@@ -153,7 +152,7 @@ def threshold_sweep(df: DataFrame, label: str, score: str, start: int = fixed.SW
     out = cum.where(F.col("j") < count).select(
         ((F.lit(start) + F.col("j")).cast("double") / F.lit(div)).alias("threshold"),
         tp0.alias("tp"), fp0.alias("fp"), fn0.alias("fn"),
-        round_fine(_safe(2 * tp0, 2 * tp0 + fp0 + fn0)).alias("f1_class0"))
+        _safe(2 * tp0, 2 * tp0 + fp0 + fn0).alias("f1_class0"))
     return out
 
 
@@ -184,8 +183,7 @@ def classification_report(df: DataFrame, label: str, score: str,
     acc = _safe(tp + tn, n)
 
     def row(name, p, r, f, s):
-        return F.struct(F.lit(name).alias("label"), round_fine(p).alias("precision"),
-                        round_fine(r).alias("recall"), round_fine(f).alias("f1"),
+        return F.struct(F.lit(name).alias("label"), p.alias("precision"), r.alias("recall"), f.alias("f1"),
                         s.cast("bigint").alias("support"))
 
     none = F.lit(None).cast("double")
@@ -198,13 +196,12 @@ def classification_report(df: DataFrame, label: str, score: str,
 
 def binary_metrics(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
                    threshold: float = fixed.DEFAULT_THRESHOLD, strict: bool = True,
-                   bits: int = 20) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """accuracy, f1 (class 1), f1_macro, recall_class0 at the model's own rule
     (class 1 when p > 0.5) and ROC-AUC, per group."""
     cells = metric_columns(confusion_cells(df, label, score, threshold, strict, group))
-    m = cells.select(*group, *[round_fine(c).alias(c)
-                               for c in ("accuracy", "f1", "f1_macro", "recall_class0")])
-    auc = roc_auc(df, label, score, group, bits)
+    m = cells.select(*group, "accuracy", "f1", "f1_macro", "recall_class0")
+    auc = roc_auc(df, label, score, group, buckets)
     if group:
         return m.join(auc, list(group), "left")
     return m.withColumn("roc_auc", F.lit(auc.first()["roc_auc"]))

@@ -1,8 +1,7 @@
 """Preprocessing statistics, all computed as distributed aggregations.
 
-* exact medians by bracketing: approximate quantiles narrow the value range
-  until the rows inside it are few, then an exact pass over that range only;
-  no step holds a whole column in one task;
+* exact medians: approximate quantiles narrow the value range, then the counts of the
+  values inside are ranked by ranges; no step holds a whole column in one task;
 * mean / population std for standardising;
 * most frequent value per categorical column (ties -> smallest value);
 * target encoding with empirical-Bayes ("auto") smoothing, cross-fitted over
@@ -17,108 +16,76 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from lamina.plans.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from lamina.plans.joins import DEFAULT_BROADCAST_BYTES, materialize, sized_broadcast
 
 # -- exact order statistics ---------------------------------------------------------
 
 
-def _count_le(df: DataFrame, c: str, lo: float | None, hi: float | None) -> tuple[int, int]:
-    """(rows with x <= lo, rows with lo < x <= hi) in one aggregation."""
-    x = F.col(c)
-    below = F.lit(False) if lo is None else x <= F.lit(lo)
-    inside = x.isNotNull()
-    if lo is not None:
-        inside = inside & (x > F.lit(lo))
-    if hi is not None:
-        inside = inside & (x <= F.lit(hi))
-    r = df.agg(F.count(F.when(below, 1)).alias("b"), F.count(F.when(inside, 1)).alias("i")).first()
-    return int(r["b"]), int(r["i"])
-
-
-def _bracket(data: DataFrame, c: str, ranks: Sequence[int], n: int, max_exact_rows: int,
-             rel_err: float, max_rounds: int) -> tuple[float | None, float | None, int]:
-    """Narrow (lo, hi] around ``ranks`` until it holds <= ``max_exact_rows``
-    rows. Returns (lo, hi, rows <= lo). Each round: one approximate-quantile
-    pass and one count over the current bracket."""
-    lo, hi, below, inside = None, None, 0, n
-    k_min, k_max = min(ranks), max(ranks)
-    for _ in range(max_rounds):
-        if inside <= max_exact_rows:
-            break
-        sub = data.where(_in_range(c, lo, hi))
-        p_lo = max(0.0, (k_min - below) / inside - 2 * rel_err)
-        p_hi = min(1.0, (k_max - below + 1) / inside + 2 * rel_err)
-        q_lo, q_hi = sub.approxQuantile(c, [p_lo, p_hi], rel_err)
-        new_lo = lo if p_lo <= 0.0 else max(q_lo, lo) if lo is not None else q_lo
-        new_hi = hi if p_hi >= 1.0 else min(q_hi, hi) if hi is not None else q_hi
-        if new_lo is not None and new_hi is not None and new_lo >= new_hi:
-            new_lo = lo  # tied values: keep the lower bound where it was
-        b, i = _count_le(data, c, new_lo, new_hi)
-        if b <= k_min and b + i > k_max and i < inside:
-            lo, hi, below, inside = new_lo, new_hi, b, i
-        else:
-            break  # the sketch missed or made no progress: finish on the current bracket
-    return lo, hi, below
-
-
-def _in_range(c: str, lo: float | None, hi: float | None):
-    cond = F.col(c).isNotNull()
-    if lo is not None:
-        cond = cond & (F.col(c) > F.lit(lo))
-    if hi is not None:
-        cond = cond & (F.col(c) <= F.lit(hi))
-    return cond
+def _brackets(data: DataFrame, wanted: dict[str, Sequence[int]], counts: dict[str, int],
+              rel_err: float) -> dict[str, tuple[float, float, int]]:
+    """Per column (lo, hi, rows below lo) with all wanted ranks among the rows of
+    lo <= x <= hi: one approximate-quantile pass and one count over all columns.
+    A column whose ranks the sketch missed is left out."""
+    if not wanted:
+        return {}
+    probs = {c: (max(0.0, min(r) / counts[c] - 2 * rel_err), min(1.0, (max(r) + 1) / counts[c] + 2 * rel_err))
+             for c, r in wanted.items()}
+    listed = sorted({p for pair in probs.values() for p in pair})
+    found = dict(zip(wanted, data.approxQuantile(list(wanted), listed, rel_err)))
+    ends = {c: tuple(found[c][listed.index(p)] for p in probs[c]) for c in wanted}
+    row = data.agg(*[f for c, (lo, hi) in ends.items() for f in (
+        F.count(F.when(F.col(c) < lo, 1)).alias(f"b_{c}"),
+        F.count(F.when(F.col(c).between(lo, hi), 1)).alias(f"i_{c}"))]).first()
+    return {c: (lo, hi, row[f"b_{c}"]) for c, (lo, hi) in ends.items()
+            if row[f"b_{c}"] <= min(wanted[c]) and row[f"b_{c}"] + row[f"i_{c}"] > max(wanted[c])}
 
 
 def kth_smallest_many(data: DataFrame, wanted: dict[str, Sequence[int]],
                       max_exact_rows: int = 1_000_000, rel_err: float = 1e-3,
-                      max_rounds: int = 8) -> dict[str, list[float]]:
+                      buckets: int | None = None) -> dict[str, list[float]]:
     """Exact values at 0-based ranks (close together) of several columns.
 
-    Columns with more than ``max_exact_rows`` non-null rows are first
-    bracketed with Spark's approximate-quantile sketch; then ONE job reads the
-    in-bracket values of every column as (feature, value) rows, counts them by
-    value, and reads the ranks off a running count that is partitioned by
-    feature, so each window holds at most ``max_exact_rows`` distinct values.
+    Columns with more than ``max_exact_rows`` values are first bracketed with Spark's
+    quantile sketch. What is left is counted by (column, value) - tied values are one
+    row - and dealt out by ranges; the buckets' sums tell which ones hold the ranks,
+    and only these are ranked. No step needs a bound on the number of values.
     """
-    counts = data.agg(*[F.count(F.col(c)).alias(c) for c in wanted]).first()
-    brackets = {}
-    for c, ranks in wanted.items():
-        n = int(counts[c])
-        brackets[c] = ((None, None, 0) if n <= max_exact_rows else
-                       _bracket(data, c, ranks, n, max_exact_rows, rel_err, max_rounds))
-    items = F.array(*[F.struct(F.lit(c).alias("feature"),
-                               F.when(_in_range(c, lo, hi), F.col(c)).alias("v"))
-                      for c, (lo, hi, _) in brackets.items()])
-    vals = (data.select(F.explode(items).alias("it")).select("it.*")
-            .where(F.col("v").isNotNull())
-            .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("feature").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = vals.withColumn("cum", F.sum("n").over(w))
-
-    def covers():  # the value whose running count first exceeds rank k
-        expr = None
-        for c, ranks in wanted.items():
-            below = brackets[c][2]
-            hit = F.lit(False)
-            for k in ranks:
-                kk = k - below
-                hit = hit | ((F.col("cum") - F.col("n") <= F.lit(kk)) & (F.col("cum") > F.lit(kk)))
-            cond = (F.col("feature") == F.lit(c)) & hit
-            expr = cond if expr is None else expr | cond
-        return expr
-
-    rows = cum.where(covers()).select("feature", "v", "n", "cum").collect()
-    out: dict[str, list[float]] = {}
-    for c, ranks in wanted.items():
-        below = brackets[c][2]
-        got = [r for r in rows if r["feature"] == c]
-        vals_c = []
-        for k in ranks:
-            kk = k - below
-            vals_c.append(next(float(r["v"]) for r in got if r["cum"] - r["n"] <= kk < r["cum"]))
-        out[c] = vals_c
-    return out
+    counts = data.agg(*[F.count(F.col(c)).alias(c) for c in wanted]).first().asDict()
+    large = {c: r for c, r in wanted.items() if counts[c] > max_exact_rows}
+    inside = _brackets(data, large, counts, rel_err)
+    items = F.array(*[F.struct(
+        F.lit(c).alias("feature"),
+        (F.when(F.col(c).between(*inside[c][:2]), F.col(c)) if c in inside else F.col(c)).alias("v")) for c in wanted])
+    n = buckets or 4 * int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    vals = (data.select(F.explode(items).alias("it")).select("it.*").where(F.col("v").isNotNull())
+            .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+            .repartitionByRange(n, "feature", "v").withColumn("b", F.spark_partition_id()))
+    vals = materialize(vals, "order-statistics")
+    sums = vals.groupBy("feature", "b").agg(F.sum("n").alias("n")).collect()    # columns x buckets
+    ranks = []          # (feature, bucket, rank within it, wanted rank)
+    for c, wanted_ranks in wanted.items():
+        own = sorted((r["b"], r["n"]) for r in sums if r["feature"] == c)
+        for k in wanted_ranks:
+            left = k - (inside[c][2] if c in inside else 0)
+            for b, size in own:
+                if left < size:
+                    ranks.append((c, b, left, k))
+                    break
+                left -= size
+    at = None
+    for c, b in {(c, b) for c, b, _, _ in ranks}:
+        cond = (F.col("feature") == c) & (F.col("b") == b)
+        at = cond if at is None else at | cond
+    w = Window.partitionBy("feature", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = vals.where(at).withColumn("cum", F.sum("n").over(w))
+    hit = None
+    for c, b, r, _ in ranks:
+        cond = (F.col("feature") == c) & (F.col("b") == b) & (F.col("cum") > r) & (F.col("cum") - F.col("n") <= r)
+        hit = cond if hit is None else hit | cond
+    rows = cum.where(hit).collect()
+    value = {(c, k): next(float(x["v"]) for x in rows if (x["feature"], x["b"]) == (c, b) and x["cum"] - x["n"] <= r < x["cum"])
+             for c, b, r, k in ranks}
+    return {c: [value[c, k] for k in r] for c, r in wanted.items()}
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> dict[str, float | None]:
@@ -280,7 +247,7 @@ def target_encoding_oof(df: DataFrame, columns: Sequence[str], target: str,
 
 def apply_encoding(df: DataFrame, columns: Sequence[str], encoding: DataFrame,
                    default, fold_col: str | None = None,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Replace each categorical column by its encoding; an unseen category gets
     ``default`` (a float, or with ``fold_col`` a {fold: float} dict). One
     equi-join per column against that column's slice of the encoding table."""
@@ -292,7 +259,7 @@ def apply_encoding(df: DataFrame, columns: Sequence[str], encoding: DataFrame,
                  .select(F.col("category").alias(cat),
                          *([F.col(fold_col).alias(f"__fold_{c}")] if fold_col else []),
                          F.col("encoding").alias(enc)))
-        table = sized_broadcast(table, max_broadcast_rows, derived=True)
+        table = sized_broadcast(table, max_broadcast_bytes, derived=True)
         left = out.withColumn(cat, F.col(c).cast("string"))
         keys = [cat]
         if fold_col:

@@ -82,8 +82,8 @@ def fold_id(id_col: str, k: int = fixed.ENCODER_FOLDS, salt: str = FOLD_SALT) ->
 
 
 def exact_rank(df: DataFrame, part: str, id_col: str, salt: str = SPLIT_SALT,
-               bucket_bits: int = 20, rank_col: str = "rank", size_col: str = "part_size",
-               broadcast_rows: int = 4_000_000) -> DataFrame:
+               bucket_bits: int = 20, rank_col: str = "rank",
+               size_col: str = "part_size") -> DataFrame:
     """0-based rank of every row inside its ``part`` (e.g. class) ordered by
     (hash, id), computed without a single-task global window.
 
@@ -104,24 +104,55 @@ def exact_rank(df: DataFrame, part: str, id_col: str, salt: str = SPLIT_SALT,
         (F.sum("__n").over(w) - F.col("__n")).alias("__off"),
         F.sum("__n").over(Window.partitionBy(part)).alias(size_col))
     inner = Window.partitionBy(part, "__b").orderBy("__u", id_col)
-    ranked = keyed.join(sized_broadcast(offsets, broadcast_rows, derived=True),
+    ranked = keyed.join(sized_broadcast(offsets, derived=True),
                         [part, "__b"], "left")
     return (ranked.withColumn(rank_col, F.col("__off") + F.row_number().over(inner) - 1)
             .drop("__u", "__b", "__off"))
 
 
+def boundary_rows(df: DataFrame, part: str, id_col: str, percents: Sequence[int], salt: str = SPLIT_SALT,
+                  bucket_bits: int = 20) -> DataFrame:
+    """(part, i, u, id): the (hash, id) of the first row behind each of the cut points
+    floor(n * percent / 100) of every part; none where the cut is the part's end.
+
+    Counts per hash bucket tell which bucket holds a cut; only its rows are ranked.
+    """
+    u = hash_u32(id_col, salt)
+    keyed = df.select(F.col(part).alias("part"), F.col(id_col).alias("id"), u.alias("u"),
+                      F.shiftright(u, 32 - bucket_bits).alias("b"))
+    counts = keyed.groupBy("part", "b").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("part").orderBy("b")                    # at most 2^bucket_bits rows a part
+    offsets = counts.select("part", "b", "n", (F.sum("n").over(w) - F.col("n")).alias("off"),
+                            F.sum("n").over(Window.partitionBy("part")).alias("size"))
+    cuts = F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col("size") * p / 100).alias("at"))
+                     for i, p in enumerate(percents)])
+    held = (offsets.select("part", "b", "n", "off", F.explode(cuts).alias("c"))
+            .where((F.col("off") <= F.col("c.at")) & (F.col("c.at") < F.col("off") + F.col("n")))
+            .select("part", "b", F.col("c.i").alias("i"), (F.col("c.at") - F.col("off")).alias("r")))
+    inner = Window.partitionBy("part", "b", "i").orderBy("u", "id")
+    ranked = (keyed.join(sized_broadcast(held, derived=True), ["part", "b"])
+              .withColumn("rank", F.row_number().over(inner) - 1))
+    return ranked.where(F.col("rank") == F.col("r")).select("part", "i", "u", "id")
+
+
 def split_exact(df: DataFrame, label: str, id_col: str, train_pct: int = fixed.TRAIN_PCT,
                 valid_pct: int = fixed.VALIDATION_PCT, salt: str = SPLIT_SALT,
-                split_col: str = "split") -> DataFrame:
+                split_col: str = "split", bucket_bits: int = 20) -> DataFrame:
     """Exact per-class proportions: in class c of size n, rank < floor(n*70/100)
     is train, rank < floor(n*85/100) validation, the rest test (integer
-    percentages keep the cut points exact)."""
-    ranked = exact_rank(df, label, id_col, salt)
-    n = F.col("part_size")
-    r = F.col("rank")
-    return (ranked.withColumn(
-        split_col,
-        F.when(r < F.floor(n * train_pct / 100), F.lit(TRAIN))
-        .when(r < F.floor(n * (train_pct + valid_pct) / 100), F.lit(VALIDATION))
-        .otherwise(F.lit(TEST)))
-        .drop("rank", "part_size"))
+    percentages keep the cut points exact). Ids are unique.
+
+    A row is compared with its class's two boundary rows; the rows aren't shuffled.
+    """
+    rows = boundary_rows(df, label, id_col, [train_pct, train_pct + valid_pct], salt, bucket_bits)
+    cut = rows.groupBy("part").agg(*[
+        F.max(F.when(F.col("i") == i, F.struct("u", "id"))).alias(f"__cut{i}") for i in range(2)])
+    cut = cut.withColumnRenamed("part", "__part")
+    own = F.struct(hash_u32(id_col, salt).alias("u"), F.col(id_col).alias("id"))
+    out = df.join(sized_broadcast(cut, derived=True), F.col(label).eqNullSafe(F.col("__part")), "left")
+
+    def before(c: str):
+        return F.col(c).isNull() | (own < F.col(c))
+
+    return out.withColumn(split_col, F.when(before("__cut0"), F.lit(TRAIN)).when(before("__cut1"), F.lit(VALIDATION))
+                          .otherwise(F.lit(TEST))).drop("__part", "__cut0", "__cut1")

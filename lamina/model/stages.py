@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.model import prep
-from lamina.plans.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from lamina.plans.joins import materialize, sized_broadcast
 
 
 class _Cols(Params):
@@ -160,19 +160,11 @@ class CrossFitTargetEncoder(Estimator, _TEParams, DefaultParamsReadable, Default
         fitted = json.dumps({"global": gm, "by_fold": {str(k): v for k, v in gm_fold.items()}})
         model = TargetEncoderModel(inputCols=cols, labelCol=y, foldCol=fold,
                                    oofCol=self.getOrDefault(self.oofCol), fitted=fitted)
-        # materialise the per-category tables once so transform does not re-fit;
-        # their row counts prove (or not) that every slice can be broadcast
-        (full, n_full), (oof, n_oof) = _materialise(full), _materialise(oof)
-        model.set_tables(full, oof, small=max(n_full, n_oof) <= DEFAULT_BROADCAST_ROWS)
+        # write the per-category tables once so that transform does not re-fit
+        model.set_tables(materialize(full, "encoding"), materialize(oof, "encoding-oof"))
         return model
 
 
-def _materialise(df: DataFrame) -> tuple[DataFrame, int]:
-    """Persist a fitted table and count it (the count fills the cache)."""
-    df = df.persist()
-    return df, df.count()
-
-
 class TargetEncoderModel(Model, _TEParams, _Fitted, MLReadable, MLWritable):
     @keyword_only
     def __init__(self, inputCols=None, labelCol="label", foldCol="fold", oofCol="__oof",
@@ -181,15 +173,9 @@ class TargetEncoderModel(Model, _TEParams, _Fitted, MLReadable, MLWritable):
         self._set(**self._input_kwargs)
         self.full: DataFrame | None = None
         self.oof: DataFrame | None = None
-        self.small: bool | None = None
-
-    def set_tables(self, full: DataFrame, oof: DataFrame, small: bool | None = None) -> None:
-        """``small``: both tables proven to fit the broadcast bound (None: unknown,
-        each slice is then proven when used)."""
-        self.full, self.oof, self.small = full, oof, small
 
-    def _side(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.small else sized_broadcast(df)
+    def set_tables(self, full: DataFrame, oof: DataFrame) -> None:
+        self.full, self.oof = full, oof
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """One pass: every column joins the full-fit table on its category and,
@@ -205,14 +191,14 @@ class TargetEncoderModel(Model, _TEParams, _Fitted, MLReadable, MLWritable):
             full = (self.full.where(F.col("feature") == F.lit(c))
                     .select(F.col("category").alias("__cat"), F.col("encoding").alias("__full")))
             out = (out.withColumn("__cat", F.col(c).cast("string"))
-                   .join(self._side(full), "__cat", "left"))
+                   .join(sized_broadcast(full), "__cat", "left"))
             value = F.coalesce(F.col("__full"), gm)
             if use_oof:
                 oof = (self.oof.where(F.col("feature") == F.lit(c))
                        .select(F.col("category").alias("__cat"), F.col(fold).alias("__fold"),
                                F.col("encoding").alias("__oofv")))
                 out = (out.withColumn("__fold", F.col(fold))
-                       .join(self._side(oof), ["__cat", "__fold"], "left"))
+                       .join(sized_broadcast(oof), ["__cat", "__fold"], "left"))
                 by_fold = None
                 for k, v in sorted(vals["by_fold"].items()):
                     cond = F.col(fold) == F.lit(int(k))

@@ -40,7 +40,7 @@ class Candidate:
 REFERENCE_CANDIDATES = (
     Candidate("logreg", "logistic", dict(fixed.LOGISTIC_PARAMS)),
     Candidate("rf", "forest", dict(fixed.FOREST_PARAMS)),
-    Candidate("xgb", "boosted", dict(fixed.BOOSTED_PARAMS)),
+    Candidate("gbt", "boosted", dict(fixed.BOOSTED_PARAMS)),
 )
 
 SEARCH_GRIDS = {"boosted": fixed.BOOSTED_GRID, "forest": fixed.FOREST_GRID,

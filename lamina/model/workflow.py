@@ -21,6 +21,7 @@ from lamina.model import evaluate as ev
 from lamina.model import split as sp
 from lamina.model.stages import (CrossFitTargetEncoder, MedianImputer, ModeImputer,
                                  Standardizer)
+from lamina.plans.joins import materialize
 from lamina.model.train import (REFERENCE_CANDIDATES, SEARCH_GRIDS, Candidate, assemble_stage,
                                 class_weights, make_classifier, sample_param_maps)
 
@@ -28,14 +29,16 @@ LABEL = "label"
 WEIGHT = "weight"
 OOF_FLAG = "__oof"
 SCORE = "p1"
+FEATURES = "features"
 CV_SALT = f"|cv{fixed.SEED}"
 ROWS_PER_PARTITION = 1_000_000
+MIN_PARTITIONS = 32
 
 
 def training_partitions(n_rows: int) -> int:
-    """A layout that follows the data (about a million rows per partition) and is
-    the same on every run for the same data, so seeded tree models repeat."""
-    return max(1, -(-int(n_rows) // ROWS_PER_PARTITION))
+    """A layout that follows the data (about a million rows a partition, never less
+    than MIN_PARTITIONS) and is the same on every run: seeded tree models repeat."""
+    return max(MIN_PARTITIONS, -(-int(n_rows) // ROWS_PER_PARTITION))
 
 
 @dataclass
@@ -43,6 +46,7 @@ class ModelData:
     train: DataFrame
     validation: DataFrame
     test: DataFrame
+    test_rows: DataFrame      # the test split with all its columns
     numeric: list[str]
     categorical: list[str]
     id_col: str
@@ -56,13 +60,17 @@ def prepare(mf: DataFrame, numeric: Sequence[str], categorical: Sequence[str], t
     base = (mf.where(F.col(target).isNotNull())
             .withColumn(LABEL, F.col(target).cast("double")))
     keep = [id_col, *numeric, *categorical, LABEL, fold_col, split_col]
-    base = base.select(*keep)
+    names = [c.lower() for c in mf.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"the model frame repeats columns: {sorted({c for c in names if names.count(c) > 1})}")
+    whole, base = base, base.select(*keep)
     train = base.where(F.col(split_col) == sp.TRAIN).withColumn(OOF_FLAG, F.lit(True))
     cw = class_weights(train, LABEL).first()
     weights = {"balanced": (cw["weight_0"], cw["weight_1"]),
                "scale_pos": (1.0, cw["scale_pos_weight"]), "n_train": cw["n"]}
     return ModelData(train, base.where(F.col(split_col) == sp.VALIDATION),
-                     base.where(F.col(split_col) == sp.TEST), list(numeric), list(categorical),
+                     base.where(F.col(split_col) == sp.TEST),
+                     whole.where(F.col(split_col) == sp.TEST), list(numeric), list(categorical),
                      id_col, weights)
 
 
@@ -71,27 +79,59 @@ def _weighted(df: DataFrame, w: tuple[float, float]) -> DataFrame:
                          .otherwise(F.lit(float(w[0]))))
 
 
-def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], classifier,
-                   fold_col: str = "fold") -> Pipeline:
-    stages = [MedianImputer(inputCols=list(numeric)), Standardizer(inputCols=list(numeric)),
-              ModeImputer(inputCols=list(categorical)),
-              CrossFitTargetEncoder(inputCols=list(categorical), labelCol=LABEL,
-                                    foldCol=fold_col, oofCol=OOF_FLAG),
-              assemble_stage(numeric, categorical), classifier]
-    return Pipeline(stages=stages)
+def preprocessing(numeric: Sequence[str], categorical: Sequence[str],
+                  fold_col: str = "fold") -> Pipeline:
+    """Everything before the classifier, which depends on the rows alone."""
+    return Pipeline(stages=[
+        MedianImputer(inputCols=list(numeric)), Standardizer(inputCols=list(numeric)),
+        ModeImputer(inputCols=list(categorical)),
+        CrossFitTargetEncoder(inputCols=list(categorical), labelCol=LABEL,
+                              foldCol=fold_col, oofCol=OOF_FLAG),
+        assemble_stage(numeric, categorical)])
 
 
-def fit_candidate(data: ModelData, cand: Candidate, train: DataFrame | None = None,
-                  partitions: int | None = None) -> PipelineModel:
-    """Fit preprocessing + classifier on the training rows. Balanced class
-    weights for logistic/forest; positive-class scale for boosted trees."""
-    w = data.weights["scale_pos"] if cand.kind == "boosted" else data.weights["balanced"]
-    rows = _weighted(train if train is not None else data.train, w)
-    parts = partitions or training_partitions(data.weights["n_train"])
-    rows = rows.repartition(parts, data.id_col)  # fixed layout: seeded trees repeat
-    clf = make_classifier(cand.kind, cand.params, label_col=LABEL, weight_col=WEIGHT,
-                          n_train=int(data.weights["n_train"]))
-    return build_pipeline(data.numeric, data.categorical, clf).fit(rows)
+@dataclass
+class Matrix:
+    """Fitted preprocessing and the training matrix it gives, written once and
+    shared by every classifier fitted on these rows."""
+
+    model: PipelineModel
+    rows: DataFrame           # id, features, label
+    n_neg: int
+    n_pos: int
+
+    @property
+    def n(self) -> int:
+        return self.n_neg + self.n_pos
+
+
+def training_matrix(data: ModelData, train: DataFrame | None = None) -> Matrix:
+    rows = train if train is not None else data.train
+    model = preprocessing(data.numeric, data.categorical).fit(rows)
+    matrix = materialize(model.transform(rows).select(data.id_col, FEATURES, LABEL), "train-matrix")
+    c = matrix.agg(F.count(F.when(F.col(LABEL) == 0, 1)).alias("n0"),
+                   F.count(F.when(F.col(LABEL) == 1, 1)).alias("n1")).first()
+    return Matrix(model, matrix, int(c["n0"]), int(c["n1"]))
+
+
+def fit_classifier(matrix: Matrix, cand: Candidate, scale_pos: float, id_col: str):
+    """The classifier alone. Balanced class weights and the regularisation follow the
+    rows of this fit; the boosted trees' positive scale is the training split's."""
+    if cand.kind == "boosted":
+        w = (1.0, scale_pos)
+    else:
+        w = tuple(matrix.n / (2.0 * max(1, c)) for c in (matrix.n_neg, matrix.n_pos))
+    parts = training_partitions(matrix.n)
+    rows = _weighted(matrix.rows, w).repartition(parts, id_col).sortWithinPartitions(id_col)
+    return make_classifier(cand.kind, cand.params, label_col=LABEL, weight_col=WEIGHT,
+                           n_train=matrix.n).fit(rows)
+
+
+def fit_candidate(data: ModelData, cand: Candidate, matrix: Matrix | None = None) -> PipelineModel:
+    """Preprocessing and classifier as one model; ``matrix`` shares the former."""
+    matrix = matrix or training_matrix(data)
+    classifier = fit_classifier(matrix, cand, data.weights["scale_pos"][1], data.id_col)
+    return PipelineModel([*matrix.model.stages, classifier])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -106,13 +146,21 @@ def evaluate(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     return m.select(F.lit(name).alias("model"), *m.columns)
 
 
-def benchmark(data: ModelData, candidates: Sequence[Candidate] = REFERENCE_CANDIDATES,
-              partitions: int | None = None):
-    """Fit every candidate, evaluate on validation; champion = best ROC-AUC,
-    the first listed on ties. Returns (metrics frame, models, champion name)."""
+def score_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` as it is, and ``p1``: the original columns travel through the model's
+    stages, nothing is joined back."""
+    kept = df.drop(OOF_FLAG).withColumn("__row", F.struct(*[F.col(c) for c in df.columns if c != OOF_FLAG]))
+    out = model.transform(kept)
+    return out.select("__row.*", vector_to_array(F.col("probability"))[1].alias(SCORE))
+
+
+def benchmark(data: ModelData, candidates: Sequence[Candidate] = REFERENCE_CANDIDATES):
+    """Fit every candidate on one training matrix, evaluate on validation; champion =
+    best ROC-AUC, the first listed on ties. Returns (metrics frame, models, champion name)."""
+    matrix = training_matrix(data)
     models, rows = {}, []
     for i, cand in enumerate(candidates):
-        models[cand.name] = fit_candidate(data, cand, partitions=partitions)
+        models[cand.name] = fit_candidate(data, cand, matrix)
         rows.append(evaluate(models[cand.name], data.validation, cand.name)
                     .withColumn("model_order", F.lit(i)))
     metrics = rows[0]
@@ -124,29 +172,31 @@ def benchmark(data: ModelData, candidates: Sequence[Candidate] = REFERENCE_CANDI
 
 def random_search(data: ModelData, cand: Candidate, grid: dict | None = None,
                   n_iter: int = fixed.SEARCH_DRAWS, n_folds: int = fixed.SEARCH_FOLDS,
-                  seed: int = fixed.SEED, partitions: int | None = None):
+                  seed: int = fixed.SEED, matrix: Matrix | None = None):
     """Randomised search over the candidate's grid: ``n_iter`` draws, each
     scored by mean ROC-AUC over ``n_folds`` hash folds of the training rows
     (fit on the others, evaluated with full-fit encodings), then the best
-    draw is refit on all training rows. Returns (results frame, model, params)."""
+    draw is refit on all training rows. Preprocessing is fitted once per fold and
+    shared by the draws. Returns (results frame, model, params)."""
     grid = grid or SEARCH_GRIDS[cand.kind]
     spark = data.train.sparkSession
     cv_fold = sp.hash_u32(data.id_col, CV_SALT) % n_folds
     train = data.train.withColumn("__cv", cv_fold)
-    results = []
-    for d, params in enumerate(sample_param_maps(grid, n_iter, seed)):
-        trial = Candidate(cand.name, cand.kind, {**cand.params, **params})
-        aucs = []
-        for k in range(n_folds):
-            fit_rows = train.where(F.col("__cv") != k).drop("__cv")
-            held = train.where(F.col("__cv") == k).drop("__cv")
-            model = fit_candidate(data, trial, train=fit_rows, partitions=partitions)
-            s = score(model, held).select(LABEL, SCORE)
-            aucs.append(ev.roc_auc(s, LABEL, SCORE).first()["roc_auc"])
-        results.append((d, json.dumps(params, sort_keys=True), float(sum(aucs) / len(aucs))))
+    draws = sample_param_maps(grid, n_iter, seed)
+    aucs: list[list[float]] = [[] for _ in draws]
+    for k in range(n_folds):
+        fold = training_matrix(data, train.where(F.col("__cv") != k).drop("__cv"))
+        held = fold.model.transform(train.where(F.col("__cv") == k).drop("__cv", OOF_FLAG))
+        held = materialize(held.select(data.id_col, FEATURES, LABEL), "held-matrix")
+        for d, params in enumerate(draws):
+            trial = Candidate(cand.name, cand.kind, {**cand.params, **params})
+            model = fit_classifier(fold, trial, data.weights["scale_pos"][1], data.id_col)
+            s = model.transform(held).select(LABEL, vector_to_array(F.col("probability"))[1].alias(SCORE))
+            aucs[d].append(ev.roc_auc(s, LABEL, SCORE).first()["roc_auc"])
+    results = [(d, json.dumps(p, sort_keys=True), float(sum(a) / len(a)))
+               for d, (p, a) in enumerate(zip(draws, aucs))]
     res = spark.createDataFrame(results, "draw int, params string, cv_roc_auc double")
     best = max(results, key=lambda r: (r[2], -r[0]))
     best_params = json.loads(best[1])
-    final = fit_candidate(data, Candidate(cand.name, cand.kind, {**cand.params, **best_params}),
-                          partitions=partitions)
+    final = fit_candidate(data, Candidate(cand.name, cand.kind, {**cand.params, **best_params}), matrix)
     return res, final, best_params

@@ -17,7 +17,7 @@ from lamina.functions.exprs import (
     fill_code,
     fill_text,
 )
-from lamina.plans.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from lamina.plans.joins import DEFAULT_BROADCAST_BYTES, sized_broadcast
 
 ON_DUPLICATE = ("fanout", "error", "first")
 
@@ -36,7 +36,7 @@ def duplicate_keys(dim: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def enrich(fact: DataFrame, dim: DataFrame, key: str, on_duplicate: str = "fanout",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left join ``fact`` to ``dim`` on ``key``.
 
     ``on_duplicate`` says what a key with several dimension rows does:
@@ -55,7 +55,7 @@ def enrich(fact: DataFrame, dim: DataFrame, key: str, on_duplicate: str = "fanou
         dim = dim.groupBy(key).agg(*[F.min(c).alias(c) for c in others])
     # not persisted: an in-memory dimension would stop Spark from reusing the
     # fact's exchanges across branches (e.g. the levels of the indicator block)
-    return fact.join(sized_broadcast(dim, max_broadcast_rows), on=key, how="left")
+    return fact.join(sized_broadcast(dim, max_broadcast_bytes), on=key, how="left")
 
 
 def fill_defaults(df: DataFrame, codes: Sequence[str] = (), texts: Sequence[str] = (),

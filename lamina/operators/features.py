@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from lamina import fixed
-from lamina.plans.joins import DEFAULT_BROADCAST_ROWS, join_null_safe, sized_broadcast
+from lamina.plans.joins import DEFAULT_BROADCAST_BYTES, join_null_safe, sized_broadcast
 
 INDICATOR_JOIN_KEYS = ("period", "region_code", "area_code", "segment_code")
 
@@ -22,12 +22,12 @@ def drop_overlap(right: DataFrame, left: DataFrame, keys: Sequence[str]) -> Data
 
 def join_indicators(fact: DataFrame, indicators: DataFrame,
                     keys: Sequence[str] = INDICATOR_JOIN_KEYS,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left join of the fact to an aggregated indicator table. The indicator
     side is broadcast only when proven small; otherwise a shuffle join (AQE
     splits a hot key's partition)."""
     ind = drop_overlap(indicators, fact, keys)
-    return fact.join(sized_broadcast(ind, max_broadcast_rows, derived=True), list(keys),
+    return fact.join(sized_broadcast(ind, max_broadcast_bytes, derived=True), list(keys),
                      "left")
 
 
@@ -35,7 +35,7 @@ def group_rate(df: DataFrame, group: str, outcome: str,
                prior_pos: float = fixed.RATE_PRIOR_POSITIVES,
                prior_n: float = fixed.RATE_PRIOR_COUNT, exclude_self: bool = False,
                rate_col: str = "group_rate", volume_col: str = "group_volume",
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Smoothed outcome rate of each row's group: (sum(y) + a) / (count(y) + b)
     and the group volume count(y). Null outcomes are ignored; a group with no
     known outcome gets a null rate; null group ids form one group.
@@ -47,7 +47,7 @@ def group_rate(df: DataFrame, group: str, outcome: str,
     y = F.col(outcome)
     stats = df.groupBy(group).agg(F.sum(y).cast("double").alias("__s"),
                                   F.count(y).alias("__c"))
-    out = join_null_safe(df, stats, [group], "left", max_broadcast_rows)
+    out = join_null_safe(df, stats, [group], "left", max_broadcast_bytes)
     s, c = F.col("__s"), F.col("__c")
     if exclude_self:
         s = s - F.coalesce(y.cast("double"), F.lit(0.0))

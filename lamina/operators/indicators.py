@@ -71,11 +71,17 @@ def leaf_stats(df: DataFrame, keys: Sequence[str], period: str = "period",
         F.count(y).alias("n_known"),
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("bigint").alias("n_pos"),
         F.sum(F.when(y == 0, 1).otherwise(0)).cast("bigint").alias("n_neg"),
-        F.sum(measure).alias("sum_measure"),
+        exact_sum(measure).alias("sum_measure"),
         F.count(measure).alias("n_measure"),
     )
 
 
+def exact_sum(measure: str) -> Column:
+    """Sum as a decimal (12 places): the mean, and so its rounding at a tie, does
+    not depend on the order in which tasks add their rows."""
+    return F.sum(F.col(measure).cast("decimal(28,12)"))
+
+
 def roll_up(stats: DataFrame, keys: Sequence[str], period: str = "period") -> DataFrame:
     """Re-aggregate leaf statistics to a coarser key set (sums of sums)."""
     return stats.groupBy(period, *keys).agg(
@@ -84,7 +90,7 @@ def roll_up(stats: DataFrame, keys: Sequence[str], period: str = "period") -> Da
 
 def _measures(stats: DataFrame) -> DataFrame:
     return stats.withColumns({
-        "mean_measure": round_half_up(ratio("sum_measure", "n_measure")),
+        "mean_measure": round_half_up(ratio(F.col("sum_measure").cast("double"), "n_measure")),
         "pct_positive": percent("n_pos", "n_known"),
         "pct_negative": percent("n_neg", "n_known"),
     })
@@ -146,10 +152,15 @@ def all_levels(gold: DataFrame, period: str = "period", levels: Sequence[Level]
     parts = []
     for level in levels:
         stats = leaf if level.keys == AREA.keys else roll_up(leaf, level.keys, period)
-        block = level_indicators(stats, level, period).withColumns(
-            {"level": F.lit(level.name),
-             **{k: F.lit(v) for k, v in level.placeholders.items()}})
-        parts.append(block.select(period, "level", *ALL_LEVEL_KEYS, *INDICATOR_COLUMNS))
+        parts.append((level, level_indicators(stats, level, period)))
+    return stacked(parts, period)
+
+
+def stacked(blocks: Sequence[tuple[Level, DataFrame]], period: str = "period") -> DataFrame:
+    """Indicator blocks of several levels as one table, with tag and placeholders."""
+    parts = [block.withColumns({"level": F.lit(level.name),
+                                **{k: F.lit(v) for k, v in level.placeholders.items()}})
+             .select(period, "level", *ALL_LEVEL_KEYS, *INDICATOR_COLUMNS) for level, block in blocks]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -162,7 +173,7 @@ def grouping_sets_base(gold: DataFrame, period: str = "period") -> DataFrame:
         F.count(y).alias("n_known"),
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("bigint").alias("n_pos"),
         F.sum(F.when(y == 0, 1).otherwise(0)).cast("bigint").alias("n_neg"),
-        F.sum("measure").alias("sum_measure"),
+        exact_sum("measure").alias("sum_measure"),
         F.count("measure").alias("n_measure"),
         F.grouping_id().alias("gid"),
     )

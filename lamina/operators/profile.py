@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions.exprs import percent
@@ -40,12 +40,11 @@ def value_distribution(df: DataFrame, column: str, count_col: str = "n",
                        pct_col: str = "pct") -> DataFrame:
     """Frequency of each value (null is a value) with percent of all rows.
 
-    The grouped frame (one row per distinct value) is persisted; the total is
-    a scalar summed from it, so the input is scanned once and no window has
-    to hold every distinct value in one task.
+    The total is a count of its own (one row per task), so no window has to hold
+    every distinct value and nothing stays cached.
     """
-    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias(count_col)).persist()
-    total = grouped.agg(F.sum(count_col)).first()[0] or 0
+    total = df.count()
+    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias(count_col))
     return (grouped.withColumn(pct_col, percent(F.col(count_col), F.lit(total)))
             .orderBy(F.col(column).asc_nulls_first()))
 
@@ -56,14 +55,18 @@ def pair_distribution(df: DataFrame, columns: Sequence[str], count_col: str = "n
 
 def duplicate_key_report(df: DataFrame, id_col: str, period_col: str,
                          keys: Sequence[str], count_col: str = "n_rows") -> DataFrame:
-    """Rows whose id has some (id, period) pair occurring more than once,
-    counted by (period, id, *keys). The IN-subquery of the reference becomes a
-    left-semi join on the aggregated ids."""
-    dup_ids = (df.groupBy(id_col, period_col).count()
-               .filter(F.col("count") > 1).select(id_col).distinct())
-    return (df.join(dup_ids, on=id_col, how="left_semi")
-            .groupBy(period_col, id_col, *keys)
-            .agg(F.count(F.lit(1)).alias(count_col)))
+    """Rows whose id has some (id, period) pair occurring more than once, counted by
+    (period, id, *keys), in that order.
+
+    The input is read and aggregated once; a pair's rows are summed over the
+    aggregate, by windows within one id.
+    """
+    counts = df.groupBy(period_col, id_col, *keys).agg(F.count(F.lit(1)).alias(count_col))
+    pair = Window.partitionBy(id_col, period_col)
+    marked = counts.withColumn("__pair", F.sum(count_col).over(pair))
+    most = marked.withColumn("__most", F.max("__pair").over(Window.partitionBy(id_col)))
+    return (most.filter(F.col("__most") > 1).filter(F.col(id_col).isNotNull())
+            .drop("__pair", "__most").orderBy(period_col, id_col, *keys))
 
 
 def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lamina import fixed
@@ -9,6 +11,7 @@ from lamina.functions.exprs import threshold_flag
 from lamina.operators import ingest as ing
 from lamina.plans import oracle as sql
 from lamina.plans.gold_queries import gold
+from lamina.plans.joins import sized_broadcast
 from lamina.plans.registry import register
 from lamina.session import work_path
 from lamina.sources import sinks
@@ -38,6 +41,16 @@ def q_sink_partitioned_roundtrip(spark, sf_dir):
     return sinks.read_back(spark, path)
 
 
+@register("sink_table_roundtrip", sql.GOLD_SELECT)
+def q_sink_table_roundtrip(spark, sf_dir):
+    """Catalog table: created from the raw fact, replaced by the published one, with
+    its schema, and read by name."""
+    name = f"lamina_published_{uuid.uuid4().hex[:12]}"
+    sinks.save_table(fact_frame(spark, sf_dir), name)
+    sinks.save_table(gold(spark, sf_dir), name, partition_by=["period"])
+    return spark.table(name)
+
+
 @register("sink_append_roundtrip", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        CASE WHEN year(o_orderdate) >= 1998 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
@@ -48,7 +61,7 @@ def q_sink_append_roundtrip(spark, sf_dir):
     path = work_path(spark, "append")
     for wave in period_slices(spark, sf_dir):
         sinks.write_table(wave, path, mode="append")
-    return sinks.read_back(spark, path)
+    return sinks.read_back(spark, path, merge_schema=True)
 
 
 @register("publish_reference", """
@@ -68,7 +81,7 @@ def q_publish_reference(spark, sf_dir):
 def region_dimension_export(spark, sf_dir):
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(sized_broadcast(region), nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("area_code"),
         F.upper(F.substring("n_name", 1, 2)).alias("area_abbrev"),
         F.col("n_name").alias("area_name"), F.col("r_name").alias("region_name"))
@@ -92,20 +105,27 @@ def q_csv_export_roundtrip(spark, sf_dir):
 # -- JSON ------------------------------------------------------------------------
 
 
-@register("json_flatten_dimension", DIM_EXPORT_SQL)
+@register("json_flatten_dimension", """
+SELECT n_nationkey AS area_code, upper(substr(n_name, 1, 2)) AS area_abbrev, n_name AS area_name,
+       CASE WHEN r_regionkey IN (2, 3) THEN NULL ELSE r_name END AS region_name
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def q_json_flatten_dimension(spark, sf_dir):
     """Records shaped like a geography API answer, made by Spark from nation
-    and region; in one region the nested object arrives as plain text."""
+    and region; the nested object arrives as plain text in one region, without the
+    field in another and with a null field in a third."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    wide = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    wide = nation.join(sized_broadcast(region), nation.n_regionkey == region.r_regionkey)
     head = [F.col("n_nationkey").alias("id"),
             F.upper(F.substring("n_name", 1, 2)).alias("code"), F.col("n_name").alias("name")]
     as_object = F.to_json(F.struct(*head, F.struct(F.col("r_regionkey").alias("id"),
                                                    F.col("r_name").alias("name")).alias("region")))
     as_text = F.to_json(F.struct(*head, F.col("r_name").alias("region")))
-    payload = wide.select(F.when(F.col("r_regionkey") == 4, as_text).otherwise(as_object)
-                          .alias("payload"))
+    lacking = F.to_json(F.struct(*head, F.struct(F.col("r_regionkey").alias("id")).alias("region")))
+    with_null = F.regexp_replace(as_object, r'"region":\{.*\}\}$', '"region":{"name":null}}')
+    key = F.col("r_regionkey")
+    payload = wide.select(F.when(key == 4, as_text).when(key == 2, lacking).when(key == 3, with_null)
+                          .otherwise(as_object).alias("payload"))
     return flatten_nested_record(
         payload, "payload",
         top={"area_code": ("id", "int"), "area_abbrev": ("code", "string"),
@@ -124,15 +144,12 @@ def q_json_props_extract(spark, sf_dir):
 
 
 @register("threshold_label", f"""
-SELECT event_id, CAST({fixed.SIM_MEASURE_OFFSET} + event_id AS DOUBLE) AS measure,
-       CASE WHEN CAST({fixed.SIM_MEASURE_OFFSET} + event_id AS DOUBLE) >= {fixed.LABEL_THRESHOLD}
-            THEN 1 ELSE 0 END AS label
+SELECT event_id, value AS measure, CASE WHEN value >= {fixed.LABEL_THRESHOLD} THEN 1 ELSE 0 END AS label
 FROM events""")
 def q_threshold_label(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
-    m = (F.lit(fixed.SIM_MEASURE_OFFSET) + F.col("event_id")).cast("double")
-    return ev.select("event_id", m.alias("measure"),
-                     threshold_flag(m, fixed.LABEL_THRESHOLD).alias("label"))
+    return ev.select("event_id", F.col("value").alias("measure"),
+                     threshold_flag("value", fixed.LABEL_THRESHOLD).alias("label"))
 
 
 @register("event_key_unique", """

@@ -1,4 +1,4 @@
-"""Join strategy helpers: broadcast only behind a proven size bound."""
+"""Join strategy helpers: broadcast only behind a size bound."""
 
 from __future__ import annotations
 
@@ -7,57 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+#: Bytes (as stored) of a side that is broadcast. Beyond it the join is left to Spark.
+DEFAULT_BROADCAST_BYTES = 32 << 20
 
 
-_BOUND_PROOFS: dict[tuple, list] = {}
+def stored_bytes(df: DataFrame) -> int:
+    """Size by the plan's statistics: of a plain scan, its files' bytes. No job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: each partition stops once it passes
-    the bound, so the check reads at most ``max_rows + 1`` rows per partition.
-    The answer is remembered per session and plan (``semanticHash``), so a
-    dimension used by many queries is proven once; inputs are taken to be
-    immutable while a session runs.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    for seen, answer in _BOUND_PROOFS.get(key, []):
-        if df.sameSemantics(seen):  # the hash is only a bucket; confirm the plan
-            return answer
-    answer = df.limit(max_rows + 1).count() <= max_rows
-    _BOUND_PROOFS.setdefault(key, []).append((df, answer))
-    return answer
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
                     derived: bool = False) -> DataFrame:
-    """Broadcast hint if the frame is proven small, else leave it to a shuffle join.
-
-    Above the bound Spark plans a sort-merge join on the keys; with AQE on it can
-    still convert to broadcast at runtime or split skewed partitions.
+    """Broadcast hint if the frame is known to be small, else leave it to a shuffle
+    join (adaptive execution can still convert it, or split hot partitions).
 
-    ``derived=True`` is for frames computed from big inputs (aggregates): the
-    frame is persisted before the check, so proving its size and using it in
-    the join share one computation instead of repeating the upstream work.
-    A derived frame that turns out large is released again.
+    ``derived=True`` is for frames computed from big inputs (aggregates), whose
+    statistics say nothing: the frame is written to the shared folder first, so that
+    its files' size decides, and the join reads those.
     """
-    if not derived:
-        return F.broadcast(df) if bounded_rows(df, max_rows) else df
-    cached = df.persist()
-    if bounded_rows(cached, max_rows):
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+    if derived:
+        df = materialize(df, "side")
+    return F.broadcast(df) if stored_bytes(df) <= max_bytes else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                   how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   how: str = "left", max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Equi-join on ``keys`` with null == null, keeping one copy of the keys."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
-    r = sized_broadcast(r, max_rows, derived=True)
+    r = sized_broadcast(r, max_bytes, derived=True)
     cond = None
     for k in keys:
         c = left[k].eqNullSafe(r[f"__r_{k}"])
@@ -73,12 +51,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet under the shared checkpoint
     folder and read it back. Later jobs start from these files instead of
     recomputing the plan, and a lost executor only costs re-reading them.
-    The same plan materialized again in the same session reuses the files
-    (inputs are taken to be immutable while a session runs)."""
+    The same plan over the same input files, materialized again in the same
+    session, reuses the files; an input that was rewritten has other files."""
     from lamina.session import work_path
 
     spark = df.sparkSession
-    key = (spark.sparkContext.applicationId, df.semanticHash(), name)
+    key = (spark.sparkContext.applicationId, df.semanticHash(), name, tuple(sorted(df.inputFiles())))
     for seen, path in _MATERIALIZED.get(key, []):
         if df.sameSemantics(seen):  # the hash is only a bucket; confirm the plan
             return spark.read.parquet(path)

@@ -10,6 +10,7 @@ from lamina.operators import ingest as ing
 from lamina.operators import profile as pr
 from lamina.plans import oracle as sql
 from lamina.plans.gold_queries import gold
+from lamina.plans.joins import sized_broadcast
 from lamina.plans.registry import register
 from lamina.sources.tables import fact_frame, period_slices, read_table
 
@@ -107,7 +108,7 @@ def q_dimension_distinct(spark, sf_dir):
     """Distinct projection of a denormalised dimension (one row per nation)."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    wide = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    wide = nation.join(sized_broadcast(region), nation.n_regionkey == region.r_regionkey)
     return wide.select((F.col("n_regionkey") + 1).alias("region_code"),
                        F.col("r_name").alias("region_name")).distinct()
 

@@ -68,11 +68,12 @@ def run_batch(spark: SparkSession, src: BatchSources, root: str, fmt: str = "par
     gold = put("published_fact", en.gold_fact(fact, clean["regions"], clean["areas"]),
                partition_by=["period"])
     leaf = put("published_leaf_stats", ind.fact_leaf(gold))
+    written = []
     for level in ind.LEVELS:
         stats = leaf if level is ind.AREA else ind.roll_up(leaf, level.keys)
-        put(f"published_indicators_{level.name}", ind.level_indicators(stats, level),
-            partition_by=["period"])
-    put("published_indicators", ind.all_levels(gold, leaf=leaf), partition_by=["period"])
+        written.append((level, put(f"published_indicators_{level.name}", ind.level_indicators(stats, level),
+                                   partition_by=["period"])))
+    put("published_indicators", ind.stacked(written), partition_by=["period"])
     if src.reference is not None:
         put("published_reference", src.reference,
             partition_by=[src.reference_partition] if src.reference_partition else [])

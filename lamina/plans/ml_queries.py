@@ -16,7 +16,7 @@ from lamina.operators import features as fe
 from lamina.operators import indicators as ind
 from lamina.plans import oracle_ml as sql
 from lamina.plans.gold_queries import gold
-from lamina.plans.joins import materialize
+from lamina.plans.joins import materialize, sized_broadcast
 from lamina.plans.registry import register
 from lamina.sources.tables import read_table
 
@@ -25,6 +25,11 @@ NUMERIC = list(sql.NUMERIC)
 CATEGORICAL = list(sql.CATEGORICAL)
 
 
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact, written once to the shared folder."""
+    return materialize(gold(spark, sf_dir), "published-fact")
+
+
 def model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published fact + area indicators (overlap dropped) + group context.
 
@@ -32,7 +37,7 @@ def model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     the group statistics with their join back, so it is written once to the
     shared folder (as the published table it is) and read for each use,
     instead of recomputing its joins three times."""
-    g = materialize(gold(spark, sf_dir), "published-fact")
+    g = published(spark, sf_dir)
     joined = fe.join_indicators(g, ind.indicators_for(g, ind.AREA))
     return fe.group_rate(joined, "group_id", LABEL)
 
@@ -89,7 +94,7 @@ def q_derived_features(spark, sf_dir):
     rate inputs are absent, so their change feature is (correctly) not added."""
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
-    src = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    src = c.join(sized_broadcast(n), c.c_nationkey == n.n_nationkey).select(
         "c_custkey", F.col("c_acctbal").alias("income_current"),
         F.col("c_nationkey").cast("double").alias("vulnerability_current"),
         (F.col("n_regionkey").cast("double") / F.lit(4.0)).alias("index_current"),
@@ -107,7 +112,7 @@ def q_select_features(spark, sf_dir):
 def q_class_balance(spark, sf_dir):
     y = F.col(LABEL)
     n_neg, n_pos = F.count(F.when(y == 0, 1)), F.count(F.when(y == 1, 1))
-    return model_base(spark, sf_dir).agg(
+    return published(spark, sf_dir).agg(
         n_neg.alias("n_neg"), n_pos.alias("n_pos"),
         (n_neg.cast("double") / F.greatest(F.lit(1), n_pos)).alias("imbalance_ratio"))
 
@@ -121,7 +126,7 @@ SAMPLE_TARGET_ROWS = 5000
 
 @register("sample_stratified_hash", sql.sample_sql(SAMPLE_TARGET_ROWS))
 def q_sample_stratified_hash(spark, sf_dir):
-    mf = model_base(spark, sf_dir)
+    mf = published(spark, sf_dir)
     return sp.sample_to_target(mf, LABEL, [0, 1], "entity_id", SAMPLE_TARGET_ROWS).select(
         "entity_id", LABEL)
 
@@ -129,18 +134,29 @@ def q_sample_stratified_hash(spark, sf_dir):
 @register("sample_stratified_bernoulli")
 def q_sample_stratified_bernoulli(spark, sf_dir):
     """Spark's sampleBy (not reproducible across partitionings: rows-only)."""
-    return sp.sample_bernoulli(model_base(spark, sf_dir), LABEL, {0: 0.33, 1: 0.33}).select(
+    return sp.sample_bernoulli(published(spark, sf_dir), LABEL, {0: 0.33, 1: 0.33}).select(
         "entity_id", LABEL)
 
 
+@register("sample_bernoulli_check", sql.with_gold() + """
+SELECT outcome, COUNT(*) AS n_class, TRUE AS within FROM gold WHERE outcome IN (0, 1) GROUP BY outcome""")
+def q_sample_bernoulli_check(spark, sf_dir):
+    """Kept rows of each class lie within five standard deviations of the expected."""
+    rows = published(spark, sf_dir).select("entity_id", LABEL)
+    kept = sp.sample_bernoulli(rows, LABEL, {0: 0.33, 1: 0.33}).groupBy(LABEL).agg(F.count("*").alias("k"))
+    n = F.col("n_class")
+    return (rows.groupBy(LABEL).agg(F.count("*").alias("n_class")).join(kept, LABEL)
+            .select(LABEL, "n_class", (F.abs(F.col("k") - n * 0.33) <= 5 * F.sqrt(n * 0.33 * 0.67)).alias("within")))
+
+
 @register("split_hash", sql.SPLIT_HASH)
 def q_split_hash(spark, sf_dir):
-    return labeled(model_frame(spark, sf_dir)).select("entity_id", LABEL, "split")
+    return sp.split_hash(labeled(published(spark, sf_dir)), "entity_id").select("entity_id", LABEL, "split")
 
 
 @register("split_exact", sql.SPLIT_EXACT)
 def q_split_exact(spark, sf_dir):
-    lab = labeled(model_base(spark, sf_dir)).select("entity_id", LABEL)
+    lab = labeled(published(spark, sf_dir)).select("entity_id", LABEL)
     return sp.split_exact(lab, LABEL, "entity_id")
 
 
@@ -195,16 +211,25 @@ def q_target_encode_oof(spark, sf_dir):
 
 @register("class_weights", sql.CLASS_WEIGHTS)
 def q_class_weights(spark, sf_dir):
-    cw = class_weights(train_rows(model_frame(spark, sf_dir)), LABEL)
+    cw = class_weights(train_rows(sp.split_hash(published(spark, sf_dir), "entity_id")), LABEL)
     return cw.withColumns({c: round_fine(c) for c in ("weight_0", "weight_1", "scale_pos_weight")})
 
 
 # -- evaluation of a score ---------------------------------------------------------------
 
+METRICS = ("accuracy", "f1", "f1_macro", "recall_class0", "roc_auc")
+
+
+def fine(df: DataFrame, columns) -> DataFrame:
+    """The columns without last-ulp noise: for the registered results alone,
+    decisions are made on the raw values."""
+    return df.withColumns({c: round_fine(c) for c in columns})
+
+
 
 def eval_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-level scores with a known outcome: price, inverse price and the
-    customer's smoothed outcome rate, each rounded to 4 decimals."""
+    customer's smoothed outcome rate."""
     o = read_table(spark, sf_dir, "orders")
     y = (F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0))
     base = o.select(F.col("o_orderkey").alias("entity_id"), "o_custkey", y.alias(LABEL),
@@ -213,9 +238,8 @@ def eval_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("o_totalprice") / F.lit(500000)
     scored = rated.select(
         "entity_id", LABEL,
-        round_half_up(price, 4).alias("score_price"),
-        round_half_up(F.lit(1) - price, 4).alias("score_inverse"),
-        round_half_up("cust_rate", 4).alias("score_group"))
+        price.alias("score_price"), (F.lit(1) - price).alias("score_inverse"),
+        F.col("cust_rate").alias("score_group"))
     return sp.split_hash(scored, "entity_id").where(F.col(LABEL).isNotNull())
 
 
@@ -229,7 +253,7 @@ def test_rows(spark, sf_dir):
 
 @register("binary_metrics", sql.BINARY_METRICS)
 def q_binary_metrics(spark, sf_dir):
-    return ev.binary_metrics(validation(spark, sf_dir), LABEL, "score_price")
+    return fine(ev.binary_metrics(validation(spark, sf_dir), LABEL, "score_price"), METRICS)
 
 
 def score_long(df: DataFrame) -> DataFrame:
@@ -244,37 +268,38 @@ def metrics_table(spark, sf_dir):
     long = score_long(validation(spark, sf_dir))
     m = ev.binary_metrics(long, LABEL, "score", group=["model"])
     order = spark.createDataFrame([(m_, o) for m_, _, o in sql.MODELS], "model string, model_order int")
-    return m.join(F.broadcast(order), "model")
+    return m.join(order, "model")
 
 
 @register("metrics_table", sql.METRICS_TABLE_SELECT)
 def q_metrics_table(spark, sf_dir):
-    return metrics_table(spark, sf_dir)
+    return fine(metrics_table(spark, sf_dir), METRICS)
 
 
 @register("champion_model", sql.CHAMPION)
 def q_champion_model(spark, sf_dir):
-    return ev.champion(metrics_table(spark, sf_dir))
+    return fine(ev.champion(metrics_table(spark, sf_dir)), METRICS)
 
 
 @register("roc_auc", sql.ROC_AUC)
 def q_roc_auc(spark, sf_dir):
-    return ev.roc_auc(validation(spark, sf_dir), LABEL, "score_price")
+    return fine(ev.roc_auc(validation(spark, sf_dir), LABEL, "score_price"), ["roc_auc"])
 
 
 @register("roc_curve_points", sql.ROC_CURVE)
 def q_roc_curve_points(spark, sf_dir):
-    return ev.roc_curve_points(validation(spark, sf_dir), LABEL, "score_price")
+    return fine(ev.roc_curve_points(validation(spark, sf_dir), LABEL, "score_price"), ["fpr", "tpr"])
 
 
 @register("threshold_sweep", sql.THRESHOLD_SWEEP)
 def q_threshold_sweep(spark, sf_dir):
-    return ev.threshold_sweep(validation(spark, sf_dir), LABEL, "score_price")
+    return fine(ev.threshold_sweep(validation(spark, sf_dir), LABEL, "score_price"), ["f1_class0"])
 
 
 @register("best_threshold", sql.BEST_THRESHOLD)
 def q_best_threshold(spark, sf_dir):
-    return ev.best_threshold(ev.threshold_sweep(validation(spark, sf_dir), LABEL, "score_price"))
+    best = ev.best_threshold(ev.threshold_sweep(validation(spark, sf_dir), LABEL, "score_price"))
+    return fine(best, ["f1_class0"])
 
 
 def tuned_threshold(spark, sf_dir) -> float:
@@ -290,8 +315,9 @@ def q_confusion_matrix(spark, sf_dir):
 
 @register("classification_report", sql.REPORT)
 def q_classification_report(spark, sf_dir):
-    return ev.classification_report(test_rows(spark, sf_dir), LABEL, "score_price",
-                                    tuned_threshold(spark, sf_dir))
+    report = ev.classification_report(test_rows(spark, sf_dir), LABEL, "score_price",
+                                      tuned_threshold(spark, sf_dir))
+    return fine(report, ["precision", "recall", "f1"])
 
 
 @register("score_risk_tier", sql.RISK_TIER)

@@ -21,14 +21,14 @@ from lamina.model import workflow as wf
 from lamina.model.explain import sampled_shapley
 from lamina.model.train import REFERENCE_CANDIDATES
 from lamina.plans import ml_queries as mq
+from lamina.plans import oracle_ml
 from lamina.plans.joins import materialize
 from lamina.plans.registry import register
 from lamina.session import work_path
 from lamina.sources import sinks
 
-PARTITIONS = None       # training layout follows the data (workflow.training_partitions)
-EXPLAIN_ROWS = fixed.EXPLAIN_ROWS  # rows explained by sampled Shapley values (a sample)
 EXPLAIN_SALT = "|explain42"
+ATTRIBUTION_ORDERS = 4   # sampled feature orders a row
 
 _CACHE: dict = {}
 
@@ -50,10 +50,14 @@ def model_data(spark, sf_dir) -> wf.ModelData:
         model_frame(spark, sf_dir), mq.NUMERIC, mq.CATEGORICAL, mq.LABEL, "entity_id"))
 
 
+def matrix(spark, sf_dir) -> wf.Matrix:
+    return _cached(spark, sf_dir, "matrix", lambda: wf.training_matrix(model_data(spark, sf_dir)))
+
+
 def fitted(spark, sf_dir, name: str) -> PipelineModel:
     cand = next(c for c in REFERENCE_CANDIDATES if c.name == name)
     return _cached(spark, sf_dir, f"fit:{name}", lambda: wf.fit_candidate(
-        model_data(spark, sf_dir), cand, partitions=PARTITIONS))
+        model_data(spark, sf_dir), cand, matrix(spark, sf_dir)))
 
 
 def validation_metrics(spark, sf_dir, name: str) -> DataFrame:
@@ -80,7 +84,7 @@ def tuned(spark, sf_dir):
         _, best = benchmark(spark, sf_dir)
         cand = next(c for c in REFERENCE_CANDIDATES if c.name == best)
         res, model, params = wf.random_search(model_data(spark, sf_dir), cand,
-                                              partitions=PARTITIONS)
+                                              matrix=matrix(spark, sf_dir))
         return res.withColumn("model", F.lit(best)), model, params
     return _cached(spark, sf_dir, "tuned", build)
 
@@ -105,7 +109,7 @@ def q_train_forest(spark, sf_dir):
 
 @register("train_boosted")
 def q_train_boosted(spark, sf_dir):
-    return validation_metrics(spark, sf_dir, "xgb")
+    return validation_metrics(spark, sf_dir, "gbt")
 
 
 @register("model_benchmark")
@@ -120,24 +124,55 @@ def q_tune_random_search(spark, sf_dir):
     return res.withColumn("chosen", F.col("params") == F.lit(json.dumps(params, sort_keys=True)))
 
 
-@register("score_batch")
-def q_score_batch(spark, sf_dir):
-    """Test rows scored by the tuned champion with the tuned threshold, joined
-    back to their original columns, with the score in percent and its tier."""
+def scored_test(spark, sf_dir) -> DataFrame:
+    """Test rows with their original columns, scored by the tuned champion with the
+    tuned threshold; the score in percent and its tier."""
     _, model, _ = tuned(spark, sf_dir)
     t = tuned_threshold(spark, sf_dir)
-    data = model_data(spark, sf_dir)
-    s = wf.score(model, data.test).select(
-        "entity_id", F.col(wf.LABEL).cast("int").alias("actual"),
-        F.when(F.col(wf.SCORE) >= F.lit(t), 1).otherwise(0).alias("predicted"),
-        round_half_up(F.col(wf.SCORE) * 100, 2).alias("score_pct"))
-    s = s.withColumn("risk_tier", risk_tier("score_pct"))
-    original = model_frame(spark, sf_dir).drop("split", "fold")
-    scored = original.join(s, "entity_id", "inner")
-    # the scored rows are published as a table (errors propagate, nothing swallowed)
+    rows = wf.score_rows(model, model_data(spark, sf_dir).test_rows.drop("fold"))
+    return rows.withColumns({
+        "actual": F.col(wf.LABEL).cast("int"),
+        "predicted": F.when(F.col(wf.SCORE) >= F.lit(t), 1).otherwise(0),
+        "score_pct": round_half_up(F.col(wf.SCORE) * 100, 2),
+    }).withColumn("risk_tier", risk_tier("score_pct")).drop(wf.LABEL, "split")
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    """The scored rows, published as a table and as CSV (errors propagate)."""
     path = work_path(spark, "scored")
-    sinks.write_table(scored, path)
-    return sinks.read_back(spark, path)
+    sinks.write_table(scored_test(spark, sf_dir).drop(wf.SCORE), path)
+    scored = sinks.read_back(spark, path)
+    sinks.export_csv(scored, work_path(spark, "scored-csv"))
+    return scored
+
+
+TEST_IDS = oracle_ml.with_mf() + "\nSELECT entity_id, outcome AS actual, {} FROM labeled WHERE split = 'test'"
+
+
+@register("score_batch_check", TEST_IDS.format("TRUE AS consistent"))
+def q_score_batch_check(spark, sf_dir):
+    """Every test row is scored once, with its own outcome; score, prediction and
+    tier agree."""
+    t = tuned_threshold(spark, sf_dir)
+    pct, p = F.col("score_pct"), F.col(wf.SCORE)
+    tier = (F.when(pct < fixed.RISK_HIGH_BELOW, "High").when(pct < fixed.RISK_LOW_FROM, "Medium").otherwise("Low"))
+    consistent = (p.between(0, 1) & (F.abs(pct - p * 100) <= 0.005 + 1e-9) & (F.col("risk_tier") == tier)
+                  & (F.col("predicted") == (p >= t).cast("int")) & (F.col("actual") == F.col("outcome")))
+    return scored_test(spark, sf_dir).select("entity_id", "actual", consistent.alias("consistent"))
+
+
+@register("metrics_published", """
+SELECT * FROM (VALUES ('logreg', 0, TRUE), ('rf', 1, TRUE), ('gbt', 2, TRUE)) t(model, model_order, plausible)""")
+def q_metrics_published(spark, sf_dir):
+    """The benchmark's metrics table, exported as CSV and read back: one row per
+    candidate, each better than chance."""
+    table, _ = benchmark(spark, sf_dir)
+    path = work_path(spark, "metrics-csv")
+    sinks.export_csv(table, path, single_file=True)
+    back = sinks.read_back(spark, path, fmt="csv", schema=table.schema, options={"header": "true"})
+    ok = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1) & (F.col("roc_auc") > 0.5)
+    return back.select("model", "model_order", ok.alias("plausible"))
 
 
 @register("model_roundtrip")
@@ -154,11 +189,20 @@ def q_model_roundtrip(spark, sf_dir):
         "equal", F.abs(F.col("p_saved") - F.col("p_loaded")) <= F.lit(1e-12))
 
 
-def explain_rows(spark, sf_dir) -> DataFrame:
-    """About EXPLAIN_ROWS test rows, chosen by a salted hash of the id."""
+@register("model_roundtrip_check", TEST_IDS.format("TRUE AS equal"))
+def q_model_roundtrip_check(spark, sf_dir):
+    """Every test row scores the same after saving and loading the model."""
+    ids = model_data(spark, sf_dir).test.select("entity_id", F.col(wf.LABEL).cast("int").alias("actual"))
+    return ids.join(q_model_roundtrip(spark, sf_dir).select("entity_id", "equal"), "entity_id")
+
+
+def explain_rows(spark, sf_dir, rows: int | None = None) -> DataFrame:
+    """All test rows; with ``rows``, about that many, chosen by a salted hash of the id."""
     test = model_data(spark, sf_dir).test
+    if rows is None:
+        return test
     n = test.count()
-    frac = min(1.0, EXPLAIN_ROWS / n) if n else 1.0
+    frac = min(1.0, rows / n) if n else 1.0
     return test.where(sp.hash_u32("entity_id", EXPLAIN_SALT) < F.lit(frac * sp.TWO_32))
 
 
@@ -179,5 +223,31 @@ def q_attribution_sampled(spark, sf_dir):
     _, model, _ = tuned(spark, sf_dir)
     rows = explain_rows(spark, sf_dir)
     out = sampled_shapley(model, rows, background_point(spark, sf_dir),
-                          mq.NUMERIC, mq.CATEGORICAL, "entity_id", n_perm=8)
+                          mq.NUMERIC, mq.CATEGORICAL, "entity_id", n_perm=ATTRIBUTION_ORDERS)
     return out.withColumn("mean_abs", round_fine("mean_abs"))
+
+
+@register("attribution_check", TEST_IDS.format("TRUE AS additive"))
+def q_attribution_check(spark, sf_dir):
+    """Of every test row: the attributions add up to its score less the background's."""
+    _, model, _ = tuned(spark, sf_dir)
+    rows, point = explain_rows(spark, sf_dir), background_point(spark, sf_dir)
+    parts = sampled_shapley(model, rows, point, mq.NUMERIC, mq.CATEGORICAL, "entity_id", n_perm=1, keep_rows=True)
+    base = wf.score(model, spark.createDataFrame([point]).select(*mq.NUMERIC, *mq.CATEGORICAL)).first()[wf.SCORE]
+    total = parts.groupBy("entity_id").agg(F.sum("v").alias("phi"))
+    scored = wf.score(model, rows).select("entity_id", F.col(wf.LABEL).cast("int").alias("actual"), wf.SCORE)
+    return scored.join(total, "entity_id").select(
+        "entity_id", "actual", (F.abs(F.col("phi") - (F.col(wf.SCORE) - F.lit(base))) < 1e-9).alias("additive"))
+
+
+@register("train_check", oracle_ml.with_mf() + """
+SELECT m.model, COUNT(*) AS n, COUNT(CASE WHEN l.outcome = 1 THEN 1 END) AS n_pos
+FROM labeled l CROSS JOIN (VALUES ('logreg'), ('rf'), ('gbt')) m(model)
+WHERE l.split = 'validation' GROUP BY m.model""")
+def q_train_check(spark, sf_dir):
+    """Confusion cells of each candidate on validation add up to the rows and positives."""
+    valid = model_data(spark, sf_dir).validation
+    parts = [ev.confusion_cells(wf.score(fitted(spark, sf_dir, c.name), valid), wf.LABEL, wf.SCORE, strict=True)
+             .select(F.lit(c.name).alias("model"), (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"),
+                     (F.col("tp") + F.col("fn")).alias("n_pos")) for c in REFERENCE_CANDIDATES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -10,8 +10,13 @@ from __future__ import annotations
 
 
 def r2(e: str) -> str:
-    """Half-up rounding to 2 decimals, same rule as ``functions.round_half_up``."""
-    return f"CAST(ROUND(CAST({e} AS DECIMAL(28,8)), 2) AS DOUBLE)"
+    """The double's shortest decimal form, rounded half-up to 2 places as a decimal
+    (this engine's ROUND of a double scales in binary and misses ties)."""
+    return rounded(e, 2)
+
+
+def rounded(e: str, digits: int) -> str:
+    return f"CAST(ROUND(CAST(CAST({e} AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
 
 
 def rf(e: str, digits: int = 8) -> str:
@@ -93,7 +98,7 @@ def level_cte(name: str, keys: list[str], window_keys: list[str], order_keys: li
   SELECT period, {k},
          COUNT(*) AS n_total,
          COUNT(outcome) AS n_known,
-         {r2('AVG(measure)')} AS mean_measure,
+         {r2('CAST(CAST(SUM(CAST(CAST(measure AS VARCHAR) AS DECIMAL(28,12))) AS VARCHAR) AS DOUBLE) / COUNT(measure)')} AS mean_measure,
          {r2('CAST(SUM(CASE WHEN outcome = 1 THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(COUNT(outcome), 0) * 100')} AS pct_positive,
          {r2('CAST(SUM(CASE WHEN outcome = 0 THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(COUNT(outcome), 0) * 100')} AS pct_negative
   FROM gold

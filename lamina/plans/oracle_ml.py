@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lamina import fixed
-from lamina.plans.oracle import AREA_CTE, rf, with_gold
+from lamina.plans.oracle import AREA_CTE, rf, rounded, with_gold
 
 NUMERIC = ("region_code", "segment_code", "n_total", "n_known", "prev_n_total",
            "prev_mean_measure", "prev_pct_positive", "prev_pct_negative", "delta_mean_measure",
@@ -14,10 +14,6 @@ INDICATOR_VALUES = ("n_total", "n_known", "mean_measure", "pct_positive", "pct_n
                     "delta_mean_measure", "delta_pct_positive", "delta_pct_negative", "growth_pct")
 
 
-def rn(e: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({e} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
-
-
 def h32(id_expr: str, salt: str) -> str:
     return f"(('0x' || substr(md5(CAST({id_expr} AS VARCHAR) || '{salt}'), 1, 8))::BIGINT)"
 
@@ -187,9 +183,9 @@ EVAL_CTE = f"""cust AS (
 ev_all AS (
   SELECT o.o_orderkey AS entity_id,
          CASE o.o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS outcome,
-         {rn('o.o_totalprice / 500000', 4)} AS score_price,
-         {rn('1 - o.o_totalprice / 500000', 4)} AS score_inverse,
-         {rn('c.rate', 4)} AS score_group,
+         o.o_totalprice / 500000 AS score_price,
+         1 - o.o_totalprice / 500000 AS score_inverse,
+         c.rate AS score_group,
          CASE WHEN {h32('o.o_orderkey', '|split42')} % 100 < 70 THEN 'train'
               WHEN {h32('o.o_orderkey', '|split42')} % 100 < 85 THEN 'validation'
               ELSE 'test' END AS split
@@ -321,7 +317,7 @@ UNION ALL SELECT 'weighted avg', {rf('p0 * w0 + p1 * w1')}, {rf('r0 * w0 + r1 *
                  {rf('f0 * w0 + f1 * w1')}, n FROM f"""
 
 RISK_TIER = "WITH " + EVAL_CTE + f""",
-pct AS (SELECT entity_id, outcome, score_price, {rn('score_price * 100', 2)} AS score_pct FROM ev_test)
+pct AS (SELECT entity_id, outcome, score_price, {rounded('score_price * 100', 2)} AS score_pct FROM ev_test)
 SELECT entity_id, outcome, score_price, score_pct,
        CASE WHEN score_pct < {fixed.RISK_HIGH_BELOW} THEN 'High'
             WHEN score_pct >= {fixed.RISK_HIGH_BELOW} AND score_pct < {fixed.RISK_LOW_FROM} THEN 'Medium'

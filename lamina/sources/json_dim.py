@@ -21,13 +21,14 @@ def flatten_nested_record(df: DataFrame, json_col: str, top: Mapping[str, tuple[
                           nested: str, nested_field: str, nested_alias: str) -> DataFrame:
     """Flatten records like ``{id, code, name, region: {name, ...}}``.
 
-    ``top`` maps output column -> (json field, type). The nested value is read
-    as text: when it is an object its ``nested_field`` is taken, otherwise the
-    text itself (a plain string in place of the object).
+    ``top`` maps output column -> (json field, type). When the nested value is an
+    object its ``nested_field`` is taken (null if it is null or absent),
+    otherwise the value itself (a plain string in place of the object).
     """
     ddl = ", ".join([f"`{f}` {t}" for f, t in top.values()] + [f"`{nested}` string"])
     parsed = F.from_json(F.col(json_col), ddl)
     raw = parsed.getField(nested)
-    inner = F.get_json_object(raw, f"$.{nested_field}")
+    is_object = F.coalesce(F.ltrim(F.get_json_object(raw, "$")).startswith("{"), F.lit(False))
+    value = F.when(is_object, F.get_json_object(raw, f"$.{nested_field}")).otherwise(raw)
     return df.select(*[parsed.getField(f).alias(out) for out, (f, _) in top.items()],
-                     F.coalesce(inner, raw).alias(nested_alias))
+                     value.alias(nested_alias))

@@ -63,8 +63,8 @@ def test_bucketed_auc_matches_brute_force(spark):
     rng = random.Random(3)
     pairs = [(round(rng.random(), 2), rng.randint(0, 1)) for _ in range(600)]
     df = spark.createDataFrame(pairs, "p double, y int")
-    for bits in (1, 3, 16):
-        got = ev.roc_auc(df, "y", "p", bits=bits).first().roc_auc
+    for buckets in (1, 3, 16):
+        got = ev.roc_auc(df, "y", "p", buckets=buckets).first().roc_auc
         assert got == pytest.approx(_brute_auc(pairs), abs=1e-8)
 
 
@@ -81,7 +81,7 @@ def test_roc_curve_points_brute_force(spark):
     df = spark.createDataFrame(pairs, "p double, y int")
     P = sum(y for _, y in pairs)
     N = len(pairs) - P
-    got = {r.threshold: (r.fpr, r.tpr) for r in ev.roc_curve_points(df, "y", "p", bits=2).collect()}
+    got = {r.threshold: (r.fpr, r.tpr) for r in ev.roc_curve_points(df, "y", "p", buckets=2).collect()}
     for t, (fpr, tpr) in got.items():
         assert fpr == pytest.approx(sum(1 for p, y in pairs if p >= t and y == 0) / N)
         assert tpr == pytest.approx(sum(1 for p, y in pairs if p >= t and y == 1) / P)
@@ -115,6 +115,46 @@ def test_oof_encoding_matches_direct_refit(spark):
                 assert oof[(cat, f)] == pytest.approx(direct[cat], abs=1e-12)
 
 
+def test_median_among_ties(spark):
+    """40 % negatives, 30 % zeros, 30 % positives: the zeros are one row."""
+    rng = random.Random(9)
+    xs = [-rng.random() for _ in range(800)] + [0.0] * 600 + [rng.random() for _ in range(600)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    assert prep.exact_medians(df, ["x"], max_exact_rows=100)["x"] == 0.0
+    inside = prep._brackets(df, {"x": [999, 1000]}, {"x": 2000}, 1e-3)
+    assert df.where(F.col("x").between(*inside["x"][:2])).distinct().count() < 100
+
+
+@pytest.mark.parametrize("scale,shift", [(1.0, 5.0), (4e-7, 0.0)])
+def test_score_buckets_are_even(spark, scale, shift):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(shift + scale * rng.random(), rng.randint(0, 1)) for _ in range(4000)], "p double, y int")
+    n = df.groupBy("p").count().repartitionByRange(16, "p").groupBy(F.spark_partition_id()).count()
+    assert n.agg(F.max("count")).first()[0] < 4000 / 4
+    pairs = [(r.p, r.y) for r in df.collect()]
+    ranks = {p: i for i, (p, _) in enumerate(sorted(pairs))}
+    pos = [ranks[p] for p, y in pairs if y]
+    want = (sum(pos) - len(pos) * (len(pos) - 1) / 2) / (len(pos) * (4000 - len(pos)))
+    assert ev.roc_auc(df, "y", "p").first().roc_auc == pytest.approx(want, abs=1e-12)
+
+
+def test_decisions_on_raw_metrics(spark):
+    metrics = spark.createDataFrame([("a", 0, 0.7), ("b", 1, 0.7 + 1e-10)], "model string, model_order int, roc_auc double")
+    assert ev.champion(metrics).first().model == "b"
+    sweep = spark.createDataFrame([(0.4, 0.5), (0.5, 0.5 + 1e-10)], "threshold double, f1_class0 double")
+    assert ev.best_threshold_value(sweep) == 0.5
+
+
+def test_rewritten_input_is_read_anew(spark):
+    from lamina.plans.joins import materialize
+    from lamina.session import work_path
+
+    path = work_path(spark, "t-rewritten")
+    for n in (10, 25):
+        spark.range(n).write.mode("overwrite").parquet(path)
+        assert materialize(spark.read.parquet(path).select("id"), "t").count() == n
+
+
 def test_hash_split_is_stable_and_complete(spark, values):
     df, _ = values
     a = sp.split_hash(df, "id").select("id", "split")

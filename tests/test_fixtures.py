@@ -208,6 +208,38 @@ def test_json_flatten_object_or_text(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, "n1", "North"), (2, "n2", "South")]
 
 
+def test_json_flatten_null_and_absent_fields(spark):
+    from lamina.sources.json_dim import flatten_nested_record
+
+    df = spark.createDataFrame([('{"id": 1, "region": {"id": 9}}',), ('{"id": 2, "region": {"name": null}}',),
+                                ('{"id": 3, "region": null}',), ('{"id": 4, "region": "{x"}',)], "j string")
+    out = flatten_nested_record(df, "j", {"code": ("id", "int")}, "region", "name", "region_name")
+    assert sorted((r.code, r.region_name) for r in out.collect()) == [(1, None), (2, None), (3, None), (4, "{x")]
+
+
+def test_rounding_once(spark):
+    from lamina.functions.exprs import round_half_up
+
+    df = spark.createDataFrame([(71.0049999999,), (62.3449999951,), (1.005,), (-1.005,), (None,)], "x double")
+    assert [r[0] for r in df.select(round_half_up("x")).collect()] == [71.0, 62.34, 1.01, -1.01, None]
+    g = gold_rows(spark, [(2024, 71.0049999999, 1)])
+    assert ind.indicators_for(g, ind.AREA).first().mean_measure == 71.0
+
+
+def test_duplicate_report_is_ordered(spark):
+    from lamina.operators.profile import duplicate_key_report
+
+    df = spark.createDataFrame([(2, 1, "a"), (1, 1, "b"), (1, 1, "a"), (1, 2, "c"), (3, 1, "a"), (3, 2, "a")],
+                               "id int, period int, k string")
+    got = [tuple(r) for r in duplicate_key_report(df, "id", "period", ["k"]).collect()]
+    assert got == [(1, 1, "a", 1), (1, 1, "b", 1), (2, 1, "c", 1)]
+
+
+def test_rate_change(spark):
+    df = spark.createDataFrame([(3.0, 1.0), (None, 1.0)], "rate_current double, rate_previous double")
+    assert [r.rate_change for r in fe.derived_features(df).collect()] == [2.0, None]
+
+
 def test_threshold_label_null_is_zero(spark):
     from lamina.functions.exprs import threshold_flag
 

@@ -4,11 +4,12 @@ rows-only queries run and return rows."""
 import pytest
 
 import __spark_entry__ as entry
+from lamina.plans import registry
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.oracle_compare import compare, duck
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+registry.load_all()
+ORACLE, QUERIES = registry.ORACLE, registry.QUERIES
 TRAINING = {"train_logistic", "train_forest", "train_boosted", "model_benchmark",
             "tune_random_search", "score_batch", "model_roundtrip", "attribution_sampled"}
 

@@ -70,7 +70,7 @@ def test_sampled_shapley_additivity(spark):
     from lamina.plans import ml_train_queries as tq
 
     model = tq.fitted(spark, SF_SMALL, "logreg")
-    rows = tq.explain_rows(spark, SF_SMALL)
+    rows = tq.explain_rows(spark, SF_SMALL, 250)
     bg = tq.background_point(spark, SF_SMALL)
     per_row = sampled_shapley(model, rows, bg, mq.NUMERIC, mq.CATEGORICAL, "entity_id",
                               n_perm=3, keep_rows=True)
