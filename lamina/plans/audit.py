@@ -16,7 +16,8 @@ import time
 
 SKIP = {"train_logistic", "train_forest", "train_boosted", "model_benchmark",
         "tune_random_search", "score_batch", "model_roundtrip", "attribution_sampled"}
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "MapInArrow",
+                "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow")
 
 
 STAGES = ("ShuffleQueryStage", "BroadcastQueryStage", "TableCacheQueryStage",
@@ -24,8 +25,8 @@ STAGES = ("ShuffleQueryStage", "BroadcastQueryStage", "TableCacheQueryStage",
 
 
 def final_plan(df):
-    """The final physical plan (a JVM node) after running ``df``."""
-    df.collect()
+    """The final physical plan (a JVM node) after running ``df``; no row reaches the driver."""
+    df._jdf.queryExecution().toRdd().count()
     plan = df._jdf.queryExecution().executedPlan()
     if plan.nodeName() == "AdaptiveSparkPlan":
         plan = plan.executedPlan()
@@ -76,16 +77,13 @@ def summarize(plan) -> dict:
 
 
 def main(argv: list[str]) -> None:
-    import os
-
-    sys.path.insert(0, os.getcwd())
-    import __spark_entry__ as entry
+    from lamina.plans import registry
     from lamina.session import local_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
-    qs = entry.queries()
-    oracle = entry.oracle_sql()
+    registry.load_all()
+    qs, oracle = registry.QUERIES, registry.ORACLE
     print(f"# Plan audit ({sf_dir}, final adaptive plans)\n")
     print("Generated by `python -m lamina.plans.audit`. Columns: file scans per input table; "
           "hash/range/single-partition exchanges (shuffles); exchanges reused within the "
