@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lamina.session import work_path
 
 #: Text bytes that one numpy pass handles; a longer document is a pass alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SHIPPED: set[str] = set()
 
@@ -73,19 +73,20 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[TextChun
     the texts into Python strings. A null text is an empty one."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    arr = pc.fill_null(column, "").cast(pa.large_string())
+    arr = pc.fill_null(column, "") if column.null_count else column
     n = len(arr)
     if n == 0:
         return
     buffers = arr.buffers()
-    offs = np.frombuffer(buffers[1], dtype=np.int64)[arr.offset:arr.offset + n + 1]
+    width = np.int64 if pa.types.is_large_string(arr.type) else np.int32
+    offs = np.frombuffer(buffers[1], dtype=width)[arr.offset:arr.offset + n + 1]
     data = (np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] is not None and buffers[2].size
             else np.zeros(0, np.uint8))
     at = 0
     while at < n:
-        to = int(np.searchsorted(offs, offs[at] + limit, side="right")) - 1
+        to = int(np.searchsorted(offs, int(offs[at]) + limit, side="right")) - 1
         to = min(max(to, at + 1), n)
-        yield TextChunk(at, data[offs[at]:offs[to]], offs[at:to + 1] - offs[at])
+        yield TextChunk(at, data[offs[at]:offs[to]], offs[at:to + 1].astype(np.int64) - int(offs[at]))
         at = to
 
 

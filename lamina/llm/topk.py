@@ -103,6 +103,7 @@ class ShardLists:
         self.low = np.tile(self.bottom, (self.n, 1))    # least that each component can be
         self.high = np.tile(self.top, (self.n, 1))      # most that it can be
         self.read = 0
+        self.whole: np.ndarray | None = None
 
     def read_to(self, depth: int) -> None:
         """Read each list's entries up to ``depth`` from both ends; what is still
@@ -121,6 +122,13 @@ class ShardLists:
         np.copyto(self.low, near_bottom, where=unseen)
         self.read = depth
 
+    def final(self, places: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Final scores of a few candidates: the lists are read on for them."""
+        if self.whole is None:
+            self.whole = np.empty((self.n, self.dim))
+            np.put_along_axis(self.whole, self.places.T.astype(np.int64), self.values.T, axis=0)
+        return self.whole[places] @ q
+
     def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bounds of the scores, queries x vectors."""
         plus, minus = np.maximum(q, 0), np.minimum(q, 0)
@@ -164,7 +172,7 @@ def shard_top(lists: ShardLists, query_ids: np.ndarray, queries: np.ndarray, k:
             for i in np.flatnonzero(few | last):
                 # no outsider can qualify: resolve the candidates left, and no others
                 c = np.flatnonzero(left[i])
-                final = low[i, c] if last else _final(lists, c, queries[part[i]])
+                final = low[i, c] if last else lists.final(c, queries[part[i]])
                 order = np.lexsort((lists.ids[c], -final))[:k]
                 yield int(part[i]), lists.ids[c[order]], final[order]
             still.append(part[~(few | last)])
@@ -173,19 +181,6 @@ def shard_top(lists: ShardLists, query_ids: np.ndarray, queries: np.ndarray, k:
             return
 
 
-def _final(lists: ShardLists, places: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Final scores of a few candidates: the lists are read on for them alone."""
-    return _rows(lists, places) @ q
-
-
-def _rows(lists: ShardLists, places: np.ndarray) -> np.ndarray:
-    if not hasattr(lists, "whole"):
-        whole = np.empty((lists.n, lists.dim))
-        np.put_along_axis(whole, lists.places.T.astype(np.int64), lists.values.T, axis=0)
-        lists.whole = whole
-    return lists.whole[places]
-
-
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id",
           vec_col: str = "embedding", scale: int = SCALE, shard_rows: int = SHARD_ROWS,
           block_queries: int = BLOCK_QUERIES) -> DataFrame:
