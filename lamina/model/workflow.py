@@ -32,7 +32,7 @@ SCORE = "p1"
 FEATURES = "features"
 CV_SALT = f"|cv{fixed.SEED}"
 ROWS_PER_PARTITION = 1_000_000
-MIN_PARTITIONS = 32
+MIN_PARTITIONS = 8
 
 
 def training_partitions(n_rows: int) -> int:
