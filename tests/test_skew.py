@@ -38,10 +38,12 @@ def test_group_rate_hot_group(spark, skewed):
     assert out[0].group_volume == len(hot)
 
 
-def test_group_rate_plan_combines_map_side(spark, skewed):
+def test_group_rate_does_not_shuffle_the_rows(spark, skewed):
+    """The group statistics are aggregated and written once; the rows meet them in a
+    broadcast join, so the hot group's rows stay where they are."""
     df, _ = skewed
     plan = fe.group_rate(df, "g", "y")._jdf.queryExecution().executedPlan().toString()
-    assert "partial_sum" in plan and "partial_count" in plan
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_indicators_hot_area(spark, skewed):
