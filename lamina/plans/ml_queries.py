@@ -39,7 +39,8 @@ def model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     instead of recomputing its joins three times."""
     g = published(spark, sf_dir)
     joined = fe.join_indicators(g, ind.indicators_for(g, ind.AREA))
-    return fe.group_rate(joined, "group_id", LABEL)
+    # derived features come before the selection; each is added where its inputs exist
+    return fe.derived_features(fe.group_rate(joined, "group_id", LABEL))
 
 
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

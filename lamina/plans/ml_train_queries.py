@@ -20,6 +20,7 @@ from lamina.model import split as sp
 from lamina.model import workflow as wf
 from lamina.model.explain import sampled_shapley
 from lamina.model.train import REFERENCE_CANDIDATES
+from lamina.operators.profile import require_non_empty
 from lamina.plans import ml_queries as mq
 from lamina.plans import oracle_ml
 from lamina.plans.joins import materialize
@@ -47,7 +48,7 @@ def model_frame(spark, sf_dir) -> DataFrame:
 
 def model_data(spark, sf_dir) -> wf.ModelData:
     return _cached(spark, sf_dir, "data", lambda: wf.prepare(
-        model_frame(spark, sf_dir), mq.NUMERIC, mq.CATEGORICAL, mq.LABEL, "entity_id"))
+        require_non_empty(model_frame(spark, sf_dir), "model frame"), mq.NUMERIC, mq.CATEGORICAL, mq.LABEL, "entity_id"))
 
 
 def matrix(spark, sf_dir) -> wf.Matrix:

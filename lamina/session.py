@@ -48,7 +48,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if _FALLBACK_ROOT is None:
         # Unset only in local runs (tests): make our own and register it.

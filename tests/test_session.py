@@ -41,6 +41,8 @@ def test_configured_dir_is_used():
 def test_cluster_without_dir_refuses_local_folder():
     with pytest.raises(ValueError):
         session.checkpoint_root(_Session(_Ctx("yarn")))
+    with pytest.raises(ValueError):
+        session.checkpoint_root(_Session(_Ctx("local-cluster[2,1,1024]")))
 
 
 def test_local_run_gets_its_own_folder():

@@ -44,6 +44,23 @@ def test_stream_between_catalog_tables(spark):
     assert counts == [30, 30, 60]
 
 
+def test_model_frame_with_a_repeated_column_raises(spark):
+    from lamina.model import workflow as wf
+
+    df = spark.createDataFrame([(1, 1.0, 2.0, "train", 0)], "id long, x double, y double, split string, fold int")
+    with pytest.raises(ValueError):
+        wf.prepare(df.select("*", "x"), ["x"], [], "y", "id")
+
+
+def test_stream_of_more_batches_than_spark_remembers(spark):
+    events = read_table(spark, SF_SMALL, "events").limit(120).repartition(120)
+    stage, sink, ckpt = (work_path(spark, n) for n in ("t-many", "t-many-sink", "t-many-ckpt"))
+    sinks.write_table(events, stage, mode="append")
+    files = len(spark.read.parquet(stage).inputFiles())
+    run = run_incremental(stream_source(spark, stage, events.schema, max_files_per_trigger=1), sink, ckpt, "t_many")
+    assert run.batches == files and spark.read.parquet(sink).count() == 120
+
+
 def test_logistic_fit_save_load(spark):
     from pyspark.ml import PipelineModel
 
