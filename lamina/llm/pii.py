@@ -31,20 +31,32 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: kind -> pattern, in order of precedence. No pattern can match the empty text, and
 #: each begins behind a boundary, so that a long run of characters is read once.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"""(?<![A-Za-z0-9_])(?i:password|passwd|secret|api_key|token)\s?[=:]\s?["']?[A-Za-z0-9_+/.~-]{8,128}["']?""",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "email": r"(?<![.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
+    "secret": r"""(?i:password|passwd|secret|api_key|token)\s?[=:]\s?["']?[A-Za-z0-9_+/.~-]{8,128}["']?""",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "month": rf"(?:{_MONTHS}) \d{{1,2}}, \d{{4}}(?!\d)",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "date": (r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-])"
-             rf"|(?<!\d)\d{{1,2}} (?:{_MONTHS}) \d{{4}}(?!\d)|(?<![A-Za-z])(?:{_MONTHS}) \d{{1,2}}, \d{{4}}(?!\d)"),
+             rf"|(?<!\d)\d{{1,2}} (?:{_MONTHS}) \d{{4}}(?!\d)"),
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
     "phone": (r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d){5,10}(?!\d)"
               r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}(?![\d-])"),
 }
+_AT_WORDS = ("email", "key", "secret", "iban", "month")
 
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+
+def _either(kinds) -> str:
+    return "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
+
+
+#: All kinds. Two tests of one character decide at most places: those that begin with a
+#: token stand at a word's start, the others begin with a digit or a sign.
+ANY = (rf"(?<![A-Za-z0-9_])(?=[A-Za-z0-9._%+-])(?:{_either(_AT_WORDS)})"
+       rf"|(?=[\d+(])(?:{_either(k for k in PATTERNS if k not in _AT_WORDS)})")
+#: A text without any of these holds no match.
+QUICK = r"[0-9@=:]|AKIA"
 
 _FIRST_DAY = "1900-01-01"
 #: 1900 to 2099 have 73,049 days: 17 times 4,297.
@@ -57,41 +69,49 @@ def _prf(key: str, kind: str, i: Column, other: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), other.cast("string")).cast("binary"), 256)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _add_stream(half: Column, stream: Column, upper: int, lower: int) -> Column:
     """Each character moved on within its class by a byte of the stream."""
-    def moved(j: Column) -> Column:
-        c = F.substr(half, j, F.lit(1))
-        a = F.ascii(c)
-        b = F.conv(F.substr(stream, 1 + 2 * F.pmod(j - 1, F.lit(32)), F.lit(2)), 16, 10).cast("int")
-        return (F.when(a.between(48, 57), F.char(48 + F.pmod(a - 48 + b, F.lit(10))))
-                .when(a.between(65, 64 + upper), F.char(65 + F.pmod(a - 65 + b, F.lit(upper))))
-                .when(a.between(97, 96 + lower), F.char(97 + F.pmod(a - 97 + b, F.lit(lower))))
-                .otherwise(c))
+    def all_moved(bytes_: Column) -> Column:
+        def moved(j: Column) -> Column:
+            c = F.substr(half, j, F.lit(1))
+            a = F.ascii(c)
+            b = F.conv(F.substr(bytes_, 1 + 2 * F.pmod(j - 1, F.lit(32)), F.lit(2)), 16, 10).cast("int")
+            return (F.when(a.between(48, 57), F.char(48 + F.pmod(a - 48 + b, F.lit(10))))
+                    .when(a.between(65, 64 + upper), F.char(65 + F.pmod(a - 65 + b, F.lit(upper))))
+                    .when(a.between(97, 96 + lower), F.char(97 + F.pmod(a - 97 + b, F.lit(lower))))
+                    .otherwise(c))
 
-    n = F.length(half)
-    return F.when(n == 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), n), moved), ""))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), moved), "")
+
+    return F.when(F.length(half) == 0, F.lit("")).otherwise(_let(stream, all_moved))
 
 
 def feistel_text(value: Column, key: str, kind: str, upper: int = 26, lower: int = 26) -> Column:
     """Permutation of the strings with the same characters' classes. ``upper`` and
     ``lower`` are the sizes of the letter classes, from A and a."""
-    half = F.floor(F.length(value) / 2).cast("int")
-    start = F.struct(F.substr(value, F.lit(1), half).alias("l"),
-                     F.substr(value, half + 1, F.length(value)).alias("r"))
+    def halves(v: Column) -> Column:
+        half = F.floor(F.length(v) / 2).cast("int")
+        return F.struct(F.substr(v, F.lit(1), half).alias("l"), F.substr(v, half + 1, F.length(v)).alias("r"))
 
     def step(s: Column, i: Column) -> Column:
         left, right = s["l"], s["r"]
         return (F.when(i % 2 == 1, F.struct(left.alias("l"), _add_stream(right, _prf(key, kind, i, left), upper, lower).alias("r")))
                 .otherwise(F.struct(_add_stream(left, _prf(key, kind, i, right), upper, lower).alias("l"), right.alias("r"))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.concat(s["l"], s["r"]))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), _let(value, halves), step, lambda s: F.concat(s["l"], s["r"]))
 
 
 def feistel_number(value: Column, key: str, kind: str, radix: tuple[int, int]) -> Column:
     """Permutation of 0 .. radix[0] * radix[1] - 1."""
     a, b = F.lit(radix[0]).cast("long"), F.lit(radix[1]).cast("long")
-    value = value.cast("long")
-    start = F.struct(F.floor(value / b).cast("long").alias("l"), F.pmod(value, b).alias("r"))
+
+    def halves(v: Column) -> Column:
+        return F.struct(F.floor(v / b).cast("long").alias("l"), F.pmod(v, b).alias("r"))
 
     def drawn(i: Column, other: Column) -> Column:
         return F.conv(F.substr(_prf(key, kind, i, other), F.lit(1), F.lit(12)), 16, 10).cast("long")
@@ -101,97 +121,117 @@ def feistel_number(value: Column, key: str, kind: str, radix: tuple[int, int]) -
         return (F.when(i % 2 == 1, F.struct(left.alias("l"), F.pmod(right + drawn(i, left), b).alias("r")))
                 .otherwise(F.struct(F.pmod(left + drawn(i, right), a).alias("l"), right.alias("r"))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: s["l"] * b + s["r"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), _let(value.cast("long"), halves), step,
+                       lambda s: s["l"] * b + s["r"])
 
 
 def _strip(value: Column, but: str) -> Column:
     return F.regexp_replace(value, f"[^{but}]", "")
 
 
-def _into_layout(layout: Column, new: Column, signs: str) -> Column:
-    """``new``'s characters in the places of those of ``layout`` that are in ``signs``."""
-    def at(j: Column) -> Column:
-        c = F.substr(layout, j, F.lit(1))
-        nth = F.length(_strip(F.substr(layout, F.lit(1), j), signs))
-        return F.when(c.rlike(f"[{signs}]"), F.substr(new, nth, F.lit(1))).otherwise(c)
+def _into_layout(layout: Column, value: Column, signs: str) -> Column:
+    """``value``'s characters in the places of those of ``layout`` that are in ``signs``."""
+    def filled(new: Column) -> Column:
+        def at(j: Column) -> Column:
+            c = F.substr(layout, j, F.lit(1))
+            nth = F.length(_strip(F.substr(layout, F.lit(1), j), signs))
+            return F.when(c.rlike(f"[{signs}]"), F.substr(new, nth, F.lit(1))).otherwise(c)
+
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(layout)), at), "")
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(layout)), at), "")
+    return _let(value, filled)
 
 
-def _luhn_sum(digits: Column, odd_from_right: int) -> Column:
-    """Sum of the digits; those at places p from the right with p % 2 == ``odd_from_right`` doubled."""
+def _luhn_sum(digits: Column, doubled: int) -> Column:
+    """Sum of the digits; those at places p from the right with p % 2 == ``doubled`` doubled."""
     n = F.length(digits)
 
     def add(total: Column, j: Column) -> Column:
         d = F.substr(digits, j, F.lit(1)).cast("int")
         twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
-        return total + F.when((n - j + 1) % 2 == odd_from_right, twice).otherwise(d)
+        return total + F.when((n - j + 1) % 2 == doubled, twice).otherwise(d)
 
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _strip(m, "0-9")
-    n = F.length(digits)
-    body = F.concat(F.substr(digits, F.lit(1), F.lit(1)),
-                    feistel_text(F.substr(digits, F.lit(2), n - 2), key, "card"))
-    check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string")
-    return F.when(F.pmod(_luhn_sum(digits, 0), F.lit(10)) == 0,
-                  _into_layout(m, F.concat(body, check), "0-9")).otherwise(m)
+    def checked(body: Column) -> Column:
+        return F.concat(body, F.pmod(F.lit(10) - F.pmod(_luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string"))
+
+    def replaced(digits: Column) -> Column:
+        body = F.concat(F.substr(digits, F.lit(1), F.lit(1)),
+                        feistel_text(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card"))
+        return F.when(F.pmod(_luhn_sum(digits, 0), F.lit(10)) == 0,
+                      _into_layout(m, _let(body, checked), "0-9")).otherwise(m)
+
+    return _let(_strip(m, "0-9"), replaced)
 
 
 def _mod97(text: Column) -> Column:
     """Remainder of letters and digits read as an IBAN number (A is 10)."""
-    def add(rest: Column, j: Column) -> Column:
-        a = F.ascii(F.substr(text, j, F.lit(1)))
-        return F.when(a < 65, F.pmod(rest * 10 + a - 48, F.lit(97))).otherwise(F.pmod(rest * 100 + a - 55, F.lit(97)))
+    def all_added(t: Column) -> Column:
+        def add(rest: Column, j: Column) -> Column:
+            a = F.ascii(F.substr(t, j, F.lit(1)))
+            return F.when(a < 65, F.pmod(rest * 10 + a - 48, F.lit(97))).otherwise(F.pmod(rest * 100 + a - 55, F.lit(97)))
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(t)), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), add)
+    return _let(text, all_added)
 
 
 def _iban(m: Column, key: str) -> Column:
-    plain = _strip(m, "A-Z0-9")
-    country, body = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
-    valid = _mod97(F.concat(body, F.substr(plain, F.lit(1), F.lit(4)))) == 1
-    new = feistel_text(body, key, "iban")
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(valid, _into_layout(m, F.concat(country, check, new), "A-Z0-9")).otherwise(m)
+    def replaced(plain: Column) -> Column:
+        country, body = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
+        valid = _mod97(F.concat(body, F.substr(plain, F.lit(1), F.lit(4)))) == 1
+
+        def checked(new: Column) -> Column:
+            check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+            return F.concat(country, check, new)
+
+        new = _let(feistel_text(body, key, "iban"), checked)
+        return F.when(valid, _into_layout(m, new, "A-Z0-9")).otherwise(m)
+
+    return _let(_strip(m, "A-Z0-9"), replaced)
 
 
 def _phone(m: Column, key: str) -> Column:
     """The national number's last ten digits (all but the country code's) are
     permuted; places that begin an area or an exchange keep their class."""
-    digits = _strip(m, "0-9")
-    n = F.length(digits)
-    own = F.least(n, F.lit(10))
-    code, number = F.substr(digits, F.lit(1), n - own), F.substr(digits, n - own + 1, own)
-
     def lead(s: Column) -> Column:
         return F.translate(s, "0123456789", "abABCDEFGH")
 
-    marked = F.concat(lead(F.substr(number, F.lit(1), F.lit(1))), F.substr(number, F.lit(2), F.lit(2)),
-                      lead(F.substr(number, F.lit(4), F.lit(1))), F.substr(number, F.lit(5), own))
-    new = F.translate(feistel_text(marked, key, "phone", upper=8, lower=2), "abABCDEFGH", "0123456789")
-    return _into_layout(m, F.concat(code, new), "0-9")
+    def replaced(digits: Column) -> Column:
+        n = F.length(digits)
+        own = F.least(n, F.lit(10))
+        code, number = F.substr(digits, F.lit(1), n - own), F.substr(digits, n - own + 1, own)
+        marked = F.concat(lead(F.substr(number, F.lit(1), F.lit(1))), F.substr(number, F.lit(2), F.lit(2)),
+                          lead(F.substr(number, F.lit(4), F.lit(1))), F.substr(number, F.lit(5), own))
+        new = F.translate(feistel_text(marked, key, "phone", upper=8, lower=2), "abABCDEFGH", "0123456789")
+        return _into_layout(m, F.concat(code, new), "0-9")
+
+    return _let(_strip(m, "0-9"), replaced)
 
 
 def _ipv4(m: Column, key: str) -> Column:
-    part = F.split(m, r"\.")
-    number = F.aggregate(part, F.lit(0).cast("long"), lambda s, x: s * 256 + x.cast("long"))
-    new = feistel_number(number, key, "ipv4", (65536, 65536))
-    return F.concat_ws(".", *[F.pmod(F.shiftright(new, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
+    number = F.aggregate(F.split(m, r"\."), F.lit(0).cast("long"), lambda s, x: s * 256 + x.cast("long"))
+    return _let(feistel_number(number, key, "ipv4", (65536, 65536)), lambda new: F.concat_ws(
+        ".", *[F.pmod(F.shiftright(new, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)]))
 
 
 def _ssn(m: Column, key: str) -> Column:
     area, group, serial = (F.split(m, "-")[i].cast("int") for i in range(3))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     index = area - F.when(area > 666, 2).otherwise(1)
+
+    def written(new: Column) -> Column:
+        first, rest = F.floor(new / _SSN[1]) + 1, F.pmod(new, F.lit(_SSN[1]))
+        first = F.when(first >= 666, first + 1).otherwise(first)
+        return F.concat_ws(
+            "-", F.lpad(first.cast("string"), 3, "0"), F.lpad((F.floor(rest / 9999) + 1).cast("string"), 2, "0"),
+            F.lpad((F.pmod(rest, F.lit(9999)) + 1).cast("string"), 4, "0"))
+
     new = feistel_number(index * _SSN[1] + (group - 1) * 9999 + serial - 1, key, "ssn", _SSN)
-    area, rest = F.floor(new / _SSN[1]) + 1, F.pmod(new, F.lit(_SSN[1]))
-    area = F.when(area >= 666, area + 1).otherwise(area)
-    return F.when(valid, F.concat_ws(
-        "-", F.lpad(area.cast("string"), 3, "0"), F.lpad((F.floor(rest / 9999) + 1).cast("string"), 2, "0"),
-        F.lpad((F.pmod(rest, F.lit(9999)) + 1).cast("string"), 4, "0"))).otherwise(m)
+    return F.when(valid, _let(new, written)).otherwise(m)
 
 
 def _date(m: Column, key: str) -> Column:
@@ -202,8 +242,7 @@ def _date(m: Column, key: str) -> Column:
              (r"^\d{1,2} ", "d MMMM yyyy"), (r"^[A-Z]", "MMMM d, yyyy")]
     out = m
     for shape, form in reversed(forms):
-        day = F.try_to_timestamp(m, F.lit(form)).cast("date")
-        index = F.datediff(day, F.lit(_FIRST_DAY).cast("date"))
+        index = F.datediff(F.try_to_timestamp(m, F.lit(form)).cast("date"), F.lit(_FIRST_DAY).cast("date"))
         fits = m.rlike(shape) & index.between(0, _DAYS[0] * _DAYS[1] - 1)
         new = F.date_add(F.lit(_FIRST_DAY).cast("date"), feistel_number(index, key, "date", _DAYS).cast("int"))
         out = F.when(fits, F.date_format(new, form)).otherwise(out)
@@ -229,7 +268,7 @@ def _key(m: Column, key: str) -> Column:
     return F.concat(F.lit("AKIA"), feistel_text(F.substr(m, F.lit(5), F.lit(16)), key, "key"))
 
 
-_REPLACE = {"email": _email, "key": _key, "secret": _secret, "iban": _iban, "ipv4": _ipv4,
+_REPLACE = {"email": _email, "key": _key, "secret": _secret, "iban": _iban, "month": _date, "ipv4": _ipv4,
             "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 
@@ -251,7 +290,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text",
     """
     found, new = "__found", "__new"
     text = F.col(text_col)
-    rows = docs.withColumn(found, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    none = F.array().cast("array<string>")
+    rows = docs.withColumn(found, F.when(text.rlike(QUICK), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none))
     rows = rows.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m, key))))
     between = F.split(text, ANY, -1)
     joined = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size(new)), F.col(new),
