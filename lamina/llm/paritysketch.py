@@ -41,7 +41,7 @@ FEW = 1
 #: Members of a key's group that are compared in one go.
 BLOCK = 512
 #: Keys that a task collects before it hands them on.
-FLUSH_KEYS = 1 << 20
+FLUSH_KEYS = 1 << 19
 
 
 @functools.lru_cache(maxsize=4)
@@ -91,11 +91,38 @@ def sketch(s: np.ndarray, threshold: int) -> bytes:
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _folded(raw: bytes, size: int) -> np.ndarray:
-    x = np.frombuffer(raw, np.uint64)
-    while len(x) > size:
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    return x
+class Sketches:
+    """Sketches of different lengths, compared many pairs at a time."""
+
+    def __init__(self, raw: list[bytes], sizes: np.ndarray, threshold: int):
+        self.n, self.threshold = sizes, threshold
+        self.words = np.array([len(x) // 8 for x in raw], np.int64)
+        self.place = np.zeros(len(raw), np.int64)
+        self.matrix = {}
+        for w in np.unique(self.words).tolist():
+            rows = np.flatnonzero(self.words == w)
+            self.place[rows] = np.arange(len(rows))
+            self.matrix[w] = np.frombuffer(b"".join(raw[i] for i in rows), np.uint64).reshape(len(rows), w)
+
+    def _at(self, rows: np.ndarray, words: int, to: int) -> np.ndarray:
+        x = self.matrix[words][self.place[rows]]
+        while x.shape[1] > to:
+            half = x.shape[1] // 2
+            x = x[:, :half] ^ x[:, half:]
+        return x
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether sizes and sketches allow the pairs (i, j) to qualify."""
+        small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        out = 100 * small >= self.threshold * large
+        apart = most_apart(small, large, self.threshold)
+        for a in self.matrix:
+            for b in self.matrix:
+                at = np.flatnonzero(out & (self.words[i] == a) & (self.words[j] == b))
+                for part in np.array_split(at, len(at) * max(a, b) // (1 << 20) + 1):
+                    x = self._at(i[part], a, min(a, b)) ^ self._at(j[part], b, min(a, b))
+                    out[part] = np.bitwise_count(x).sum(axis=1) <= apart[part]
+        return out
 
 
 def keys_of(s: np.ndarray, threshold: int, few: int = FEW) -> np.ndarray:
@@ -152,7 +179,7 @@ def shared_keys(docs: DataFrame, id_col: str, text_col: str, length: int, thresh
     arrays, one row per bucket of keys."""
     spark = docs.sparkSession
     ship_package(spark)
-    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _buckets(docs)
 
     def emit(batches):
         done: set[int] = set()
@@ -214,64 +241,53 @@ def shared_keys(docs: DataFrame, id_col: str, text_col: str, length: int, thresh
     return write_and_read(met, "shared-keys")
 
 
-def _near(n: np.ndarray, bits: list[bytes], i: int, others: np.ndarray, threshold: int) -> np.ndarray:
-    """Those of ``others`` that sizes and sketches don't rule out as partners of i."""
-    small, large = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
-    others = others[100 * small >= threshold * large]
-    if not len(others):
-        return others
-    apart = most_apart(n[others], n[i], threshold)
-    keep = np.zeros(len(others), bool)
-    sizes = np.array([len(bits[j]) for j in others]) // 8
-    for size in np.unique(sizes):
-        at = np.flatnonzero(sizes == size)
-        words = min(int(size), len(bits[i]) // 8)
-        mine = _folded(bits[i], words)
-        if size == words:
-            theirs = np.frombuffer(b"".join(bits[j] for j in others[at]), np.uint64).reshape(len(at), -1)
-        else:
-            theirs = np.array([_folded(bits[j], words) for j in others[at]])
-        keep[at] = np.bitwise_count(theirs ^ mine).sum(axis=1) <= apart[at]
-    return others[keep]
+_LED = pa.schema([("key", pa.int64()), ("leader", pa.int64()), ("class", pa.int64())])
+_LED_SHAPE = "key long, leader long, class long"
 
 
-_LED = pa.schema([("key", pa.int64()), ("leader", pa.int64()), ("class", pa.int64())])
+def _table(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [np.asarray(table.column(c).combine_chunks(), np.int64) for c in names]
 
 
 def _lead(table: pa.Table, threshold: int) -> pa.Table:
-    """Each class of a block: its leader, or itself where no earlier leader is near."""
-    classes = np.asarray(table.column("class"), np.int64)
-    n = np.asarray(table.column("n_shingles"), np.int64)
-    order = np.lexsort((classes, n))
-    classes, n = classes[order], n[order]
-    bits = [table.column("sketch")[int(i)].as_py() for i in order]
-    leader = np.full(len(n), -1, np.int64)
-    for i in range(len(n)):
-        if leader[i] >= 0:
-            continue
-        leader[i] = i
-        free = np.flatnonzero(leader < 0)
-        leader[_near(n, bits, i, free, threshold)] = i
-    key = table.column("key")[0].as_py()
-    return pa.table([pa.array([key] * len(n), pa.int64()), pa.array(classes[leader]), pa.array(classes)], schema=_LED)
+    """Of each class of a (key, block): its leader, or itself where no earlier leader
+    is near. All groups of a bucket of keys advance together, one leader a round."""
+    key, block, cls, n = _table(table, "key", "block", "class", "n_shingles")
+    order = np.lexsort((cls, n, block, key))
+    key, block, cls = key[order], block[order], cls[order]
+    raw = table.column("sketch").take(pa.array(order)).to_pylist()
+    sketches = Sketches(raw, n[order], threshold)
+    leader = np.full(len(key), -1, np.int64)
+    free = np.arange(len(key))
+    while len(free):
+        new = np.append(True, (key[free[1:]] != key[free[:-1]]) | (block[free[1:]] != block[free[:-1]]))
+        head = free[np.flatnonzero(new)[np.cumsum(new) - 1]]      # the first one left of each group
+        took = head == free
+        took[~took] = sketches.near(head[~took], free[~took])
+        leader[free[took]] = head[took]
+        free = free[~took]
+    return pa.table([pa.array(key), pa.array(cls[leader]), pa.array(cls)], schema=_LED)
 
 
 def _across(table: pa.Table, threshold: int) -> pa.Table:
-    """Near pairs between the leaders of two blocks, or within one."""
-    classes = np.asarray(table.column("class"), np.int64)
-    n = np.asarray(table.column("n_shingles"), np.int64)
-    side = np.asarray(table.column("block"), np.int64)
-    bits = table.column("sketch").to_pylist()
-    low, high = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
-    one = table.column("low")[0].as_py() == table.column("high")[0].as_py()
-    pairs = []
-    if one or side.min() < side.max():
-        for i in low.tolist():
-            near = _near(n, bits, i, low[low > i] if one else high, threshold)
-            pairs += [(classes[i], classes[j]) for j in near]
-    key = table.column("key")[0].as_py()
-    return pa.table([pa.array([key] * len(pairs), pa.int64()), pa.array([p[0] for p in pairs], pa.int64()),
-                     pa.array([p[1] for p in pairs], pa.int64())], schema=_LED)
+    """Near pairs between the leaders of two blocks of a key, or within one."""
+    key, low, high, block, cls, n = _table(table, "key", "low", "high", "block", "class", "n_shingles")
+    sketches = Sketches(table.column("sketch").to_pylist(), n, threshold)
+    order = np.lexsort((block, high, low, key))
+    new = np.append(True, np.any([x[order][1:] != x[order][:-1] for x in (key, low, high)], axis=0))
+    begin = np.flatnonzero(new)
+    left, right = [], []
+    for a, b in zip(begin, np.append(begin[1:], len(order))):
+        own = order[a:b]
+        one = low[own[0]] == high[own[0]]
+        first, second = own[block[own] == low[own[0]]], own[block[own] == high[own[0]]]
+        for k, i in enumerate(first):
+            others = second[k + 1:] if one else second
+            near = others[sketches.near(np.full(len(others), i), others)]
+            left += [i] * len(near)
+            right += near.tolist()
+    left, right = np.array(left, np.int64), np.array(right, np.int64)
+    return pa.table([pa.array(key[left]), pa.array(cls[left]), pa.array(cls[right])], schema=_LED)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -303,6 +319,7 @@ def _sets(need: DataFrame, docs: DataFrame, classes: DataFrame, length: int) ->
 def _verified(pairs: DataFrame, held: DataFrame, threshold: int) -> DataFrame:
     """The pairs whose sets qualify. A pair's first class meets its partners' sets,
     in several groups where they are many."""
+    buckets = _buckets(pairs)
     salts = pairs.groupBy("a").agg((F.count("*") / BLOCK).cast("int").alias("salts"))
     partner = (pairs.join(salts, "a").join(held.withColumnRenamed("class", "b"), "b")
                .select("a", F.pmod(F.xxhash64("b"), F.col("salts") + 1).cast("int").alias("salt"), "b", "shingles"))
@@ -311,29 +328,35 @@ def _verified(pairs: DataFrame, held: DataFrame, threshold: int) -> DataFrame:
                    F.lit(None).cast("long").alias("b"), "shingles"))
 
     def compare(table: pa.Table) -> pa.Table:
-        b = table.column("b").to_pylist()
-        raw = table.column("shingles")
-        mine = np.frombuffer(raw[b.index(None)].as_py(), np.uint64)
-        links = []
+        a, salt = _table(table, "a", "salt")
+        b, raw = table.column("b").to_pylist(), table.column("shingles").combine_chunks()
+        mine, links = {}, []
         for i, other in enumerate(b):
             if other is None:
-                continue
-            s = np.frombuffer(raw[i].as_py(), np.uint64)
-            both = len(np.intersect1d(mine, s, assume_unique=True))
-            if 100 * both >= threshold * (len(mine) + len(s) - both):
-                links.append(other)
-        a = table.column("a")[0].as_py()
-        return pa.table([pa.array([a] * len(links), pa.int64()), pa.array(links, pa.int64())], names=["a", "b"])
+                mine[a[i], salt[i]] = np.frombuffer(raw[i].as_py(), np.uint64)
+        for i, other in enumerate(b):
+            if other is not None:
+                s, t = mine[a[i], salt[i]], np.frombuffer(raw[i].as_py(), np.uint64)
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= threshold * (len(s) + len(t) - both):
+                    links.append((a[i], other))
+        return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    met = own.union(partner).withColumn("bucket", F.pmod(F.xxhash64("a", "salt"), F.lit(buckets)))
+    return met.groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+
 
-    return own.union(partner).groupBy("a", "salt").applyInArrow(compare, "a long, b long").distinct()
+def _buckets(df: DataFrame) -> int:
+    """Groups that one Python call each handles: many a shuffle partition."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _first_candidates(entries: DataFrame, of: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(leaders, across): per block of a key's classes, each class and its leader; and
     near leaders of different blocks. Columns key, leader, class."""
-    shape = "key long, leader long, class long"
-    led = write_and_read(entries.join(of, "class").groupBy("key", "block")
-                         .applyInArrow(lambda t: _lead(t, threshold), shape), "leaders")
+    buckets = F.lit(_buckets(of))
+    led = write_and_read(entries.join(of, "class").groupBy(F.pmod(F.xxhash64("key", "block"), buckets).alias("bucket"))
+                         .applyInArrow(lambda t: _lead(t, threshold), _LED_SHAPE), "leaders")
     several = entries.filter("block > 0").select("key").distinct()
     heads = led.filter("leader = class").select("key", "class").join(several, "key", "left_semi")
     blocks = heads.groupBy("key").agg((F.count("*") / BLOCK).cast("int").alias("last"))
@@ -341,7 +364,8 @@ def _first_candidates(entries: DataFrame, of: DataFrame, threshold: int) -> tupl
              .withColumn("block", F.pmod(F.xxhash64("class"), F.col("last") + 1).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
              .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
-    across = heads.groupBy("key", "low", "high").applyInArrow(lambda t: _across(t, threshold), shape)
+    across = (heads.groupBy(F.pmod(F.xxhash64("key", "low", "high"), buckets).alias("bucket"))
+              .applyInArrow(lambda t: _across(t, threshold), _LED_SHAPE))
     return led, write_and_read(across, "across")
 
 
@@ -371,8 +395,9 @@ def _possible(pairs: DataFrame, of: DataFrame, threshold: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             r = batch.to_pydict()
-            keep = [i for i in range(batch.num_rows) if len(_near(
-                np.array([r["na"][i], r["nb"][i]]), [r["sa"][i], r["sb"][i]], 0, np.array([1]), threshold))]
+            k = batch.num_rows
+            sketches = Sketches(r["sa"] + r["sb"], np.array(r["na"] + r["nb"], np.int64), threshold)
+            keep = np.flatnonzero(sketches.near(np.arange(k), np.arange(k, 2 * k))).tolist() if k else []
             yield pa.RecordBatch.from_arrays([pa.array([r[c][i] for i in keep], pa.int64()) for c in "ab"], names=["a", "b"])
 
     for c in "ab":

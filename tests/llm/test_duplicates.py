@@ -180,9 +180,12 @@ def test_sketch_and_pieces_lose_no_pair():
                 b = np.unique(np.append(b, rng.integers(0, 2**63, 1).astype(np.uint64)))
         both = len(np.intersect1d(a, b))
         x, y = paritysketch.sketch(a, 85), paritysketch.sketch(b, 85)
-        size = min(len(x), len(y)) // 8
-        hamming = np.bitwise_count(paritysketch._folded(x, size) ^ paritysketch._folded(y, size)).sum()
+        both_ = paritysketch.Sketches([x, y], np.array([len(a), len(b)]), 85)
+        words = min(len(x), len(y)) // 8
+        hamming = np.bitwise_count(both_._at(np.array([0]), len(x) // 8, words) ^ both_._at(np.array([1]), len(y) // 8, words)).sum()
         assert hamming <= len(a) + len(b) - 2 * both
+        if 100 * both >= 85 * (len(a) + len(b) - both):
+            assert both_.near(np.array([0]), np.array([1]))[0]
         if 100 * both >= 85 * (len(a) + len(b) - both) and len(np.setxor1d(a, b)):
             assert len(np.intersect1d(paritysketch.keys_of(a, 85), paritysketch.keys_of(b, 85)))
 
