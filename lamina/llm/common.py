@@ -17,13 +17,21 @@ from pyspark.sql import functions as F
 from lamina.session import work_path
 
 #: Text bytes that one numpy pass handles; a longer document is a pass alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SHIPPED: set[str] = set()
 
 
+#: Whole texts travel in Arrow batches; small ones keep tasks and workers small.
+BATCH_BYTES = str(8 << 20)
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this library to the executors' Python workers, once per application."""
+    """Send this library to the executors' Python workers, once per application, and
+    keep the session's Arrow batches small unless its configuration says otherwise."""
+    if spark.sparkContext.getConf().get(_BATCH_KEY) is None:
+        spark.conf.set(_BATCH_KEY, BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
