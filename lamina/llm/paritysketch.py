@@ -369,41 +369,58 @@ def _first_candidates(entries: DataFrame, of: DataFrame, threshold: int) -> tupl
     return led, write_and_read(across, "across")
 
 
-def _second_candidates(entries: DataFrame, near: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that share a key and are still apart: at least one of
-    the two was near to a leader of the key, or they were compared already."""
+def _apart(table: pa.Table, threshold: int) -> pa.Table:
+    """Near pairs between two blocks of a key, or within one, that links haven't
+    connected yet; at least one of a pair is outside the key's largest component."""
+    key, low, high, block, cls, n, label, major, led = _table(
+        table, "key", "low", "high", "block", "class", "n_shingles", "label", "major", "near")
+    sketches = Sketches(table.column("sketch").to_pylist(), n, threshold)
+    order = np.lexsort((block, high, low, key))
+    new = np.append(True, np.any([x[order][1:] != x[order][:-1] for x in (key, low, high)], axis=0))
+    begin = np.flatnonzero(new)
+    left, right = [], []
+    for a, b in zip(begin, np.append(begin[1:], len(order))):
+        own = order[a:b]
+        one = low[own[0]] == high[own[0]]
+        first, second = own[block[own] == low[own[0]]], own[block[own] == high[own[0]]]
+        for mine, theirs, whole in ((first, second, True), (second, first, False)):
+            if one and not whole:
+                continue
+            if not whole:       # pairs of two minor ones are found from the first side
+                theirs = theirs[label[theirs] == major[theirs]]
+            for i in mine[label[mine] != major[mine]]:
+                others = theirs[(label[theirs] != label[i]) & ((led[theirs] + led[i]) > 0)]
+                if len(others):
+                    near = others[sketches.near(np.full(len(others), i), others)]
+                    left += [i] * len(near)
+                    right += near.tolist()
+    x, y = cls[np.array(left, np.int64)], cls[np.array(right, np.int64)]
+    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _second_candidates(entries: DataFrame, near: DataFrame, label: DataFrame, of: DataFrame,
+                       threshold: int) -> DataFrame:
+    """Pairs (a, b) of classes that share a key, are still apart, and that sizes and
+    sketches don't rule out. Of two classes that no leader of the key was near to, the
+    first round has compared the sketches already."""
     marked = (entries.select("key", "class")
               .join(label.withColumnRenamed("node", "class"), "class", "left")
-              .join(near.select("key", "class").distinct().withColumn("near", F.lit(True)), ["key", "class"], "left")
+              .join(near.select("key", "class").distinct().withColumn("near", F.lit(1)), ["key", "class"], "left")
               .select("key", "class", F.coalesce("component", "class").alias("label"),
-                      F.coalesce("near", F.lit(False)).alias("near")))
+                      F.coalesce("near", F.lit(0)).alias("near")))
     marked = write_and_read(marked, "marked")
     split = (marked.groupBy("key", "label").agg(F.count("*").alias("n"), F.max("near").alias("some"))
              .groupBy("key").agg(F.count("*").alias("labels"), F.max("some").alias("some"),
+                                 (F.sum("n") / BLOCK).cast("int").alias("last"),
                                  F.max_by("label", F.struct("n", "label")).alias("major"))
-             .filter("labels > 1 AND some").select("key", "major"))
-    apart = marked.join(split, "key")
-    minor = apart.filter("label != major").select("key", F.col("class").alias("a"), F.col("label").alias("la"), "near")
-    all_ = apart.select("key", F.col("class").alias("b"), F.col("label").alias("lb"), F.col("near").alias("nb"))
-    met = (minor.filter("near").join(all_, "key")
-           .union(minor.filter("NOT near").join(all_.filter("nb"), "key")))
-    return _ordered(met.filter("la != lb").select("a", "b"))
-
-
-def _possible(pairs: DataFrame, of: DataFrame, threshold: int) -> DataFrame:
-    """The pairs that sizes and sketches don't rule out."""
-    def run(batches):
-        for batch in batches:
-            r = batch.to_pydict()
-            k = batch.num_rows
-            sketches = Sketches(r["sa"] + r["sb"], np.array(r["na"] + r["nb"], np.int64), threshold)
-            keep = np.flatnonzero(sketches.near(np.arange(k), np.arange(k, 2 * k))).tolist() if k else []
-            yield pa.RecordBatch.from_arrays([pa.array([r[c][i] for i in keep], pa.int64()) for c in "ab"], names=["a", "b"])
-
-    for c in "ab":
-        pairs = pairs.join(of.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n{c}"),
-                                     F.col("sketch").alias(f"s{c}")), c)
-    return pairs.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(run, "a long, b long")
+             .filter("labels > 1 AND some = 1").select("key", "major", "last"))
+    blocks = (marked.join(split, "key").join(of, "class")
+              .withColumn("block", F.pmod(F.xxhash64("class"), F.col("last") + 1).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+              .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
+    return (blocks.groupBy(F.pmod(F.xxhash64("key", "low", "high"), F.lit(_buckets(of))).alias("bucket"))
+            .applyInArrow(lambda t: _apart(t, threshold), "a long, b long").distinct())
 
 
 def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_col: str = "doc_id",
@@ -438,7 +455,7 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
     one, two = (label.select(F.col("node").alias(c), F.col("component").alias(f"l{c}")) for c in "ab")
     rest = (pairs.join(one, "a", "left").join(two, "b", "left")
             .filter("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
-    more = rest.union(_possible(_second_candidates(entries, near, label), of, threshold)).distinct()
+    more = rest.union(_second_candidates(entries, near, label, of, threshold)).distinct()
     more = write_and_read(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         lacking = _ends(more).join(held.select("class"), "class", "left_anti")
