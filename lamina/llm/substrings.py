@@ -169,18 +169,41 @@ def _dealt(bucket: np.ndarray, rows: np.ndarray):
         yield b, rows[order[a:e]].tobytes()
 
 
-_PACKED = "bucket long, kind int, rows binary, text binary"
-_ROWS = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("rows", pa.binary()), ("text", pa.binary())])
-_ANCHORS, _REQUESTS, _STRINGS, _SPANS = range(4)
+# What moves between the stages, packed: anchors by gram (rows; their surroundings in
+# text), hot grams' strings by content (rows), or, by document, requests (rows) and
+# spans. A task makes one row for each bucket and kind.
+_PACKED = "bucket long, kind int, rows binary, text binary, spans binary"
+_ROWS = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("rows", pa.binary()), ("text", pa.binary()),
+                   ("spans", pa.binary())])
+_ANCHORS, _STRINGS, _DOCUMENTS = range(3)
+
+
+def _by_document(requests: np.ndarray, spans: np.ndarray, buckets: int, *more: tuple[int, bytes, bytes]) -> list[tuple]:
+    """One row a bucket of documents; ``more`` has packed rows of single buckets."""
+    packed: dict[int, list[list[bytes]]] = {}
+    for k, x in enumerate((requests, spans)):
+        for b, raw in _dealt(_by(x["doc"], buckets), x):
+            packed.setdefault(b, [[], []])[k].append(raw)
+    for b, rows, found in more:
+        own = packed.setdefault(b, [[], []])
+        own[0].append(rows)
+        own[1].append(found)
+    return [(b, _DOCUMENTS, b"".join(r), None, b"".join(f)) for b, (r, f) in packed.items()]
+
+
+def _passing(table: pa.Table) -> list[tuple[int, bytes, bytes]]:
+    """What is by document already."""
+    return [(b, r, f) for b, k, r, f in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "rows", "spans")))
+            if k == _DOCUMENTS]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[], [], [], []]
+    columns = list(zip(*rows)) if rows else [[], [], [], [], []]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS)], schema=_ROWS)
 
 
-def _joined(table: pa.Table, kind: int, dtype: np.dtype) -> np.ndarray:
-    rows = [r for k, r in zip(table.column("kind").to_pylist(), table.column("rows").to_pylist()) if k == kind]
+def _joined(table: pa.Table, kind: int, dtype: np.dtype, column: str = "rows") -> np.ndarray:
+    rows = [r for k, r in zip(table.column("kind").to_pylist(), table.column(column).to_pylist()) if k == kind]
     return np.frombuffer(b"".join(rows), dtype).copy()
 
 
@@ -219,33 +242,25 @@ class _Plan:
         away = (x["hot"] == 1)
         mark = away & _new(x, "gram")
         requests, x = x[away], x[~away | mark]
-        out = [(b, _ANCHORS, r, None) for b, r in _dealt((x["gram"] % np.uint64(self.buckets)).astype(np.int64), x)]
-        for kind, y in ((_REQUESTS, requests), (_SPANS, merged(spans))):
-            out += [(b, kind, r, None) for b, r in _dealt(_by(y["doc"], self.buckets), y)]
-        return _batch(out)
+        out = [(b, _ANCHORS, r, None, None) for b, r in _dealt((x["gram"] % np.uint64(self.buckets)).astype(np.int64), x)]
+        return _batch(out + _by_document(requests, merged(spans), self.buckets))
 
     def meet(self, table: pa.Table) -> pa.Table:
         """Anchors of a bucket of grams -> requests and spans by document. What is by
         document already passes through."""
         x, spans = _collapsed(_joined(table, _ANCHORS, ANCHOR), self.length)
-        out = []
         if len(x):
             group = np.cumsum(_new(x, "gram")) - 1
             count = np.bincount(group)
             hot = (np.maximum.reduceat(x["hot"], np.flatnonzero(_new(x, "gram"))) > 0) | (count > self.hot)
             x["hot"] = hot[group]
             x = x[(count[group] > 1) | hot[group]]
-        for kind, y in ((_REQUESTS, x), (_SPANS, merged(spans))):
-            out += [(b, kind, r, None) for b, r in _dealt(_by(y["doc"], self.buckets), y)]
-        for b, k, r in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "rows"))):
-            if k != _ANCHORS:
-                out.append((b, k, r, None))
-        return pa.Table.from_batches([_batch(out)])
+        return pa.Table.from_batches([_batch(_by_document(x, merged(spans), self.buckets, *_passing(table)))])
 
     def fetch(self, texts: pa.Table, asked: pa.Table) -> pa.Table:
         """Texts and requests of a bucket of documents -> surroundings by gram, and
         hot grams' strings by content."""
-        x = _joined(asked, _REQUESTS, ANCHOR)
+        x = _joined(asked, _DOCUMENTS, ANCHOR)
         if not len(x):
             return pa.Table.from_batches([_batch([])])
         x = _sorted(x, "doc", "copy", "pos")
@@ -278,12 +293,11 @@ class _Plan:
             found, at = np.unique(bucket[order], return_index=True)
             for b, a, e in zip(found.tolist(), at, np.append(at[1:], len(order))):
                 own = order[a:e]
-                out.append((b, _ANCHORS, y[own].tobytes(), b"".join(around[i] for i in own)))
+                out.append((b, _ANCHORS, y[own].tobytes(), b"".join(around[i] for i in own), None))
         if strings:
             s, spans = self._earliest(np.concatenate(strings))
-            spans = merged(spans)
-            out += [(b, _STRINGS, r, None) for b, r in _dealt((s["one"] % np.uint64(self.buckets)).astype(np.int64), s)]
-            out += [(b, _SPANS, r, None) for b, r in _dealt(_by(spans["doc"], self.buckets), spans)]
+            out += [(b, _STRINGS, r, None, None) for b, r in _dealt((s["one"] % np.uint64(self.buckets)).astype(np.int64), s)]
+            out += _by_document(x[:0], merged(spans), self.buckets)
         return pa.Table.from_batches([_batch(out)])
 
     def _strings(self, data: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -310,8 +324,6 @@ class _Plan:
 
     def order(self, table: pa.Table) -> pa.Table:
         """Surroundings and strings of a bucket -> spans by document."""
-        out = [(b, _SPANS, r, None) for b, k, r in
-               zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "rows"))) if k == _SPANS]
         _, spans = self._earliest(_joined(table, _STRINGS, STRING))
         spans = [spans]
         x = _joined(table, _ANCHORS, ANCHOR)
@@ -336,13 +348,12 @@ class _Plan:
             differs[1:] |= cls[1:] != cls[:-1]
             got, cls = got[differs], cls[differs]
             spans.append(got[np.append(False, cls[1:] == cls[:-1])] if len(got) else got)
-        y = merged(np.concatenate(spans))
-        out += [(b, _SPANS, r, None) for b, r in _dealt(_by(y["doc"], self.buckets), y)]
-        return pa.Table.from_batches([_batch(out)])
+        spans = merged(np.concatenate(spans))
+        return pa.Table.from_batches([_batch(_by_document(x[:0], spans, self.buckets, *_passing(table)))])
 
     def cut(self, texts: pa.Table, found: pa.Table) -> pa.Table:
         """Texts and spans of a bucket of documents -> the result."""
-        s = merged(_joined(found, _SPANS, SPAN))
+        s = merged(_joined(found, _DOCUMENTS, SPAN, "spans"))
         first = np.flatnonzero(_new(s, "doc", "copy"))
         of = {(int(s["doc"][a]), int(s["copy"][a])): (a, e) for a, e in zip(first, np.append(first[1:], len(s)))}
         spans, kept, size = [], [], []
@@ -377,7 +388,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
         raise ValueError("length must be 40 to 232 bytes")
     spark = docs.sparkSession
     ship_package(spark)
-    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     plan = _Plan(length, buckets, hot_in_task, hot)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -389,9 +400,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
                          .groupBy("bucket").applyInArrow(lambda t: plan.meet(t), _PACKED), "anchors")
     mixed = F.col("doc").bitwiseXOR(F.shiftright("doc", 15))
     texts = rows.withColumn("bucket", F.pmod(mixed, F.lit(buckets))).groupBy("bucket")
-    around = texts.cogroup(met.filter(F.col("kind") == _REQUESTS).groupBy("bucket")).applyInArrow(
+    around = texts.cogroup(met.filter(F.length("rows") > 0).groupBy("bucket")).applyInArrow(
         lambda t, asked: plan.fetch(t, asked), _PACKED)
     found = around.groupBy("bucket").applyInArrow(lambda t: plan.order(t), _PACKED)
-    spans = met.filter(F.col("kind") == _SPANS).unionByName(found)
+    spans = met.unionByName(found).filter(F.length("spans") > 0)
     return texts.cogroup(spans.groupBy("bucket")).applyInArrow(
         lambda t, s: plan.cut(t, s), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
