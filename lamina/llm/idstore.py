@@ -17,6 +17,7 @@ attempt: what a lost or repeated attempt leaves is in no manifest.
 
 from __future__ import annotations
 
+import array
 import functools
 import json
 import re
@@ -38,7 +39,7 @@ MAGIC = b"LMNTOK01"
 #: A file is closed beyond so many ids.
 FILE_IDS = 1 << 22
 #: Units that a worker remembers; the memory is emptied beyond.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 400_000
 _SELECT_EVERY = 256
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
@@ -126,50 +127,80 @@ def _tokenizer(path: str):
 class UnitEncoder:
     """Encodes texts with the tokenizers library, each distinct unit once.
 
-    A unit is a blank and the characters up to the next blank. The tokenizer's
-    byte-level split never joins characters across a boundary between a
-    non-space character and a blank before another one, so that the ids of a
-    text are those of its units. Texts with a blank beside other white space, or
+    A unit is a blank and the word up to the next one. The tokenizer's byte-level
+    split never joins characters over a boundary between a character that isn't white
+    space and a blank before another such one, so that the ids of a text are those of
+    its units. In the same way a word of letters with one sign behind (no apostrophe
+    or underscore) falls into the two. Texts with a blank beside other white space, or
     with a special token's string, are given to the library whole.
     """
 
     def __init__(self, path: str, width: str, cache_units: int = CACHE_UNITS):
         self.tokenizer = _tokenizer(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.width, self.most = np.dtype(width), cache_units
+        self.code, self.most = {"<u2": "H", "<u4": "I"}[width], cache_units
+        # the word behind the blank -> ids; what was known before the last emptying
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.width).tobytes() for e in got]
+        out = []
+        for a in range(0, len(texts), 4096):
+            got = self.tokenizer.encode_batch_fast(texts[a:a + 4096], add_special_tokens=False)
+            out += [array.array(self.code, e.ids).tobytes() for e in got]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Make the ids of `` word`` known for words that aren't."""
+        if len(self.known) + len(words) > self.most:
+            self.older, self.known = self.known, {}
+        ended = {w for w in words if not w[-1:].isalnum() and w[:-1].isalpha() and w[-1] not in "'_"}
+        new = ((words - ended) | {w[:-1] for w in ended}) - self.known.keys()
+        seen = new & self.older.keys()
+        self.known.update(zip(seen, map(self.older.__getitem__, seen)))
+        new = list(new - seen)
+        self.known.update(zip(new, self._library([" " + w for w in new])))
+        signs = list({w[-1] for w in ended})
+        sign = dict(zip(signs, self._library(signs)))
+        self.known.update((w, self.known[w[:-1]] + sign[w[-1]]) for w in ended)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``width``."""
-        plain: dict[int, list[str]] = {}
+        first: dict[int, str] = {}
+        rest: dict[int, list[str]] = {}
+        ids: dict[int, list[bytes | None]] = {}
         whole: list[int] = []
+        missing: set[str] = set()
+        get = self.known.get
         for i, text in enumerate(texts):
-            if (_OTHER_SPACE.search(text) or "  " in text or " \n" in text or "\n " in text
-                    or any(s in text for s in self.special)):
+            if ("  " in text or " \n" in text or "\n " in text or any(s in text for s in self.special)
+                    or not text.replace("\n", " ").isprintable() and _OTHER_SPACE.search(text)):
                 whole.append(i)
                 continue
-            first, *rest = text.split(" ")
-            plain[i] = [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
-        missing = list({u for units in plain.values() for u in units if u not in self.known})
-        if len(self.known) + len(missing) > self.most:
-            self.known.clear()
-            missing = list({u for units in plain.values() for u in units})
-        for a in range(0, len(missing), 4096):
-            part = missing[a:a + 4096]
-            self.known.update(zip(part, self._library(part)))
-        out = [b""] * len(texts)
+            first[i], *words = text.split(" ")
+            ids[i] = got = list(map(get, words))
+            if None in got:
+                rest[i] = words
+                missing.update([w for w, x in zip(words, got) if x is None])
+        self._learn(missing)
         get = self.known.__getitem__
-        for i, units in plain.items():
-            out[i] = b"".join(map(get, units))
-        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = ids
+        out = [b""] * len(texts)
+        for (i, begin) in zip(first, self._library(list(first.values()))):
+            got = ids[i]
+            if i in rest:
+                got = [get(w) if x is None else x for w, x in zip(rest[i], got)]
+            out[i] = begin + b"".join(got)
+        for i, x in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = x
         return out
 
 
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str, width: str) -> UnitEncoder:
+    """A Python worker's encoder: what it has learned serves its next tasks, too."""
+    return UnitEncoder(path, width)
+
+
 # --- files ----------------------------------------------------------------------
 
 def _open(uri: str):
@@ -257,7 +288,7 @@ def write(docs: DataFrame, tokenizer_file: str, folder: str | None = None, end_i
         from pyspark import TaskContext
 
         part, item = TaskContext.get().partitionId(), np.dtype(width).itemsize
-        encoder = UnitEncoder(tokenizer_file, width)
+        encoder = _encoder(tokenizer_file, width)
         doc_ids: list = []
         ids: list[bytes] = []
         held = seq = 0
