@@ -39,7 +39,7 @@ MAGIC = b"LMNTOK01"
 #: A file is closed beyond so many ids.
 FILE_IDS = 1 << 22
 #: Units that a worker remembers; the memory is emptied beyond.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 700_000
 _SELECT_EVERY = 256
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
