@@ -34,6 +34,27 @@ def test_near_duplicate_stage(spark):
     assert cp.near_duplicates(spark, docs.limit(0), SF_SMALL).count() == 0
 
 
+def test_near_duplicates_are_five_words_and_four_fifths(spark):
+    """Against brute force, with pairs between this threshold and op9's."""
+    def edited(words, n):
+        step = len(words) // n
+        return [f"new{i}" if i % step == step // 2 and i // step < n else w for i, w in enumerate(words)]
+
+    rows = []
+    for k, (n, edits) in enumerate([(200, 4), (95, 2), (470, 10), (200, 5), (95, 3), (300, 1)]):
+        words = [f"w{k}x{i}" for i in range(n)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(edited(words, edits)))]
+
+    def jaccard(a, b, k):
+        a, b = shingles(a, k), shingles(b, k)
+        return len(a & b) / len(a | b)
+
+    assert all(jaccard(rows[i][1], rows[i + 1][1], 5) >= 0.8 and jaccard(rows[i][1], rows[i + 1][1], 4) < 0.85 for i in (0, 2, 4))
+    expected = [i for i, t in rows if not any(j < i and jaccard(t, u, 5) >= 0.8 for j, u in rows)]
+    got = cp.near_duplicates(spark, frame(spark, rows), SF_SMALL)
+    assert sorted(r.doc_id for r in got.collect()) == expected == [0, 10, 20, 30, 31, 40, 41, 50]
+
+
 def test_decontamination_stage(spark):
     item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").filter(F.length("text") > 150).first().text
     docs = frame(spark, [*MESSY, (30, item), (None, item), (31, "clean " * 50), (32, item + " other" * 2000)])
