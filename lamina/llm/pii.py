@@ -1,8 +1,10 @@
 """Format-preserving pseudonyms for personal data; built-in expressions only.
 
-One pattern finds the candidates of a text. A candidate that passes its kind's
-validation (Luhn for cards, mod 97 for IBANs, the calendar for dates, ranges for
-the rest) is replaced by a keyed permutation within its format:
+Cards and IBANs are validated first (Luhn, mod 97), since neighbours of a value can
+read as a part of it: every part of a digit run that begins and ends with a group, and
+an IBAN by its country's length. One pattern then finds a text's values, of cards and
+IBANs those validated. A match that passes its kind's validation (the calendar for
+dates, ranges for the rest) is replaced by a keyed permutation within its format:
 
 * a Feistel network on the two halves of the value. A round adds a stream of
   SHA-256(key, kind, round, other half) to each character of a half, modulo the
@@ -20,6 +22,8 @@ the key can invert it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +35,11 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: kind -> pattern, in order of precedence. No pattern can match the empty text, and
 #: each begins behind a boundary, so that a long run of characters is read once.
 PATTERNS = {
-    "email": r"(?<![.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"""(?i:password|passwd|secret|api_key|token)\s?[=:]\s?["']?[A-Za-z0-9_+/.~-]{8,128}["']?""",
+    "secret": r"""(?<!_)(?i:password|passwd|secret|api_key|token)\s?[=:]\s?["']?[A-Za-z0-9_+/.~-]{8,}+["']?""",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
-    "month": rf"(?:{_MONTHS}) \d{{1,2}}, \d{{4}}(?!\d)",
+    "month": rf"(?<![A-Za-z])(?:{_MONTHS}) \d{{1,2}}, \d{{4}}(?!\d)",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "date": (r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-])"
              rf"|(?<!\d)\d{{1,2}} (?:{_MONTHS}) \d{{4}}(?!\d)"),
@@ -44,20 +48,41 @@ PATTERNS = {
     "phone": (r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d){5,10}(?!\d)"
               r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}(?![\d-])"),
 }
-_AT_WORDS = ("email", "key", "secret", "iban", "month")
+_AT_WORDS = ("email", "key", "secret", "iban")
 
 
 def _either(kinds) -> str:
     return "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
 
 
-#: All kinds. Two tests of one character decide at most places: those that begin with a
-#: token stand at a word's start, the others begin with a digit or a sign.
-ANY = (rf"(?<![A-Za-z0-9_])(?=[A-Za-z0-9._%+-])(?:{_either(_AT_WORDS)})"
-       rf"|(?=[\d+(])(?:{_either(k for k in PATTERNS if k not in _AT_WORDS)})")
+#: All kinds, but for the two places of a text's own IBANs and cards. Tests of one
+#: character decide at most places: those that begin with a token stand at a word's
+#: start, months begin with a capital, the others with a digit or a sign.
+_IBANS, _CARDS = "<ibans>", "<cards>"
+_FRAME = (rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9._%+-])(?:{_either(k for k in _AT_WORDS if k != 'iban')}|{_IBANS})"
+          rf"|(?=[ADFJMNOS])(?:{_either(['month'])})"
+          rf"|(?=[\d+(])(?:{_either(k for k in PATTERNS if k not in (*_AT_WORDS, 'month', 'card', 'phone'))}"
+          rf"|{_CARDS}|{_either(['phone'])})")
+_NONE = "(?!)"
+#: What may be an IBAN, with the character behind it; and up to 19 digits in whole groups.
+#: Both are looked at from every place where one may begin.
+_IBAN_AT = r"(?=[A-Z]{2}\d{2})(?<![A-Za-z0-9])(?=([A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}[A-Za-z0-9]?))"
+_RUN_AT = r"(?=\d)(?<!\d)(?<!^-)(?<!\D-)(?=(\d(?:[ -]?\d){12,18})(?!\d|-\D|-$))"
+#: Digits in the groups of a card.
+_CARD_LAYOUT = r"^(?:[2-6]\d{12,18}|[2-6]\d{3}([ -])\d{4}\1\d{4}\1\d{4}|3\d{3}([ -])\d{6}\2\d{4,5})$"
+#: Lengths of the registered IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}
 #: A text without any of these holds no match.
 QUICK = r"[0-9@=:]|AKIA"
 
+#: A stream has 32 bytes: secrets of over 128 characters are permuted in blocks of 32,
+#: the last one of up to 63.
+_BLOCKS = r".{32}(?=.{32})|.+"
 _FIRST_DAY = "1900-01-01"
 #: 1900 to 2099 have 73,049 days: 17 times 4,297.
 _DAYS = (17, 4297)
@@ -259,8 +284,12 @@ def _secret(m: Column, key: str) -> Column:
     name = F.regexp_extract(m, r"""^([A-Za-z_]+\s?[=:]\s?["']?)""", 1)
     value = F.regexp_extract(m, r"""^[A-Za-z_]+\s?[=:]\s?["']?([A-Za-z0-9_+/.~-]*)""", 1)
     end = F.substr(m, F.length(name) + F.length(value) + 1, F.length(m))
-    new = (F.when(value.rlike("^[0-9a-f]+$"), feistel_text(value, key, "hex", lower=6))
-           .otherwise(feistel_text(value, key, "secret")))
+    blocks = F.when(F.length(value) > 128, F.regexp_extract_all(value, F.lit(_BLOCKS), F.lit(0))).otherwise(F.array(value))
+
+    def permuted(kind: str, lower: int) -> Column:
+        return F.array_join(F.transform(blocks, lambda v: feistel_text(v, key, kind, lower=lower)), "")
+
+    new = F.when(value.rlike("^[0-9a-f]+$"), permuted("hex", 6)).otherwise(permuted("secret", 26))
     return F.concat(name, new, end)
 
 
@@ -272,8 +301,60 @@ _REPLACE = {"email": _email, "key": _key, "secret": _secret, "iban": _iban, "mon
             "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 
+def _starting(found: Column, item: str, count: Column, end: str) -> Column:
+    """The part of ``found`` with ``count`` signs after its first; empty if it ends within a group."""
+    return F.call_function("regexp_extract", found, F.concat(F.lit(f"^({item}"), count.cast("string"), F.lit(f"}}){end}")), F.lit(1))
+
+
+def _ibans(text: Column) -> Column:
+    """The valid IBANs of a text: of registered countries those of their length, of
+    others the valid starts, longest first."""
+    def starts(w: Column) -> Column:
+        own = F.sequence(F.lit(34), F.lit(15), F.lit(-1))
+        for n, countries in IBAN_LENGTHS.items():
+            own = F.when(F.substr(w, F.lit(1), F.lit(2)).isin(countries.split()), F.array(F.lit(n))).otherwise(own)
+        return F.transform(own, lambda n: _starting(
+            w, r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){", n - 4, "(?![A-Za-z0-9])"))
+
+    def valid(v: Column) -> Column:
+        return (v != "") & (_let(_strip(v, "A-Z0-9"), lambda p: _mod97(
+            F.concat(F.substr(p, F.lit(5), F.length(p)), F.substr(p, F.lit(1), F.lit(4))))) == 1)
+
+    windows = F.array_distinct(F.regexp_extract_all(text, F.lit(_IBAN_AT), F.lit(1)))
+    return F.filter(F.flatten(F.transform(windows, starts)), valid)
+
+
+def _cards(text: Column) -> Column:
+    """The parts of a text's digit runs, in whole groups, that Luhn's sum allows; longest first."""
+    def starts(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(18), F.lit(12), F.lit(-1)),
+                           lambda n: _starting(w, r"\d(?:[ -]?\d){", n, r"(?!\d)"))
+
+    windows = F.array_distinct(F.regexp_extract_all(text, F.lit(_RUN_AT), F.lit(1)))
+    return F.array_distinct(F.filter(F.flatten(F.transform(windows, starts)),
+                                     lambda v: (v != "") & F.call_function("luhn_check", _strip(v, "0-9"))))
+
+
+def _values(text: Column) -> Column:
+    """The pattern of all kinds for this text, with its own valid IBANs and cards. Parts
+    in a card's layout come first, and others don't begin where they would cut one."""
+    first, between, last = re.split(f"{_IBANS}|{_CARDS}", _FRAME)
+
+    def any_of(values: Column, end: str) -> Column:
+        return F.concat(F.lit("(?:"), F.array_join(F.array_append(values, F.lit(_NONE)), "|"), F.lit(f"){end}"))
+
+    def cards(found: Column) -> Column:
+        usual = any_of(F.filter(found, lambda v: v.rlike(_CARD_LAYOUT)), r"(?!\d)")
+        others = F.transform(F.filter(found, lambda v: ~v.rlike(_CARD_LAYOUT)), lambda v: F.concat(
+            F.lit(r"(?![\d -]{1,"), (F.length(v) - 1).cast("string"), F.lit(r"}(?<!\d)"), usual, F.lit(")"), v))
+        return F.concat(F.lit(r"(?<!\d)(?:"), usual, F.lit("|"), any_of(others, r"(?!\d)"), F.lit(")"))
+
+    return F.concat(F.lit(first), any_of(_ibans(text), "(?![A-Za-z0-9])"), F.lit(between),
+                    _let(_cards(text), cards), F.lit(last))
+
+
 def pseudonym(m: Column, key: str) -> Column:
-    """The replacement of one match of ANY; itself if its kind's validation fails."""
+    """The replacement of one match; itself if its kind's validation fails."""
     out = m
     for kind in reversed(PATTERNS):
         out = F.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), _REPLACE[kind](m, key)).otherwise(out)
@@ -288,12 +369,13 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text",
     A null text stays null, an empty one empty; rows, their other columns and
     texts without personal data are unchanged. No shuffle.
     """
-    found, new = "__found", "__new"
+    found, new, values = "__found", "__new", "__values"
     text = F.col(text_col)
     none = F.array().cast("array<string>")
-    rows = docs.withColumn(found, F.when(text.rlike(QUICK), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none))
+    rows = docs.withColumn(values, F.when(text.rlike(QUICK), _values(text)))
+    rows = rows.withColumn(found, F.coalesce(F.regexp_extract_all(text, F.col(values), F.lit(0)), none))
     rows = rows.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m, key))))
-    between = F.split(text, ANY, -1)
+    between = F.split(text, F.col(values), -1)
     joined = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size(new)), F.col(new),
                                               lambda a, b: F.concat(a, b)), ""),
                       F.element_at(between, -1))
@@ -301,4 +383,4 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text",
     if count_col:
         differs = F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)
         rows = rows.withColumn(count_col, F.coalesce(F.size(differs), F.lit(0)).cast("long"))
-    return rows.drop(found, new)
+    return rows.drop(found, new, values)
