@@ -55,6 +55,17 @@ def test_near_duplicates_are_five_words_and_four_fifths(spark):
     assert sorted(r.doc_id for r in got.collect()) == expected == [0, 10, 20, 30, 31, 40, 41, 50]
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows that share an id stay or go by their own texts."""
+    base = " ".join(f"w{i}" for i in range(200))
+    near = base.replace("w100 ", "new ")
+    distinct, other = (" ".join(f"{c}{i}" for i in range(50)) for c in "uv")
+    rows = [(1, base), (2, near), (2, distinct), (3, other), (3, other), (3, other + " end"), (4, ""), (4, None), (None, base)]
+    got = [(r.doc_id, r.text) for r in cp.near_duplicates(spark, frame(spark, rows), SF_SMALL).collect()]
+    assert len(got) == 6 and {(1, base), (2, distinct), (4, ""), (4, None), (None, base)} <= set(got)
+    assert len({(3, other), (3, other + " end")} & set(got)) == 1
+
+
 def test_decontamination_stage(spark):
     item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").filter(F.length("text") > 150).first().text
     docs = frame(spark, [*MESSY, (30, item), (None, item), (31, "clean " * 50), (32, item + " other" * 2000)])
