@@ -23,6 +23,16 @@ def test_language_stage(spark):
     assert cp.language(spark, docs.limit(0), SF_SMALL).count() == 0
 
 
+def test_language_stage_keeps_what_has_letters(spark):
+    """Without a known language, and where several languages are about equally likely."""
+    docs = frame(spark, MESSY).withColumn("lang", F.lit(None).cast("string"))
+    kept = rows_of(docs.filter(F.coalesce("text", F.lit("")).rlike(r"\p{L}")))
+    assert kept and rows_of(cp.language(spark, docs, SF_SMALL)) == kept
+    many = frame(spark, [(i, "one and the same text") for i in range(60)] + [(100, "12 345")])
+    many = many.withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 6).cast("string")))
+    assert cp.language(spark, many, SF_SMALL).count() == 60
+
+
 def test_near_duplicate_stage(spark):
     copy = MESSY[9][1]
     docs = frame(spark, [*MESSY, (20, copy), (3, "a b c d e f")])
