@@ -121,9 +121,70 @@ least_id AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, l.component_id
 FROM documents d LEFT JOIN size s USING (doc_id) JOIN least_id l USING (doc_id)"""
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED_SEARCH = f"""
+WITH item AS (SELECT row_number() OVER () AS q, item_id, list_distinct({_words('text', _TERM)}) AS w FROM benchmark),
+asked AS (SELECT q, item_id, unnest(w) AS t FROM item),
+doc AS (SELECT row_number() OVER () AS d, doc_id, {_words('text', _TERM)} AS w FROM documents),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM doc WHERE len(w) > 0),
+tf AS (
+  SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(w) AS t FROM doc) WHERE t IN (SELECT t FROM asked) GROUP BY d, t
+),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS idf
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t) CROSS JOIN whole
+),
+part AS (
+  SELECT d, t, idf * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(doc.w) * n_docs) // n_words))) AS s
+  FROM tf JOIN weight USING (t) JOIN doc USING (d) CROSS JOIN whole
+),
+score AS (SELECT q, item_id, d, CAST(sum(s) AS BIGINT) AS score FROM asked JOIN part USING (t) GROUP BY ALL HAVING sum(s) > 0),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+         doc_id, score
+  FROM score JOIN doc USING (d)
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+#: The crc32 takes its 256 steps from the polynomial; the walk is the published algorithm in 128-bit integers.
+SHARDING = """
+WITH RECURSIVE seed AS (SELECT DISTINCT coalesce(CAST(doc_id AS VARCHAR), '') AS k FROM documents),
+walk(k, n, key, place, dest) AS (
+  SELECT k, n, CAST(CAST('0x' || substr(md5(k), 1, 16) AS UBIGINT) AS HUGEINT), CAST(-1 AS BIGINT), CAST(0 AS BIGINT)
+  FROM seed CROSS JOIN (VALUES (24), (25)) s(n)
+  UNION ALL
+  SELECT k, n, moved, dest,
+         CAST(floor((dest + 1) * (2147483648::DOUBLE / CAST(moved // 8589934592 + 1 AS DOUBLE))) AS BIGINT)
+  FROM (SELECT *, (key * 2862933555777941757 + 1) % 18446744073709551616::HUGEINT AS moved FROM walk WHERE dest < n)
+),
+home AS (
+  SELECT k, CAST(max(place) FILTER (n = 24) AS INTEGER) AS shard, CAST(max(place) FILTER (n = 25) AS INTEGER) AS grown_shard
+  FROM walk GROUP BY k
+),
+bits(b, v, i) AS (
+  SELECT r, CAST(r AS BIGINT), 0 FROM range(256) t(r)
+  UNION ALL
+  SELECT b, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, i + 1 FROM bits WHERE i < 8
+),
+step AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE i = 8),
+doc AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+         CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size,
+         xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                                        lambda h: CAST('0x' || h AS BIGINT)),
+                         lambda x, y: xor(x // 256, t[1 + xor(x % 256, y)])), 4294967295) AS text_crc32
+  FROM documents CROSS JOIN step
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32) - 1 AS slot, grown_shard
+FROM doc JOIN home USING (k)"""
+
 ORACLE = {
     "op1_decontamination": DECONTAMINATION,
     "op2_topk": TOPK,
     "op8_url_filter": URL_FILTER,
     "op9_jaccard_join": JACCARD_JOIN,
+    "op11_ranked_search": RANKED_SEARCH,
+    "op13_sharding": SHARDING,
 }

@@ -7,14 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import bpe, decontam, idstore, langid, paritysketch, pii, quality, substrings, topk, urls
+from lamina.llm import (balltree, bpe, decontam, idstore, langid, paritysketch, pii, quality, sharding, substrings,
+                        tokenalign, topk, urls)
 from lamina.llm.common import fold, write_and_read
 from lamina.llm.oracles import ORACLE  # noqa: F401
 from lamina.sources.tables import read_table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 QUALITY_FROM = 0.7
+SHARDS = 24
 #: Rules of the URL filter, by its contract.
 URL_RULES = (urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"),
              urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/"))
@@ -101,6 +104,22 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= QUALITY_FROM).cast("int").alias("predicted"))
 
 
+def q_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def q_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = tokenalign.align(read_table(spark, sf_dir, "documents"), TOKENIZER_FILE, PIECE_FILE, digest=True)
+    counts = tokenalign.pair_counts(aligned, tokenalign.vocabulary_size(PIECE_FILE))
+    return tokenalign.link_scores(aligned, counts).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(read_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 QUERIES = {
     "op1_decontamination": q_decontam,
     "op2_topk": q_topk,
@@ -112,4 +131,7 @@ QUERIES = {
     "op8_url_filter": q_urls,
     "op9_jaccard_join": q_join,
     "op10_quality": q_quality,
+    "op11_ranked_search": q_ranked,
+    "op12_token_alignment": q_align,
+    "op13_sharding": q_sharding,
 }
