@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,7 +37,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import ship_package, write_and_read
-from lamina.llm.idstore import UnitEncoder
 from lamina.plans.joins import sized_broadcast
 
 #: Longer texts are cut; also the bytes that one numpy pass aligns.
@@ -44,12 +44,19 @@ CHUNK_BYTES = 1 << 15
 PASS_BYTES = 1 << 19
 #: Neighbouring fragments that one task composes in a round.
 FAN_IN = 8
+#: Units that a worker remembers, and that it learns at once.
+CACHE_UNITS = 200_000
+LEARN_UNITS = 8192
 #: Bytes of a decimal id and the sign behind it.
 SIGN_WIDTH = 8
 MARK = "▁"
+#: Signs at a unit's end that are tokens of their own behind letters.
+SIGNS = ".,;:!?"
 
 _CUT_A = re.compile(r"[0-9A-Za-z](?= [^ ])")
 _CUT_B = re.compile(rf"[^ {MARK}](?= [^ {MARK}])")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_UNIT = re.compile(r" [^ \n]+|\n+[^ \n]*")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -75,8 +82,13 @@ class Side:
         if self.size > 10 ** (SIGN_WIDTH - 1):
             raise ValueError("the vocabulary is too large")
 
-    def faithful(self, ids: np.ndarray, raw: bytes) -> bool:
-        return b"".join(map(self.token_bytes.__getitem__, ids.tolist())) == raw
+    def faithful(self, ids: list[int], raw: bytes) -> bool:
+        return b"".join(map(self.token_bytes.__getitem__, ids)) == raw
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that are whole or begin at a safe place, with a blank or, behind
+        another character than a blank, with a line feed."""
+        raise NotImplementedError
 
 
 class ByteLevelSide(Side):
@@ -85,17 +97,15 @@ class ByteLevelSide(Side):
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True      # their strings are plain text
-        self.units = UnitEncoder(path, "<u4")
-        self.units.tokenizer, self.units.special = tokenizer, []
+        self.model = tokenizer
         byte = byte_alphabet()
         added = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
         entries = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
         super().__init__([t.encode() if i in added else bytes(byte[c] for c in t)
                           for i, t in enumerate(entries)], _CUT_A, "|")
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts that are whole or begin at a safe place."""
-        return [np.frombuffer(x, "<u4").astype(np.int64) for x in self.units.encode(texts)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class PieceSide(Side):
@@ -107,12 +117,21 @@ class PieceSide(Side):
         known = [b"" if self.model.is_control(i) or self.model.is_unknown(i)
                  else bytes([int(m.group(1), 16)]) if (m := _BYTE_PIECE.fullmatch(p)) and self.model.is_byte(i)
                  else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
-        crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
+        crossing = any(re.search(f"[^{MARK}]{MARK}|.\n|\n.", p) for p in pieces)
         super().__init__(known, None if crossing else _CUT_B, ";")
+        self.mark = self.model.piece_to_id(MARK)
+        #: signs that no piece holds behind a letter
+        self.apart = {c for c in SIGNS if not any(c in p[1:] and p[p.index(c, 1) - 1].isalpha() for p in pieces)}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts that begin with a blank; the model adds it."""
-        return [np.array(x, np.int64) for x in self.model.encode([t[1:] for t in texts], num_threads=1)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The model adds a blank in front; it is a token alone before a line feed."""
+        out = self.model.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        for i, t in enumerate(texts):
+            if t[0] != " ":
+                if out[i][0] != self.mark:
+                    raise ValueError("no piece of its own for a blank")
+                out[i] = out[i][1:]
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -123,6 +142,12 @@ def _sides(path_a: str, path_b: str) -> tuple[ByteLevelSide, PieceSide]:
     return ByteLevelSide(path_a), PieceSide(path_b)
 
 
+@functools.lru_cache(maxsize=2)
+def _units(path_a: str, path_b: str) -> Units:
+    """A Python worker's units: what it has learned serves its next tasks, too."""
+    return Units(*_sides(path_a, path_b))
+
+
 def vocabulary_size(piece_file: str) -> int:
     """Ids of B, which a pair's number is made with."""
     import sentencepiece
@@ -301,47 +326,153 @@ def _said(groups: bytes, digest: bool) -> str:
     return hashlib.sha256(groups).hexdigest() if digest else groups.decode()
 
 
-def align_texts(texts: list[str | None], a: Side, b: Side):
-    """Of whole texts: per text the groups' text and four counts, and the links of
+class Units:
+    """Aligns each distinct unit once. A unit is a blank and the word behind it, or line
+    feeds and what follows them, up to the next blank or line feed; where both
+    neighbours of a blank aren't white space (nor B's mark of a blank), no token of
+    either tokenizer crosses the place before a unit, so that a text's groups are
+    those of its units. In the same way a word of letters and a sign behind it fall
+    into the two. Units are remembered in two generations of ``most``; the older one is
+    dropped when the younger one is full."""
+
+    def __init__(self, a: Side, b: Side, most: int = CACHE_UNITS):
+        self.a, self.b, self.most = a, b, most if b.cut is not None else 0
+        # unit (without its blank) -> its groups' text, its links as 64-bit integers, its tokens of A
+        self.known: dict[str, tuple[bytes, bytes, int]] = {}
+        self.older: dict[str, tuple[bytes, bytes, int]] = {}
+        self.signs: dict[str, tuple[bytes, bytes, int]] = {}
+        if self.most:
+            for c in sorted(b.apart):
+                (x,), (y,) = a.encode([" a" + c]), b.encode([" a" + c])
+                if a.token_bytes[x[-1]] == b.token_bytes[y[-1]] == c.encode():
+                    key = np.array([x[-1] * b.size + y[-1]], "<i8")
+                    self.signs[c] = f"{x[-1]}|{y[-1]};".encode(), key.tobytes(), 1
+
+    def divides(self, text: str) -> bool:
+        """Whether blanks and line feeds divide a text into units."""
+        return bool(self.most and text and text[0] not in " \n" and text[-1] != " " and "  " not in text
+                    and " \n" not in text and "\n " not in text and MARK not in text
+                    and (text.replace("\n", " ").isprintable() or not _OTHER_SPACE.search(text)))
+
+    @staticmethod
+    def divided(text: str) -> list[str]:
+        if "\n\n" in text:
+            return [u.removeprefix(" ") for u in _UNIT.findall(" " + text)]
+        return text.replace("\n", " \n").split(" ")
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.known) + len(words) > self.most:
+            self.older, self.known = self.known, {}
+        ended = {w for w in words if w[-1] in self.signs and w[:-1].lstrip("\n").isalpha()}
+        need = ((words - ended) | {w[:-1] for w in ended}) - self.known.keys()
+        seen = need & self.older.keys()
+        self.known.update(zip(seen, map(self.older.__getitem__, seen)))
+        new = list(need - seen)
+        for at in range(0, len(new), LEARN_UNITS):
+            lot = new[at:at + LEARN_UNITS]
+            good, t, splits = encoded([w if w[0] == "\n" else " " + w for w in lot], self.a, self.b)
+            if len(good) < len(lot):
+                raise ValueError("a unit's tokens aren't its bytes")
+            ends = Ends(t)
+            keys, places = linked(t, ends, self.b.size)
+            raw = keys.astype("<i8").tobytes()
+            cut = (np.searchsorted(places, splits, "right") * 8).tolist()
+            n_a = np.diff(np.searchsorted(t.a_ends, splits, "right"), prepend=0).tolist()
+            for w, said, x, y, n in zip(lot, group_texts(t, ends, self.a, self.b, splits), [0, *cut[:-1]], cut, n_a):
+                self.known[w] = said, raw[x:y], n
+        for w in ended:
+            self.known[w] = tuple(x + y for x, y in zip(self.known[w[:-1]], self.signs[w[-1]]))
+
+    def look_up(self, texts: list[list[str]]) -> list[list[tuple[bytes, bytes, int]]]:
+        """The units of texts, given as their words."""
+        get = self.known.get
+        got = [list(map(get, words)) for words in texts]
+        missing = {w for words, own in zip(texts, got) if None in own for w, x in zip(words, own) if x is None}
+        if missing:
+            self.learn(missing)
+            get = self.known.__getitem__
+            got = [own if None not in own else [get(w) if x is None else x for w, x in zip(words, own)]
+                   for words, own in zip(texts, got)]
+        return got
+
+
+def encoded(whole: list[str], a: Side, b: Side) -> tuple[list[int], Tokens, np.ndarray]:
+    """Texts with their blank in front: those whose tokens' bytes they are, these
+    tokens one text after another, and where the texts end."""
+    good = list(range(len(whole)))
+    both = []
+    reach = np.cumsum([len(t.encode()) for t in whole])
+    raw = "".join(whole).encode()
+    for side in (a, b):
+        ids = side.encode(whole)
+        flat = list(itertools.chain.from_iterable(ids))
+        n = np.array([len(x) for x in ids], np.int64)
+        ends = np.cumsum(side.lengths[flat]) if flat else np.zeros(0, np.int64)
+        # all at once, and text by text only where that fails
+        if not (np.array_equal(np.concatenate(([0], ends))[np.cumsum(n)], reach) and side.faithful(flat, raw)):
+            good = [i for i in good if whole[i] and side.faithful(ids[i], whole[i].encode())]
+        both.append((ids, flat, n))
+    if not good:
+        return good, no_tokens(), np.zeros(0, np.int64)
+    streams = []
+    for side, (ids, flat, n) in zip((a, b), both):
+        flat = np.array(flat if len(good) == len(whole) else
+                        list(itertools.chain.from_iterable(ids[i] for i in good)), np.int64)
+        streams += [flat, np.cumsum(side.lengths[flat])]
+    t = Tokens(*streams)
+    return good, t, t.a_ends[np.cumsum(both[0][2][good]) - 1]
+
+
+def align_texts(texts: list[str | None], units: Units):
+    """Of whole texts: per text four counts and the groups' text, and the links of
     all of them, as (text, pair, how often) in ascending order."""
-    whole = [" " + t if t else "" for t in texts]
-    ids_a, ids_b = a.encode(whole), b.encode(whole)
-    good = []
-    for i, t in enumerate(whole):
-        raw = t.encode()
-        if raw and a.faithful(ids_a[i], raw) and b.faithful(ids_b[i], raw):
-            good.append(i)
+    a, b = units.a, units.b
     counts = np.zeros((4, len(texts)), np.int64)
     groups = [b""] * len(texts)
-    if not good:
+    keys, doc = [], []
+    plain = [i for i, t in enumerate(texts) if t and units.divides(t)]
+    for i, own in zip(plain, units.look_up([units.divided(texts[i]) for i in plain])):
+        said, raw, n_a = zip(*own)
+        groups[i] = b"".join(said)[:-1]
+        links = np.frombuffer(b"".join(raw), "<i8")
+        n_groups = groups[i].count(b";") + 1
+        # neighbouring ends of either stream: as many as all ends less the common ones
+        counts[:, i] = sum(n_a), len(links) + n_groups - sum(n_a), n_groups, len(links)
+        keys.append(links)
+        doc.append(i)
+    others = [i for i in range(len(texts)) if texts[i] and not groups[i]]
+    good, t, splits = encoded([" " + texts[i] for i in others], a, b)
+    if good:
+        ends = Ends(t)
+        links, at = linked(t, ends, b.size)
+        cut = np.searchsorted(at, splits, "right")
+        n_a = np.diff(np.searchsorted(t.a_ends, splits, "right"), prepend=0)
+        n_b = np.diff(np.searchsorted(t.b_ends, splits, "right"), prepend=0)
+        for j, (i, said) in enumerate(zip([others[g] for g in good], group_texts(t, ends, a, b, splits))):
+            groups[i] = said[:-1]
+            own = links[cut[j - 1] if j else 0:cut[j]]
+            counts[:, i] = n_a[j], n_b[j], n_a[j] + n_b[j] - len(own), len(own)
+            keys.append(own)
+            doc.append(i)
+    if not keys:
         return counts, groups, *(np.zeros(0, np.int64) for _ in range(3))
-    t = Tokens(np.concatenate([ids_a[i] for i in good]), None, np.concatenate([ids_b[i] for i in good]), None)
-    t.a_ends, t.b_ends = np.cumsum(a.lengths[t.a]), np.cumsum(b.lengths[t.b])
-    n_a, n_b = [len(ids_a[i]) for i in good], [len(ids_b[i]) for i in good]
-    splits = t.a_ends[np.cumsum(n_a) - 1]
-    ends = Ends(t)
-    for i, said in zip(good, group_texts(t, ends, a, b, splits)):
-        groups[i] = said[:-1]
-    keys, at = linked(t, ends, b.size)
     # one number a link, its text before its pair; wide enough, as a pass is short
-    doc = np.repeat(np.arange(len(good)), np.diff(np.searchsorted(at, splits, "right"), prepend=0))
     bits = (a.size * b.size - 1).bit_length()
-    both, n = np.unique((doc << bits) | keys, return_counts=True)
-    n_groups = np.diff(np.searchsorted(ends.common(), splits, "right"), prepend=0)
-    counts[:, good] = [n_a, n_b, n_groups, np.bincount(doc, minlength=len(good))]
-    return counts, groups, np.array(good)[both >> bits], both & ((1 << bits) - 1), n
+    of = np.repeat(np.array(doc, np.int64), [len(x) for x in keys])
+    both, n = np.unique((of << bits) | np.concatenate(keys), return_counts=True)
+    return counts, groups, both >> bits, both & ((1 << bits) - 1), n
 
 
 def _whole(docs: DataFrame, path_a: str, path_b: str, digest: bool) -> DataFrame:
     """The texts that no one needs to cut."""
     def run(batches):
         row = TaskContext.get().partitionId() << 33
-        a, b = _sides(path_a, path_b)
+        units = _units(path_a, path_b)
         for batch in batches:
             for lot in _lots(batch.column(1).to_pylist()):
                 doc_ids = batch.column(0)[lot.start:lot.stop]
                 texts = batch.column(1)[lot.start:lot.stop].to_pylist()
-                counts, groups, doc, keys, n = align_texts(texts, a, b)
+                counts, groups, doc, keys, n = align_texts(texts, units)
                 said = [_said(g, digest) if g else "" for g in groups]
                 yield _batch(np.arange(row, row + len(texts)), doc_ids, *counts, said,
                              np.bincount(doc, minlength=len(texts)), keys, n)
@@ -422,21 +553,60 @@ def _unpacked(r: dict) -> Fragment:
                     np.array(r["counts"], np.int64), r["n_a"], r["n_b"], part["tail"])
 
 
+def chunk_fragment(a_text: str, a_at: int, b_text: str, b_at: int, units: Units) -> Fragment | None:
+    """The fragment of a chunk's two streams; None where tokens aren't their bytes.
+
+    What both streams hold is divided into units where blanks allow it: their product
+    is made of remembered closed groups. In front of it is what only B's stream holds
+    (it is cut at more places, so that it begins no later), behind it what only A's
+    does; both are safe places of either tokenizer then.
+    """
+    a, b = units.a, units.b
+    raw_a, raw_b = a_text.encode(), b_text.encode()
+    begin, end = a_at - b_at, b_at + len(raw_b) - a_at
+    shared = raw_a[:end].decode(errors="replace") if begin >= 0 and 0 < end <= len(raw_a) else ""
+    behind = raw_a[end:].decode() if shared else ""
+    if not (shared and shared[0] == " " and units.divides(shared[1:]) and not (behind and shared[-1].isspace())
+            and not behind[1:2].isspace()):
+        return _scanned(a_text, a_at, b_text, b_at, a, b)
+    first, *words = units.divided(shared[1:])
+    parts = [_scanned("", a_at, raw_b[:begin].decode(), b_at, a, b),
+             _scanned(" " + first, a_at, " " + first, a_at, a, b),
+             _scanned(behind, a_at + end, "", a_at + end, a, b)]
+    if None in parts:
+        return None
+    out = compose(parts[0], parts[1], a, b)
+    if words:
+        own, = units.look_up([words])
+        said, raw, n_a = zip(*own)
+        keys, counts = np.unique(np.frombuffer(b"".join(raw), "<i8"), return_counts=True)
+        text = b"".join(said).decode()
+        n = text.count(";")
+        out.follow(Fragment(closed=True, groups=text, n_groups=n, keys=keys, counts=counts, n_a=sum(n_a),
+                            n_b=int(counts.sum()) + n - sum(n_a)))
+    return compose(out, parts[2], a, b)
+
+
+def _scanned(a_text: str, a_at: int, b_text: str, b_at: int, a: Side, b: Side) -> Fragment | None:
+    own = []
+    for side, text, at in ((a, a_text, a_at), (b, b_text, b_at)):
+        ids = side.encode([text])[0] if text else []
+        if not side.faithful(ids, text.encode()):
+            return None
+        ids = np.array(ids, np.int64)
+        own += [ids, np.cumsum(side.lengths[ids]) + at]
+    return scan(Tokens(*own), a, b)
+
+
 def _fragments(chunks: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Each chunk's fragment."""
     def run(batches):
-        a, b = _sides(path_a, path_b)
+        units = _units(path_a, path_b)
         for batch in batches:
             for c in batch.to_pylist():
-                own = {}
-                good = True
-                for name, side in (("a", a), ("b", b)):
-                    ids = side.encode([c[name]])[0] if c[name] else np.zeros(0, np.int64)
-                    good = good and side.faithful(ids, c[name].encode())
-                    own[name] = ids, np.cumsum(side.lengths[ids]) + c[f"{name}_at"]
-                f = scan(Tokens(*own["a"], *own["b"]), a, b) if good else EMPTY
-                yield pa.RecordBatch.from_pydict(
-                    _table([_packed(c["row"], c["doc_id"], c["k"], good, f)]), schema=_schema())
+                f = chunk_fragment(c["a"], c["a_at"], c["b"], c["b_at"], units)
+                yield pa.RecordBatch.from_pydict(_table([_packed(
+                    c["row"], c["doc_id"], c["k"], f is not None, f or EMPTY)]), schema=_schema())
 
     return chunks.mapInArrow(run, FRAGMENTS)
 

@@ -27,7 +27,7 @@ TEXTS = [
 def whole_tokens(text):
     """Of a whole text, by the libraries alone."""
     raw = (" " + text).encode() if text else b""
-    a = A.units.tokenizer.encode(" " + (text or ""), add_special_tokens=False).ids if text else []
+    a = A.model.encode(" " + (text or ""), add_special_tokens=False).ids if text else []
     b = B.model.encode(text) if text else []
     if not raw or any(b"".join(s.token_bytes[i] for i in x) != raw for s, x in ((A, a), (B, b))):
         return [], [], [], []
@@ -36,19 +36,19 @@ def whole_tokens(text):
 
 def brute(texts):
     docs, corpus = [], Counter()
-    for i, text in texts:
+    for doc_id, text in texts:
         a, a_ends, b, b_ends = whole_tokens(text)
-        groups, begin = [], 0
+        groups, i, j = [], 0, 0
         for e in sorted(set(a_ends) & set(b_ends)):
-            own = [",".join(str(x) for x, y in zip(ids, ends) if begin < y <= e) for ids, ends in ((a, a_ends), (b, b_ends))]
-            groups.append("|".join(own))
-            begin = e
+            x, y = a_ends.index(e, i) + 1, b_ends.index(e, j) + 1
+            groups.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
+            i, j = x, y
         # a byte's pair of tokens, counted once a stretch
         of_a = np.repeat(np.arange(len(a)), np.diff([0, *a_ends]))
         of_b = np.repeat(np.arange(len(b)), np.diff([0, *b_ends]))
         links = [(a[x], b[y]) for x, y in sorted(set(zip(of_a.tolist(), of_b.tolist())))]
         corpus.update(links)
-        docs.append((i, a, b, groups, links))
+        docs.append((doc_id, a, b, groups, links))
     most = defaultdict(int)
     for (_, y), n in corpus.items():
         most[y] = max(most[y], n)
@@ -80,7 +80,7 @@ def test_digest_and_empty_table(spark):
 
 def test_byte_tables():
     assert len(ta.byte_alphabet()) == 256 and set(ta.byte_alphabet().values()) == set(range(256))
-    assert A.token_bytes[A.units.tokenizer.token_to_id("Ġthe")] == b" the"
+    assert A.token_bytes[A.model.token_to_id("Ġthe")] == b" the"
     assert B.token_bytes[B.model.piece_to_id("▁the")] == b" the" and B.token_bytes[B.model.piece_to_id("<0x0A>")] == b"\n"
     assert B.cut is not None and A.cut is not None
 
@@ -94,8 +94,8 @@ def test_cut_places_are_safe(side):
         at = ta.cuts(text, side.cut, 7)
         parts = [text[x:y] for x, y in zip(at[:-1], at[1:])]
         assert "".join(parts) == text
-        got = [i for p in parts if p for i in side.encode([p])[0].tolist()]
-        assert got == side.encode([text])[0].tolist()
+        got = [i for p in parts if p for i in side.encode([p])[0]]
+        assert got == side.encode([text])[0]
 
 
 @st.composite
