@@ -40,12 +40,12 @@ RISK_LOW_FROM = 70.0
 # boosted trees (160 rounds, rate 0.06, depth 6)
 LOGISTIC_PARAMS = {"maxIter": 1000, "C": 1.0, "tol": 1e-4}
 FOREST_PARAMS = {"numTrees": 120, "maxDepth": 14, "subsamplingRate": 0.75}
-BOOSTED_PARAMS = {"maxIter": 160, "stepSize": 0.06, "maxDepth": 6}
+BOOSTED_PARAMS = {"rounds": 160, "step": 0.06, "depth": 6}
 
 # random search: 3 draws, 3 folds, scored by ROC-AUC
 SEARCH_DRAWS = 3
 SEARCH_FOLDS = 3
-BOOSTED_GRID = {"maxIter": [120, 200], "maxDepth": [5, 7, 9], "stepSize": [0.03, 0.06],
-                "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.7", "0.9"]}
+BOOSTED_GRID = {"rounds": [120, 200], "depth": [5, 7, 9], "step": [0.03, 0.06],
+                "subsample": [0.8, 1.0], "colsample": [0.7, 0.9]}
 FOREST_GRID = {"numTrees": [100, 160], "maxDepth": [12, 18], "minInstancesPerNode": [5, 10]}
 LOGISTIC_GRID = {"C": [0.1, 1.0, 5.0]}

@@ -6,6 +6,7 @@ nothing is sampled down to fit a single machine.
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina import fixed
+from lamina.model.boosting import SecondOrderTrees
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -49,11 +51,11 @@ SEARCH_GRIDS = {"boosted": fixed.BOOSTED_GRID, "forest": fixed.FOREST_GRID,
 
 def make_classifier(kind: str, params: dict, features_col: str = "features",
                     label_col: str = "label", weight_col: str | None = "weight",
-                    n_train: int | None = None, seed: int = fixed.SEED):
-    """Spark ML estimator for a candidate. ``C`` (inverse L2 strength) maps to
+                    n_train: int | None = None, seed: int = fixed.SEED, scale_pos: float = 1.0,
+                    order_col: str = "id", partitions: int = 1):
+    """Estimator for a candidate. ``C`` (inverse L2 strength) maps to
     regParam = 1 / (C * n) for an unscaled sum-of-losses objective."""
-    from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                           RandomForestClassifier)
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 
     p = dict(params)
     common = {"featuresCol": features_col, "labelCol": label_col}
@@ -71,10 +73,8 @@ def make_classifier(kind: str, params: dict, features_col: str = "features",
             est.setWeightCol(weight_col)
         return est
     if kind == "boosted":
-        est = GBTClassifier(seed=seed, **common, **p)
-        if weight_col:
-            est.setWeightCol(weight_col)
-        return est
+        boost = json.dumps({**p, "scale_pos": scale_pos, "seed": seed})
+        return SecondOrderTrees(orderCol=order_col, partitions=partitions, boost=boost, **common)
     raise ValueError(f"unknown model kind {kind!r}")
 
 

@@ -18,18 +18,22 @@ from lamina.functions.exprs import risk_tier, round_fine, round_half_up
 from lamina.model import evaluate as ev
 from lamina.model import split as sp
 from lamina.model import workflow as wf
-from lamina.model.explain import sampled_shapley
+from lamina.model.boosting import SecondOrderTrees
+from lamina.model.explain import sampled_shapley, tree_summary
 from lamina.model.train import REFERENCE_CANDIDATES
+from lamina.model.tree_attribution import expected, tree_attribution
 from lamina.operators.profile import require_non_empty
 from lamina.plans import ml_queries as mq
 from lamina.plans import oracle_ml
+from lamina.plans.oracle import rf
 from lamina.plans.joins import materialize
 from lamina.plans.registry import register
 from lamina.session import work_path
 from lamina.sources import sinks
+from lamina.sources.tables import read_table
 
 EXPLAIN_SALT = "|explain42"
-ATTRIBUTION_ORDERS = 4   # sampled feature orders a row
+ATTRIBUTION_ORDERS = 8   # sampled feature orders a row
 
 _CACHE: dict = {}
 
@@ -252,3 +256,87 @@ def q_train_check(spark, sf_dir):
              .select(F.lit(c.name).alias("model"), (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"),
                      (F.col("tp") + F.col("fn")).alias("n_pos")) for c in REFERENCE_CANDIDATES]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# -- boosted trees ---------------------------------------------------------------------
+
+FIRST_TREE_FEATURES = ("l_quantity", "l_discount", "l_tax")
+
+
+def _best_split(rows: str) -> str:
+    """Of each side of ``rows`` (side, f, v, g, h), the border of the highest gain."""
+    return f"""
+  SELECT side, f, cut, gain, -gl / (hl + 1) AS value_left, -(g - gl) / (h - hl + 1) AS value_right FROM (
+    SELECT *, (gl*gl/(hl+1) + (g-gl)*(g-gl)/(h-hl+1) - g*g/(h+1)) / 2 AS gain FROM (
+      SELECT side, f, v AS cut, SUM(g) OVER below AS gl, SUM(h) OVER below AS hl,
+             SUM(g) OVER every AS g, SUM(h) OVER every AS h
+      FROM (SELECT side, f, v, SUM(g) AS g, SUM(h) AS h FROM {rows} GROUP BY side, f, v)
+      WINDOW below AS (PARTITION BY side, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             every AS (PARTITION BY side, f))
+    WHERE hl >= 1 AND h - hl >= 1)
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY side ORDER BY gain DESC, f, cut) = 1"""
+
+
+@register("boosted_first_tree", f"""
+WITH base AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN -0.5::DOUBLE ELSE 0.5::DOUBLE END AS g, 0.25::DOUBLE AS h,
+         [{', '.join(f'CAST({c} AS DOUBLE)' for c in FIRST_TREE_FEATURES)}] AS x
+  FROM lineitem
+),
+long0 AS (SELECT '' AS side, g, h, unnest(range(3)) AS f, unnest(x) AS v FROM base),
+root AS ({_best_split('long0')}),
+long1 AS (SELECT CASE WHEN x[CAST(r.f AS INT) + 1] < r.cut THEN 'L' ELSE 'R' END AS side, b.g, b.h,
+                 unnest(range(3)) AS f, unnest(x) AS v FROM base b CROSS JOIN root r),
+splits AS (SELECT * FROM root UNION ALL {_best_split('long1')})
+SELECT side, CAST(f AS INTEGER) AS feature, cut AS threshold, {rf('gain')} AS gain,
+       CASE WHEN side <> '' THEN {rf('value_left')} END AS value_left,
+       CASE WHEN side <> '' THEN {rf('value_right')} END AS value_right
+FROM splits""")
+def q_boosted_first_tree(spark, sf_dir):
+    """The first tree, two levels deep, on three columns of ``lineitem``: each split with
+    its gain, and the leaves' values."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = read_table(spark, sf_dir, "lineitem").select(
+        F.xxhash64("l_orderkey", "l_linenumber").alias("id"),
+        (F.col("l_returnflag") == "R").cast("double").alias("label"),
+        array_to_vector(F.array(*[F.col(c).cast("double") for c in FIRST_TREE_FEATURES])).alias("features"))
+    model = SecondOrderTrees(boost=json.dumps({"rounds": 1, "depth": 2, "step": 1.0}),
+                             partitions=wf.training_partitions(rows.count())).fit(rows)
+    tree = model.trees[0]
+    root = [("", 0)] if tree.feature[0] >= 0 else []
+    sides = [(s, int(x[0])) for s, x in (("L", tree.left), ("R", tree.right)) if root and tree.feature[int(x[0])] >= 0]
+    out = [(s, int(tree.feature[n]), float(tree.threshold[n]), float(tree.gain[n]),
+            *((float(tree.value[tree.left[n]]), float(tree.value[tree.right[n]])) if s else (None, None)))
+           for s, n in root + sides]
+    frame = spark.createDataFrame(out, "side string, feature int, threshold double, gain double, "
+                                       "value_left double, value_right double")
+    return frame.withColumns({c: round_fine(c) for c in ("gain", "value_left", "value_right")})
+
+
+def boosted_matrix(spark, sf_dir):
+    """The fitted boosted trees and all test rows as their feature vectors."""
+    pipeline = fitted(spark, sf_dir, "gbt")
+    rows = explain_rows(spark, sf_dir).drop(wf.OOF_FLAG)
+    for stage in pipeline.stages[:-1]:
+        rows = stage.transform(rows)
+    return pipeline.stages[-1], rows
+
+
+@register("attribution_trees")
+def q_attribution_trees(spark, sf_dir):
+    """Exact attributions of the boosted trees over all test rows."""
+    model, rows = boosted_matrix(spark, sf_dir)
+    return tree_summary(model, rows, [*mq.NUMERIC, *mq.CATEGORICAL], "entity_id")
+
+
+@register("attribution_trees_check", TEST_IDS.format("TRUE AS additive"))
+def q_attribution_trees_check(spark, sf_dir):
+    """Of every test row: the attributions add up to its margin less the mean one."""
+    model, rows = boosted_matrix(spark, sf_dir)
+    parts = tree_attribution(model, rows, [*mq.NUMERIC, *mq.CATEGORICAL], "entity_id")
+    total = parts.groupBy("entity_id").agg(F.sum("v").alias("phi"))
+    scored = model.transform(rows).select("entity_id", F.col(wf.LABEL).cast("int").alias("actual"), "margin")
+    return scored.join(total, "entity_id").select(
+        "entity_id", "actual",
+        (F.abs(F.col("phi") + F.lit(expected(model.trees, model.base)) - F.col("margin")) < 1e-9).alias("additive"))
