@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +23,7 @@ from lamina.model import split as sp
 from lamina.model.stages import (CrossFitTargetEncoder, MedianImputer, ModeImputer,
                                  Standardizer)
 from lamina.plans.joins import materialize
+from lamina.plans.parallel import CONCURRENT_CALLS, run_together
 from lamina.model.train import (REFERENCE_CANDIDATES, SEARCH_GRIDS, Candidate, assemble_stage,
                                 class_weights, make_classifier, sample_param_maps)
 
@@ -172,27 +174,32 @@ def benchmark(data: ModelData, candidates: Sequence[Candidate] = REFERENCE_CANDI
 
 def random_search(data: ModelData, cand: Candidate, grid: dict | None = None,
                   n_iter: int = fixed.SEARCH_DRAWS, n_folds: int = fixed.SEARCH_FOLDS,
-                  seed: int = fixed.SEED, matrix: Matrix | None = None):
+                  seed: int = fixed.SEED, matrix: Matrix | None = None, concurrent: int = CONCURRENT_CALLS):
     """Randomised search over the candidate's grid: ``n_iter`` draws, each
     scored by mean ROC-AUC over ``n_folds`` hash folds of the training rows
     (fit on the others, evaluated with full-fit encodings), then the best
     draw is refit on all training rows. Preprocessing is fitted once per fold and
-    shared by the draws. Returns (results frame, model, params)."""
+    shared by the draws; up to ``concurrent`` fits run at once, with the same results
+    as one after another. Returns (results frame, model, params)."""
     grid = grid or SEARCH_GRIDS[cand.kind]
     spark = data.train.sparkSession
     cv_fold = sp.hash_u32(data.id_col, CV_SALT) % n_folds
     train = data.train.withColumn("__cv", cv_fold)
     draws = sample_param_maps(grid, n_iter, seed)
-    aucs: list[list[float]] = [[] for _ in draws]
-    for k in range(n_folds):
+    def fold_matrices(k: int):
         fold = training_matrix(data, train.where(F.col("__cv") != k).drop("__cv"))
         held = fold.model.transform(train.where(F.col("__cv") == k).drop("__cv", OOF_FLAG))
-        held = materialize(held.select(data.id_col, FEATURES, LABEL), "held-matrix")
-        for d, params in enumerate(draws):
-            trial = Candidate(cand.name, cand.kind, {**cand.params, **params})
-            model = fit_classifier(fold, trial, data.weights["scale_pos"][1], data.id_col)
-            s = model.transform(held).select(LABEL, vector_to_array(F.col("probability"))[1].alias(SCORE))
-            aucs[d].append(ev.roc_auc(s, LABEL, SCORE).first()["roc_auc"])
+        return fold, materialize(held.select(data.id_col, FEATURES, LABEL), "held-matrix")
+
+    def trial(fold: Matrix, held: DataFrame, params: dict) -> float:
+        drawn = Candidate(cand.name, cand.kind, {**cand.params, **params})
+        model = fit_classifier(fold, drawn, data.weights["scale_pos"][1], data.id_col)
+        s = model.transform(held).select(LABEL, vector_to_array(F.col("probability"))[1].alias(SCORE))
+        return ev.roc_auc(s, LABEL, SCORE).first()["roc_auc"]
+
+    folds = run_together(spark, [partial(fold_matrices, k) for k in range(n_folds)], concurrent)
+    found = run_together(spark, [partial(trial, *fold, params) for params in draws for fold in folds], concurrent)
+    aucs = [found[d * n_folds:(d + 1) * n_folds] for d in range(len(draws))]
     results = [(d, json.dumps(p, sort_keys=True), float(sum(a) / len(a)))
                for d, (p, a) in enumerate(zip(draws, aucs))]
     res = spark.createDataFrame(results, "draw int, params string, cv_roc_auc double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -57,6 +57,33 @@ def clean_fact(df: DataFrame, present: str = "present", measure: str = "measure"
     return trim_strings(out, upper)
 
 
+class StepCounts:
+    """Rows after each clean step, observed while the cleaned rows are written."""
+
+    NAMES = ("n_input", "n_distinct", "n_present", "n_clean")
+
+    def __init__(self) -> None:
+        self._seen = [Observation() for _ in self.NAMES]
+
+    def watch(self, df: DataFrame, step: int) -> DataFrame:
+        return df.observe(self._seen[step], F.count(F.lit(1)).alias("n"))
+
+    def get(self) -> dict[str, int]:
+        """After an action on the whole cleaned frame; it waits for one."""
+        return {name: int(o.get["n"]) for name, o in zip(self.NAMES, self._seen)}
+
+
+def clean_fact_counted(df: DataFrame, present: str = "present", measure: str = "measure",
+                       upper: Sequence[str] = ()) -> tuple[DataFrame, StepCounts]:
+    """``clean_fact`` and the counts of its steps, which come with the first action that
+    runs all of the frame (a write): the input isn't read again for them."""
+    counts = StepCounts()
+    out = counts.watch(dedup(counts.watch(lower_names(df), 0)), 1)
+    out = counts.watch(out.filter(F.col(present) == 1), 2)
+    out = counts.watch(out.filter(F.col(measure).isNotNull()), 3)
+    return trim_strings(out, upper), counts
+
+
 def clean_audit(df: DataFrame, present: str = "present", measure: str = "measure") -> DataFrame:
     """Row counts after each clean step, in one job: input, distinct,
     present, clean. Dedup is a group-by on every column (nulls equal) with a

@@ -9,8 +9,8 @@ from lamina.plans import oracle as sql
 from lamina.plans.medallion import BatchSources, run_batch
 from lamina.plans.registry import register
 from lamina.session import work_path
-from lamina.sources import sinks
-from lamina.sources.tables import area_dim, fact_frame, read_table, region_dim
+from lamina.sources import versions
+from lamina.sources.tables import area_dim, fact_waves, input_files, read_table, region_dim
 
 ITEM_COLS = ("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
 COUNTED = ("raw_fact", "clean_fact", "published_fact", "published_indicators", "raw_item",
@@ -18,12 +18,11 @@ COUNTED = ("raw_fact", "clean_fact", "published_fact", "published_indicators", "
 
 
 def standin_sources(spark, sf_dir) -> BatchSources:
-    fact = fact_frame(spark, sf_dir)
     items = read_table(spark, sf_dir, "lineitem").select(*ITEM_COLS)
     reference = read_table(spark, sf_dir, "lineitem").select(
         *ITEM_COLS, F.year("l_shipdate").cast("int").alias("ship_year"))
     return BatchSources(
-        fact=[fact.where(F.col("period") < 1998), fact.where(F.col("period") >= 1998)],
+        fact=fact_waves(spark, sf_dir),
         regions=[region_dim(spark, sf_dir)], areas=[area_dim(spark, sf_dir)],
         others={"item": [items]}, reference=reference, reference_partition="ship_year")
 
@@ -49,7 +48,7 @@ _RUNS: dict = {}
 
 def batch_paths(spark, sf_dir) -> dict[str, str]:
     """Run the batch once per session and data set; later queries read its tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, input_files(spark, sf_dir))
     if key not in _RUNS:
         _RUNS[key] = run_batch(spark, standin_sources(spark, sf_dir), work_path(spark, "layers"))
     return _RUNS[key]
@@ -59,7 +58,7 @@ def batch_paths(spark, sf_dir) -> dict[str, str]:
 def q_medallion_run(spark, sf_dir):
     """Write every layer, then count the written tables."""
     paths = batch_paths(spark, sf_dir)
-    return pr.table_counts({name: sinks.read_back(spark, paths[name]) for name in COUNTED})
+    return pr.table_counts({name: versions.read(spark, paths[name]) for name in COUNTED})
 
 
 _ALL_LEVELS_SELECT = sql.INDICATORS_ALL[len(sql.with_gold(sql.AREA_CTE, sql.REGION_CTE,
@@ -68,9 +67,19 @@ _ALL_LEVELS_SELECT = sql.INDICATORS_ALL[len(sql.with_gold(sql.AREA_CTE, sql.REGI
 
 @register("medallion_published_fact", _BATCH_WITH + "\nSELECT * FROM gold")
 def q_medallion_published_fact(spark, sf_dir):
-    return sinks.read_back(spark, batch_paths(spark, sf_dir)["published_fact"])
+    return versions.read(spark, batch_paths(spark, sf_dir)["published_fact"])
 
 
 @register("medallion_published_indicators", _BATCH_WITH + _ALL_LEVELS_SELECT)
 def q_medallion_published_indicators(spark, sf_dir):
-    return sinks.read_back(spark, batch_paths(spark, sf_dir)["published_indicators"])
+    return versions.read(spark, batch_paths(spark, sf_dir)["published_indicators"])
+
+
+@register("medallion_audit", "WITH " + sql.FACT_CTE + """
+SELECT COUNT(*) AS n_input, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM fact)) AS n_distinct,
+       COUNT(CASE WHEN present = 1 THEN 1 END) AS n_present,
+       COUNT(CASE WHEN present = 1 AND measure IS NOT NULL THEN 1 END) AS n_clean
+FROM fact""")
+def q_medallion_audit(spark, sf_dir):
+    """The step counts that the batch observed while it wrote the cleaned fact."""
+    return versions.read(spark, batch_paths(spark, sf_dir)["audit_clean_fact"])

@@ -14,7 +14,7 @@ from lamina.plans.gold_queries import gold
 from lamina.plans.joins import sized_broadcast
 from lamina.plans.registry import register
 from lamina.session import work_path
-from lamina.sources import sinks
+from lamina.sources import sinks, versions
 from lamina.sources.json_dim import extract_json_fields, flatten_nested_record
 from lamina.sources.tables import fact_frame, period_slices, read_table
 from lamina.streaming.incremental import run_incremental, stream_source
@@ -26,12 +26,13 @@ EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
 
 @register("sink_overwrite_roundtrip", sql.GOLD_SELECT)
 def q_sink_overwrite_roundtrip(spark, sf_dir):
-    """Overwrite replaces data and schema: write the fact, then the gold fact
-    (other columns) to the same path; the reload is the second."""
+    """A reload replaces data and schema, atomically: write the fact, then the gold fact
+    (other columns) to the same table; what is read is the second, alone."""
     path = work_path(spark, "overwrite")
-    sinks.write_table(fact_frame(spark, sf_dir), path)
-    sinks.write_table(gold(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    versions.replace(fact_frame(spark, sf_dir), path)
+    versions.replace(gold(spark, sf_dir), path)
+    versions.remove_old(spark, path)
+    return versions.read(spark, path)
 
 
 @register("sink_partitioned_roundtrip", sql.GOLD_SELECT)
@@ -43,11 +44,11 @@ def q_sink_partitioned_roundtrip(spark, sf_dir):
 
 @register("sink_table_roundtrip", sql.GOLD_SELECT)
 def q_sink_table_roundtrip(spark, sf_dir):
-    """Catalog table: created from the raw fact, replaced by the published one, with
-    its schema, and read by name."""
-    name = f"lamina_published_{uuid.uuid4().hex[:12]}"
-    sinks.save_table(fact_frame(spark, sf_dir), name)
-    sinks.save_table(gold(spark, sf_dir), name, partition_by=["period"])
+    """By name in the catalog: made from the raw fact, replaced by the published one,
+    with its schema, and read by name."""
+    name, path = f"lamina_published_{uuid.uuid4().hex[:12]}", work_path(spark, "published")
+    versions.publish(fact_frame(spark, sf_dir), name, path)
+    versions.publish(gold(spark, sf_dir), name, path, partition_by=["period"])
     return spark.table(name)
 
 

@@ -24,7 +24,7 @@ from lamina.operators import enrich as en
 from lamina.operators import indicators as ind
 from lamina.operators import ingest as ing
 from lamina.operators import profile as pr
-from lamina.sources import sinks
+from lamina.sources import versions
 
 
 @dataclass
@@ -41,12 +41,13 @@ class BatchSources:
 
 def run_batch(spark: SparkSession, src: BatchSources, root: str, fmt: str = "parquet",
               upper_codes: Sequence[str] = ()) -> dict[str, str]:
-    """Write every layer under ``root``; returns {table name: path}."""
+    """Write every layer under ``root``; returns {table name: path}. A rerun replaces each
+    table atomically (``sources.versions``): one that stops leaves every table whole."""
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        paths[name] = sinks.write_table(df, f"{root}/{name}", fmt=fmt, partition_by=partition_by)
-        return sinks.read_back(spark, paths[name], fmt=fmt)
+        paths[name] = versions.replace(df, f"{root}/{name}", fmt, partition_by)
+        return versions.read(spark, paths[name])
 
     # raw layer
     raw = {"fact": put("raw_fact", ing.stack_periods(src.fact)),
@@ -56,7 +57,10 @@ def run_batch(spark: SparkSession, src: BatchSources, root: str, fmt: str = "par
         raw[name] = put(f"raw_{name}", ing.stack_periods(frames))
 
     # clean layer (lineage columns stay, as in the reference; dedup keeps them)
-    clean = {"fact": put("clean_fact", cl.clean_fact(raw["fact"], upper=upper_codes))}
+    cleaned, counts = cl.clean_fact_counted(raw["fact"], upper=upper_codes)
+    clean = {"fact": put("clean_fact", cleaned)}
+    put("audit_clean_fact", spark.createDataFrame(
+        [tuple(counts.get().values())], ", ".join(f"{n} long" for n in counts.NAMES)))
     for name in ("regions", "areas", *src.others):
         clean[name] = put(f"clean_{name}", cl.clean_table(raw[name], upper=upper_codes))
     for name, df in clean.items():

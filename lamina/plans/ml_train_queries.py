@@ -30,7 +30,7 @@ from lamina.plans.joins import materialize
 from lamina.plans.registry import register
 from lamina.session import work_path
 from lamina.sources import sinks
-from lamina.sources.tables import read_table
+from lamina.sources.tables import input_files, read_table
 
 EXPLAIN_SALT = "|explain42"
 ATTRIBUTION_ORDERS = 8   # sampled feature orders a row
@@ -39,7 +39,7 @@ _CACHE: dict = {}
 
 
 def _cached(spark: SparkSession, sf_dir: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, input_files(spark, sf_dir), name)
     if key not in _CACHE:
         _CACHE[key] = build()
     return _CACHE[key]

@@ -29,15 +29,37 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def input_files(spark: SparkSession, sf_dir: str) -> tuple:
+    """The files behind the relational stand-ins, with their lengths and times: what a
+    session keeps of an input holds only while they stay the same."""
+    out = []
+    for name in ("region", "nation", "customer", "orders", "lineitem"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)]
+    return tuple(sorted(out))
+
+
 def _null_when_multiple(c: str, modulus: int, key: str = "o_orderkey"):
     return F.when(F.col(key) % modulus == 0, F.lit(None)).otherwise(F.col(c))
 
 
-def fact_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entity fact: one row per order, codes shifted by +1 so 0 means missing."""
+def fact_waves(spark: SparkSession, sf_dir: str, split_year: int = 1998) -> list[DataFrame]:
+    """The fact in two yearly deliveries; each scan skips by the stored date."""
+    orders = read_table(spark, sf_dir, "orders")
+    split = F.make_date(F.lit(split_year), F.lit(1), F.lit(1)).cast(orders.schema["o_orderdate"].dataType)
+    return [fact_frame(spark, sf_dir, F.col("o_orderdate") < split),
+            fact_frame(spark, sf_dir, F.col("o_orderdate") >= split)]
+
+
+def fact_frame(spark: SparkSession, sf_dir: str, wave=None) -> DataFrame:
+    """Entity fact: one row per order, codes shifted by +1 so 0 means missing; of the
+    orders that ``wave`` picks."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         "o_orderpriority")
+    if wave is not None:
+        orders = orders.filter(wave)
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     # customer grows with the data: a shuffle join unless it is proven small
