@@ -58,6 +58,14 @@ def _path(url: str) -> str:
     return rf"regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
 
 
+def _node(url: str) -> str:
+    plain = f"regexp_replace({url}, '(?s)#.*$', '')"
+    site = f"regexp_extract({plain}, '(?s)^(.*?://[^/?#]*)', 1)"
+    rest = f"substr({plain}, length({site}) + 1)"
+    return (f"CASE WHEN {site} = '' THEN {plain} ELSE {_LOWER.format(site)} || "
+            f"CASE WHEN starts_with({rest}, '/') THEN {rest} ELSE '/' || {rest} END END")
+
+
 def _verdict(source: str, key: str) -> str:
     """The longest fitting rule of each row."""
     return f"""(
@@ -72,14 +80,17 @@ def _verdict(source: str, key: str) -> str:
 URL_FILTER = f"""
 WITH RECURSIVE {_RULES},
 tag AS (
-  SELECT regexp_replace(url, '(?s)#.*$', '') AS a, unnest([
-    regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]*)', 1),
-    regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]*)', 1)]) AS link
+  SELECT {_node('url')} AS a, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?i)<link\\b([^<>]*)>', 1),
+                               lambda t: regexp_matches(t, '(?i)\\brel\\s*=\\s*["'']?canonical\\b')),
+                   lambda t: regexp_extract(t, '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]*)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?i)<meta\\b([^<>]*)>', 1),
+                               lambda t: regexp_matches(t, '(?i)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')),
+                   lambda t: regexp_extract(t, '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>]*)', 1)))) AS link
   FROM pages WHERE url IS NOT NULL
 ),
 edge AS (
-  SELECT a, regexp_replace(CASE WHEN starts_with(link, '/') THEN regexp_extract(a, '(?s)^(.*?://[^/?#]*)', 1) || link
-                                ELSE link END, '(?s)#.*$', '') AS b
+  SELECT a, {_node("CASE WHEN starts_with(link, '/') THEN regexp_extract(a, '(?s)^(.*?://[^/?#]*)', 1) || link ELSE link END")} AS b
   FROM tag WHERE coalesce(link, '') <> ''
 ),
 both_ways AS (SELECT a, b FROM edge WHERE a <> b UNION SELECT b, a FROM edge WHERE a <> b),
@@ -91,7 +102,7 @@ by_class AS (
   FROM reach r JOIN said s ON s.url = r.b GROUP BY r.a
 ),
 page AS (
-  SELECT row_number() OVER () AS k, page_id, regexp_replace(url, '(?s)#.*$', '') AS url,
+  SELECT row_number() OVER () AS k, page_id, {_node('url')} AS url,
          {_host('url')} AS host, {_path('url')} AS path FROM pages
 ),
 own AS {_verdict('page', 'k')}

@@ -49,6 +49,52 @@ def test_rules_and_aliases(spark):
     assert {r.page_id: r.verdict for r in urls.judge(df, URL_RULES, more).collect()}[4] == "block"
 
 
+def test_aliases_written_otherwise(spark):
+    """Hosts in capitals, empty paths and later tags are aliases, too."""
+    rows = [page(1, "http://evil.io/p"), page(2, "http://a.io/1", link="http://Evil.io/p"), page(3, "http://q.io"),
+            page(4, "http://a.io/2", link="HTTP://q.io/"), page(5, "http://q.io/x", link="http://Q.IO"),
+            (6, "http://a.io/3", '<link rel=canonical href="/3"><META http-equiv=refresh content="url=/9">'
+                                 '<meta http-equiv="refresh" content="0;url=http://b.net/">', "x", "x"),
+            page(7, "http://evil.io/p#f", meta="http://c.net/"), page(8, "http://q.io?x=1", link="http://d.net/")]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, PAGES), URL_RULES).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, 6, 7, 8}
+    more = spark.createDataFrame([("http://Q.io/", "http://e.net/")], "a string, b string")
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, PAGES), URL_RULES, more).collect()}
+    assert all(got[i] == "block" for i in (3, 4, 5))
+
+
+def test_a_long_list_of_rules_is_joined(spark, monkeypatch):
+    rules = [*URL_RULES, *(urls.Rule("block" if i % 2 else "allow", f"h{i}.io", "/a/"[:1 + i % 3]) for i in range(300)),
+             urls.Rule("block", "io", "/"), urls.Rule("allow", "x.h4.io", "/a/b")]
+    rows = [page(i, f"http://{'x.' * (i % 2)}h{i % 310}.io/{'a/b/c'[:i % 6]}") for i in range(400)]
+    rows += [page(900, None), page(901, "http://example.net/en/x"), page(902, "http://www.h3.io/a/", link="http://h8.io/a/")]
+    df = spark.createDataFrame(rows, PAGES)
+    want = sorted(map(str, urls.judge(df, rules).collect()))
+    monkeypatch.setattr(urls, "CASE_RULES", 10)
+    assert sorted(map(str, urls.judge(df, rules).collect())) == want
+
+
+def test_pages_of_a_megabyte(spark):
+    signs = ["<link ", "<link rel=canonical ", "<meta http-equiv=refresh", "<", "<link>", "href=", "://", "/", "?"]
+    rows = [(i, f"http://{i}.io/", s * (1_000_000 // len(s)), "x", "x") for i, s in enumerate(signs)]
+    rows += [(100 + i, s * (200_000 // len(s)), "", "x", "x") for i, s in enumerate(signs)]
+    got = urls.judge(spark.createDataFrame(rows, PAGES).repartition(8), URL_RULES).collect()
+    assert len(got) == len(rows) and {r.verdict for r in got} == {"allow"}
+
+
+def test_texts_of_trigger_signs(spark):
+    """No text holds a task or ends it: long runs of each kind's own signs."""
+    cards = [f"40418949746{i:05d}" for i in range(3000)]
+    texts = ["a@" + "b." * 100_000, "a@" * 200_000, "a." * 20_000 + "@x.org", "a@" + "b-" * 200_000 + ".com",
+             "\n".join(cards), ", ".join(cards), " ".join(cards[:200])]
+    texts += [s * 200_000 for s in ("0", "-", "@", "=", ":", "+", "(", "AKIA", ". ", "0 ", "DE12 ", "; ", "token=")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: (r.n, r.len) for r in pii.pseudonymise(docs, KEY, count_col="n").select(
+        "doc_id", "n", F.length("text").alias("len")).collect()}
+    assert {i: n for i, (_, n) in got.items()} == {i: len(t) for i, t in enumerate(texts)}
+    assert [got[i][0] for i in range(7)] == [0, 0, 1, 1, 300, 300, 20]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(5, 5), (None, 3), (7, 8), (8, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
