@@ -273,21 +273,53 @@ def _across(table: pa.Table, threshold: int) -> pa.Table:
     """Near pairs between the leaders of two blocks of a key, or within one."""
     key, low, high, block, cls, n = _table(table, "key", "low", "high", "block", "class", "n_shingles")
     sketches = Sketches(table.column("sketch").to_pylist(), n, threshold)
+    left, right = _near_pairs(sketches, key, low, high, block, lambda i, j: np.ones(np.broadcast_shapes(i.shape, j.shape), bool))
+    return pa.table([pa.array(key[left]), pa.array(cls[left]), pa.array(cls[right])], schema=_LED)
+
+
+#: Pairs that sizes allow and sketches are then compared for, at once.
+PAIRS_AT_ONCE = 1 << 18
+
+
+def _near_pairs(sketches: Sketches, key, low, high, block, wanted) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows between the blocks ``low`` and ``high`` of a key (within one block each
+    once) that are ``wanted`` and near. Sizes decide on all pairs of two blocks at once,
+    sketches on many blocks' pairs at once."""
     order = np.lexsort((block, high, low, key))
     new = np.append(True, np.any([x[order][1:] != x[order][:-1] for x in (key, low, high)], axis=0))
     begin = np.flatnonzero(new)
-    left, right = [], []
+    n, threshold = sketches.n, sketches.threshold
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def compare() -> None:
+        if held:
+            i, j = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            good = sketches.near(i, j)
+            found.append((i[good], j[good]))
+
+    size = 0
     for a, b in zip(begin, np.append(begin[1:], len(order))):
         own = order[a:b]
         one = low[own[0]] == high[own[0]]
         first, second = own[block[own] == low[own[0]]], own[block[own] == high[own[0]]]
-        for k, i in enumerate(first):
-            others = second[k + 1:] if one else second
-            near = others[sketches.near(np.full(len(others), i), others)]
-            left += [i] * len(near)
-            right += near.tolist()
-    left, right = np.array(left, np.int64), np.array(right, np.int64)
-    return pa.table([pa.array(key[left]), pa.array(cls[left]), pa.array(cls[right])], schema=_LED)
+        rows = max(1, PAIRS_AT_ONCE // max(1, len(second)))
+        for at in range(0, len(first), rows):
+            i, j = first[at:at + rows, None], second[None, :]
+            ok = wanted(i, j) & (100 * np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]))
+            if one:
+                ok &= np.arange(at, at + len(i))[:, None] < np.arange(len(second))[None, :]
+            x, y = np.nonzero(ok)
+            held.append((i[x, 0], second[y]))
+            size += len(x)
+            if size >= PAIRS_AT_ONCE:
+                compare()
+                size = 0
+    compare()
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -375,26 +407,9 @@ def _apart(table: pa.Table, threshold: int) -> pa.Table:
     key, low, high, block, cls, n, label, major, led = _table(
         table, "key", "low", "high", "block", "class", "n_shingles", "label", "major", "near")
     sketches = Sketches(table.column("sketch").to_pylist(), n, threshold)
-    order = np.lexsort((block, high, low, key))
-    new = np.append(True, np.any([x[order][1:] != x[order][:-1] for x in (key, low, high)], axis=0))
-    begin = np.flatnonzero(new)
-    left, right = [], []
-    for a, b in zip(begin, np.append(begin[1:], len(order))):
-        own = order[a:b]
-        one = low[own[0]] == high[own[0]]
-        first, second = own[block[own] == low[own[0]]], own[block[own] == high[own[0]]]
-        for mine, theirs, whole in ((first, second, True), (second, first, False)):
-            if one and not whole:
-                continue
-            if not whole:       # pairs of two minor ones are found from the first side
-                theirs = theirs[label[theirs] == major[theirs]]
-            for i in mine[label[mine] != major[mine]]:
-                others = theirs[(label[theirs] != label[i]) & ((led[theirs] + led[i]) > 0)]
-                if len(others):
-                    near = others[sketches.near(np.full(len(others), i), others)]
-                    left += [i] * len(near)
-                    right += near.tolist()
-    x, y = cls[np.array(left, np.int64)], cls[np.array(right, np.int64)]
+    left, right = _near_pairs(sketches, key, low, high, block, lambda i, j: (
+        (label[i] != label[j]) & ((label[i] != major[i]) | (label[j] != major[j])) & ((led[i] + led[j]) > 0)))
+    x, y = cls[left], cls[right]
     pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
     return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
