@@ -15,10 +15,12 @@ equal sets are a class; classes are joined, never their members.
   sets have that many, so that both put in all.
 
 Candidates share a key. In each key's group, in blocks of bounded size, sketches
-rule out pairs; each remaining class is verified against one leader. Then every
-pair of a group that verified links have not connected yet is verified as well,
-unless its sketches rule it out. No link between different texts is lost, and a
-group of near copies makes about as many pairs as it has members.
+rule out pairs; each remaining class is verified against one leader. Then, while
+verified links have left components of a group apart, one near pair of each is
+verified, and at last every pair of theirs, unless its sketches rule it out. Only
+components are computed: pairs within one aren't tested. No link that connects two
+components is lost, and a group of near copies makes about as many pairs as it has
+members.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ THRESHOLD = 85
 FEW = 1
 #: Members of a key's group that are compared in one go.
 BLOCK = 512
+#: Rounds in which a component has one pair verified, before all that are left.
+CHOOSING_ROUNDS = 1
 #: Keys that a task collects before it hands them on.
 FLUSH_KEYS = 1 << 19
 
@@ -113,15 +117,21 @@ class Sketches:
 
     def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether sizes and sketches allow the pairs (i, j) to qualify."""
+        return self.margins(i, j) >= 0
+
+    def margins(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """How much farther apart the sketches of the pairs (i, j) might be; negative where
+        they or the sizes rule a pair out."""
         small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
-        out = 100 * small >= self.threshold * large
+        fits = 100 * small >= self.threshold * large
         apart = most_apart(small, large, self.threshold)
+        out = np.full(len(i), -1, np.int64)
         for a in self.matrix:
             for b in self.matrix:
-                at = np.flatnonzero(out & (self.words[i] == a) & (self.words[j] == b))
+                at = np.flatnonzero(fits & (self.words[i] == a) & (self.words[j] == b))
                 for part in np.array_split(at, len(at) * max(a, b) // (1 << 20) + 1):
                     x = self._at(i[part], a, min(a, b)) ^ self._at(j[part], b, min(a, b))
-                    out[part] = np.bitwise_count(x).sum(axis=1) <= apart[part]
+                    out[part] = apart[part] - np.bitwise_count(x).sum(axis=1, dtype=np.int64)
         return out
 
 
@@ -273,7 +283,7 @@ def _across(table: pa.Table, threshold: int) -> pa.Table:
     """Near pairs between the leaders of two blocks of a key, or within one."""
     key, low, high, block, cls, n = _table(table, "key", "low", "high", "block", "class", "n_shingles")
     sketches = Sketches(table.column("sketch").to_pylist(), n, threshold)
-    left, right = _near_pairs(sketches, key, low, high, block, lambda i, j: np.ones(np.broadcast_shapes(i.shape, j.shape), bool))
+    left, right, _ = _near_pairs(sketches, key, low, high, block, lambda i, j: np.ones(np.broadcast_shapes(i.shape, j.shape), bool))
     return pa.table([pa.array(key[left]), pa.array(cls[left]), pa.array(cls[right])], schema=_LED)
 
 
@@ -281,23 +291,24 @@ def _across(table: pa.Table, threshold: int) -> pa.Table:
 PAIRS_AT_ONCE = 1 << 18
 
 
-def _near_pairs(sketches: Sketches, key, low, high, block, wanted) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows between the blocks ``low`` and ``high`` of a key (within one block each
+def _near_pairs(sketches: Sketches, key, low, high, block, wanted) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows, with their margins, between the blocks ``low`` and ``high`` of a key (within one block each
     once) that are ``wanted`` and near. Sizes decide on all pairs of two blocks at once,
     sketches on many blocks' pairs at once."""
     order = np.lexsort((block, high, low, key))
     new = np.append(True, np.any([x[order][1:] != x[order][:-1] for x in (key, low, high)], axis=0))
     begin = np.flatnonzero(new)
     n, threshold = sketches.n, sketches.threshold
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def compare() -> None:
         if held:
             i, j = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            good = sketches.near(i, j)
-            found.append((i[good], j[good]))
+            margin = sketches.margins(i, j)
+            good = margin >= 0
+            found.append((i[good], j[good], margin[good]))
 
     size = 0
     for a, b in zip(begin, np.append(begin[1:], len(order))):
@@ -318,7 +329,7 @@ def _near_pairs(sketches: Sketches, key, low, high, block, wanted) -> tuple[np.n
                 size = 0
     compare()
     if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -401,23 +412,38 @@ def _first_candidates(entries: DataFrame, of: DataFrame, threshold: int) -> tupl
     return led, write_and_read(across, "across")
 
 
-def _apart(table: pa.Table, threshold: int) -> pa.Table:
+def _apart(table: pa.Table, threshold: int, choose: int | None) -> pa.Table:
     """Near pairs between two blocks of a key, or within one, that links haven't
-    connected yet; at least one of a pair is outside the key's largest component."""
+    connected yet; at least one of a pair is outside the key's largest component.
+
+    With ``choose``, of the pairs of each component of a key and two blocks one alone:
+    with 0 the nearest by its sketches, else one that a hash picks."""
     key, low, high, block, cls, n, label, major, led = _table(
         table, "key", "low", "high", "block", "class", "n_shingles", "label", "major", "near")
     sketches = Sketches(table.column("sketch").to_pylist(), n, threshold)
-    left, right = _near_pairs(sketches, key, low, high, block, lambda i, j: (
+    left, right, margin = _near_pairs(sketches, key, low, high, block, lambda i, j: (
         (label[i] != label[j]) & ((label[i] != major[i]) | (label[j] != major[j])) & ((led[i] + led[j]) > 0)))
+    if choose is not None and len(left):
+        pick = -margin if choose == 0 else mix64((cls[left] ^ cls[right] ^ choose).astype(np.uint64)).astype(np.int64)
+        chosen = []
+        for own in (left, right):
+            group = key[own], low[own], high[own], label[own]
+            order = np.lexsort((pick, *group))
+            first = np.append(True, np.any([g[order][1:] != g[order][:-1] for g in group], axis=0))
+            at = order[first]
+            # the largest component needn't choose: the others choose for it
+            chosen.append(at[label[own[at]] != major[own[at]]])
+        chosen = np.unique(np.concatenate(chosen))
+        left, right = left[chosen], right[chosen]
     x, y = cls[left], cls[right]
     pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
     return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _second_candidates(entries: DataFrame, near: DataFrame, label: DataFrame, of: DataFrame,
-                       threshold: int) -> DataFrame:
+                       threshold: int, choose: int | None = None) -> DataFrame:
     """Pairs (a, b) of classes that share a key, are still apart, and that sizes and
-    sketches don't rule out. Of two classes that no leader of the key was near to, the
+    sketches don't rule out; with ``choose`` one of a component's. Of two classes that no leader of the key was near to, the
     first round has compared the sketches already."""
     marked = (entries.select("key", "class")
               .join(label.withColumnRenamed("node", "class"), "class", "left")
@@ -435,7 +461,7 @@ def _second_candidates(entries: DataFrame, near: DataFrame, label: DataFrame, of
               .withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
               .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
     return (blocks.groupBy(F.pmod(F.xxhash64("key", "low", "high"), F.lit(_buckets(of))).alias("bucket"))
-            .applyInArrow(lambda t: _apart(t, threshold), "a long, b long").distinct())
+            .applyInArrow(lambda t: _apart(t, threshold, choose), "a long, b long").distinct())
 
 
 def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_col: str = "doc_id",
@@ -467,16 +493,23 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
     links = write_and_read(_verified(tested, held, threshold), "links")
     label = components(links)
 
-    one, two = (label.select(F.col("node").alias(c), F.col("component").alias(f"l{c}")) for c in "ab")
-    rest = (pairs.join(one, "a", "left").join(two, "b", "left")
-            .filter("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
-    more = rest.union(_second_candidates(entries, near, label, of, threshold)).distinct()
-    more = write_and_read(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
-    if not more.isEmpty():
+    # what links have left apart: first a pair of each component, which connects most
+    # of what there is to connect, then all that is left
+    for choose in (*range(CHOOSING_ROUNDS), None):
+        one, two = (label.select(F.col("node").alias(c), F.col("component").alias(f"l{c}")) for c in "ab")
+        rest = (pairs.join(tested, ["a", "b"], "left_anti").join(one, "a", "left").join(two, "b", "left")
+                .filter("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
+        if choose is not None:
+            rest = rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        more = rest.union(_second_candidates(entries, near, label, of, threshold, choose)).distinct()
+        more = write_and_read(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
+        if more.isEmpty():
+            continue
         lacking = _ends(more).join(held.select("class"), "class", "left_anti")
         if not lacking.isEmpty():
             held = held.union(_sets(lacking, docs, classes, length))
         links = write_and_read(links.union(_verified(more, held, threshold)), "links")
+        tested = tested.union(more)
         label = components(links)
 
     ids = classes.select("class", "doc_id")
