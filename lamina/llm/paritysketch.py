@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import mix64, ship_package, text_chunks, write_and_read
-from lamina.llm.graph import components
+from lamina.llm.graph import components, merged
 from lamina.llm.shingles import SHINGLE, shingle_sets
 
 #: Jaccard 85 / 100, as integers.
@@ -490,8 +490,7 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
     held = _sets(_ends(pairs), docs, classes, length)
     # one leader of each class first; its other leaders where this has left them apart
     tested = write_and_read(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tested")
-    links = write_and_read(_verified(tested, held, threshold), "links")
-    label = components(links)
+    label = components(write_and_read(_verified(tested, held, threshold), "links"))
 
     # what links have left apart: first a pair of each component, which connects most
     # of what there is to connect, then all that is left
@@ -508,9 +507,9 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
         lacking = _ends(more).join(held.select("class"), "class", "left_anti")
         if not lacking.isEmpty():
             held = held.union(_sets(lacking, docs, classes, length))
-        links = write_and_read(links.union(_verified(more, held, threshold)), "links")
+        links = write_and_read(_verified(more, held, threshold), "links")
         tested = tested.union(more)
-        label = components(links)
+        label = write_and_read(merged(label, links), "labels")
 
     ids = classes.select("class", "doc_id")
     member = label.withColumnRenamed("node", "class").join(ids, "class")

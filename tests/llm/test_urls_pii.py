@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -102,6 +103,16 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_merged_components(spark):
+    rng = random.Random(12)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]
+    for first in (0, 60, 150):
+        one, two = (spark.createDataFrame(e, "a long, b long") for e in (edges[:first], edges[first:]))
+        got = {r.node: r.component for r in graph.merged(graph.components(one), two.filter("a != b")).collect()}
+        want = {r.node: r.component for r in graph.components(one.union(two)).collect()}
+        assert got == want
+
+
 # --- pseudonyms: the same permutations in plain Python --------------------------
 
 KEY = "k"
