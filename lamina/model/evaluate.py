@@ -62,13 +62,14 @@ def metric_columns(cells: DataFrame) -> DataFrame:
 
 
 def below_sums(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
-               buckets: int | None = None) -> DataFrame:
+               buckets: int | None = None, neighbours: bool = False) -> DataFrame:
     """Per (group, distinct score): n_pos, n_neg and the counts of positives /
-    negatives with a strictly lower score, without a global window.
+    negatives with a strictly lower score, without a global window. ``neighbours`` adds
+    ``lower``, the next lower score's (n_pos, n_neg); null for the lowest one.
 
     Distinct scores are dealt out by ranges that Spark samples from them, so that
     buckets are even whatever the scores' distribution; running sums are taken over
-    the buckets, and within each one.
+    the buckets, and within each one. Buckets exchange their sums and last scores alone.
     """
     y = F.col(label)
     g = list(group)
@@ -80,19 +81,24 @@ def below_sums(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
                  .repartitionByRange(n, *g, score).withColumn("__b", F.spark_partition_id()))
     per_score = materialize(per_score, "scores")     # read twice: the buckets must be the same
     per_bucket = per_score.groupBy(*g, "__b").agg(F.sum("n_pos").alias("bp"),
-                                                  F.sum("n_neg").alias("bn"))
+                                                  F.sum("n_neg").alias("bn"),
+                                                  F.max_by(F.struct("n_pos", "n_neg"), score).alias("last"))
     wb = Window.partitionBy(*g).orderBy("__b")       # at most n rows a group
     offsets = per_bucket.select(*g, "__b",
                                 (F.sum("bp").over(wb) - F.col("bp")).alias("off_pos"),
-                                (F.sum("bn").over(wb) - F.col("bn")).alias("off_neg"))
+                                (F.sum("bn").over(wb) - F.col("bn")).alias("off_neg"),
+                                *([F.lag("last").over(wb).alias("before")] if neighbours else []))
     ws = Window.partitionBy(*g, "__b").orderBy(score)
     within = per_score.withColumns({
         "in_pos": F.sum("n_pos").over(ws) - F.col("n_pos"),
         "in_neg": F.sum("n_neg").over(ws) - F.col("n_neg")})
+    if neighbours:
+        within = within.withColumn("within", F.lag(F.struct("n_pos", "n_neg")).over(ws))
     j = within.join(sized_broadcast(offsets, derived=True), [*g, "__b"], "inner")
     return j.select(*g, score, "n_pos", "n_neg",
                     (F.col("off_pos") + F.col("in_pos")).alias("pos_below"),
-                    (F.col("off_neg") + F.col("in_neg")).alias("neg_below"))
+                    (F.col("off_neg") + F.col("in_neg")).alias("neg_below"),
+                    *([F.coalesce("within", "before").alias("lower")] if neighbours else []))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
@@ -111,14 +117,31 @@ def roc_auc(df: DataFrame, label: str, score: str, group: Sequence[str] = (),
 def roc_curve_points(df: DataFrame, label: str, score: str,
                      buckets: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score: rates of rows scoring >= it."""
-    s = below_sums(df, label, score, (), buckets)
+    return _roc_points(df, label, score, below_sums(df, label, score, (), buckets), F.lit(True))
+
+
+def roc_curve(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
+    """(threshold, fpr, tpr) of the curve's bends: it starts at (0, 0) with an infinite
+    threshold; of the distinct scores' points those are left out, but for the first and
+    the last, behind which the curve goes on by the same step."""
+    s = below_sums(df, label, score, (), buckets, neighbours=True)
+    step = F.struct("n_pos", "n_neg")
+    first = (F.col("pos_below") + F.col("n_pos") == F.col("__P")) & (F.col("neg_below") + F.col("n_neg") == F.col("__N"))
+    points = _roc_points(df, label, score, s, F.col("lower").isNull() | first | (F.col("lower") != step))
+    start = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
+                                            F.lit(0.0).alias("tpr"))
+    return start.unionByName(points)
+
+
+def _roc_points(df: DataFrame, label: str, score: str, s: DataFrame, keep: Column) -> DataFrame:
     tot = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("P"),
         F.count(F.when(F.col(label) == 0, 1)).alias("N")).first()
     P, N = float(tot["P"]), float(tot["N"])
     tpr = (F.lit(P) - F.col("pos_below")) / F.lit(P) if P else F.lit(None)
     fpr = (F.lit(N) - F.col("neg_below")) / F.lit(N) if N else F.lit(None)
-    return s.select(F.col(score).alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr"))
+    s = s.withColumns({"__P": F.lit(tot["P"]), "__N": F.lit(tot["N"])}).filter(keep)
+    return s.select(F.col(score).alias("threshold"), fpr.cast("double").alias("fpr"), tpr.cast("double").alias("tpr"))
 
 
 def threshold_grid(start: int = fixed.SWEEP_START_PCT, count: int = fixed.SWEEP_POINTS,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from lamina import fixed
-from lamina.plans.joins import DEFAULT_BROADCAST_BYTES, join_null_safe, sized_broadcast
+from lamina.plans.joins import DEFAULT_BROADCAST_BYTES, join_aggregate
 
 INDICATOR_JOIN_KEYS = ("period", "region_code", "area_code", "segment_code")
 
@@ -21,14 +21,14 @@ def drop_overlap(right: DataFrame, left: DataFrame, keys: Sequence[str]) -> Data
 
 
 def join_indicators(fact: DataFrame, indicators: DataFrame,
-                    keys: Sequence[str] = INDICATOR_JOIN_KEYS,
+                    keys: Sequence[str] = INDICATOR_JOIN_KEYS, weight: str = "n_total",
                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Left join of the fact to an aggregated indicator table. The indicator
-    side is broadcast only when proven small; otherwise a shuffle join (AQE
-    splits a hot key's partition)."""
+    """Left join of the fact to an aggregated indicator table, whose column ``weight``
+    counts the rows of a key: broadcast where proven small, else heavy keys and null keys
+    apart from the shuffle join."""
     ind = drop_overlap(indicators, fact, keys)
-    return fact.join(sized_broadcast(ind, max_broadcast_bytes, derived=True), list(keys),
-                     "left")
+    ind = ind.withColumn("__weight", indicators[weight])
+    return join_aggregate(fact, ind, keys, "__weight", max_bytes=max_broadcast_bytes).drop("__weight")
 
 
 def group_rate(df: DataFrame, group: str, outcome: str,
@@ -41,20 +41,21 @@ def group_rate(df: DataFrame, group: str, outcome: str,
     known outcome gets a null rate; null group ids form one group.
 
     Computed as a map-side-combined group-by joined back null-safely, so a hot
-    group costs one row per task in the shuffle, not all its rows.
+    group costs one row per task in the shuffle, not all its rows; where the groups
+    are too many to broadcast, heavy ones are joined apart (``join_aggregate``).
     ``exclude_self`` removes the row's own outcome (leave-one-out).
     """
     y = F.col(outcome)
     stats = df.groupBy(group).agg(F.sum(y).cast("double").alias("__s"),
-                                  F.count(y).alias("__c"))
-    out = join_null_safe(df, stats, [group], "left", max_broadcast_bytes)
+                                  F.count(y).alias("__c"), F.count(F.lit(1)).alias("__n"))
+    out = join_aggregate(df, stats, [group], "__n", null_safe=True, max_bytes=max_broadcast_bytes)
     s, c = F.col("__s"), F.col("__c")
     if exclude_self:
         s = s - F.coalesce(y.cast("double"), F.lit(0.0))
         c = c - F.when(y.isNotNull(), 1).otherwise(0)
         s = F.when(c > 0, s)  # nothing left -> null, like an all-null group
     rate = (s + F.lit(prior_pos)) / (c.cast("double") + F.lit(prior_n))
-    return out.withColumns({rate_col: rate, volume_col: c.cast("bigint")}).drop("__s", "__c")
+    return out.withColumns({rate_col: rate, volume_col: c.cast("bigint")}).drop("__s", "__c", "__n")
 
 
 # Optional derived features: inputs that exist only in some data sets.

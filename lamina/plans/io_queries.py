@@ -15,7 +15,7 @@ from lamina.plans.joins import sized_broadcast
 from lamina.plans.registry import register
 from lamina.session import work_path
 from lamina.sources import sinks, versions
-from lamina.sources.json_dim import extract_json_fields, flatten_nested_record
+from lamina.sources.json_dim import extract_json_fields, flatten_nested_record, json_records
 from lamina.sources.tables import fact_frame, period_slices, read_table
 from lamina.streaming.incremental import run_incremental, stream_source
 
@@ -134,6 +134,29 @@ def q_json_flatten_dimension(spark, sf_dir):
         nested="region", nested_field="name", nested_alias="region_name")
 
 
+@register("json_array_records", """
+SELECT l_orderkey, CASE WHEN NOT bad THEN CAST(l_linenumber AS INTEGER) END AS line,
+       CASE WHEN NOT bad THEN l_linestatus END AS mode, CASE WHEN NOT bad THEN l_returnflag END AS flag, bad
+FROM (SELECT *, l_linenumber = 3 AND l_quantity > 40 AS bad FROM lineitem)""")
+def q_json_array_records(spark, sf_dir):
+    """An order's lines as one payload, an array of records, of which some hold a word in
+    place of the number; the nested value is an object or plain text."""
+    li = read_table(spark, sf_dir, "lineitem")
+    bad = (F.col("l_linenumber") == 3) & (F.col("l_quantity") > 40)
+    number = F.when(bad, F.lit("third")).otherwise(F.col("l_linenumber").cast("string"))
+    number = F.when(bad, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number)
+    flag = F.concat(F.lit('"'), "l_returnflag", F.lit('"'))
+    nested = F.when(F.col("l_linenumber") % 2 == 0, flag).otherwise(F.concat(F.lit('{"name": '), flag, F.lit("}")))
+    record = F.concat(F.lit('{"id": '), number, F.lit(', "mode": "'), "l_linestatus", F.lit('", "flag": '), nested, F.lit("}"))
+    payload = (li.groupBy("l_orderkey").agg(F.array_join(F.collect_list(record), ", ").alias("lines"))
+               .select("l_orderkey", F.concat(F.lit(" ["), "lines", F.lit("]")).alias("payload")))
+    out = flatten_nested_record(
+        json_records(payload, "payload", keep=("l_orderkey",)), "record",
+        top={"line": ("id", "int"), "mode": ("mode", "string")},
+        nested="flag", nested_field="name", nested_alias="flag", keep=("l_orderkey",), bad_alias="bad_record")
+    return out.select("l_orderkey", "line", "mode", "flag", F.col("bad_record").isNotNull().alias("bad"))
+
+
 @register("json_props_extract", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def q_json_props_extract(spark, sf_dir):

@@ -292,6 +292,11 @@ def q_roc_curve_points(spark, sf_dir):
     return fine(ev.roc_curve_points(validation(spark, sf_dir), LABEL, "score_price"), ["fpr", "tpr"])
 
 
+@register("roc_curve", sql.ROC_BENDS)
+def q_roc_curve(spark, sf_dir):
+    return fine(ev.roc_curve(validation(spark, sf_dir), LABEL, "score_price"), ["fpr", "tpr"])
+
+
 @register("threshold_sweep", sql.THRESHOLD_SWEEP)
 def q_threshold_sweep(spark, sf_dir):
     return fine(ev.threshold_sweep(validation(spark, sf_dir), LABEL, "score_price"), ["f1_class0"])

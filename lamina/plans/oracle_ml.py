@@ -272,6 +272,21 @@ SELECT threshold,
        {rf('CAST(SUM(n_pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / P')} AS tpr
 FROM per CROSS JOIN tot"""
 
+ROC_BENDS = "WITH " + EVAL_CTE + f""",
+per AS (SELECT score_price AS threshold,
+               COUNT(CASE WHEN outcome = 1 THEN 1 END) AS n_pos,
+               COUNT(CASE WHEN outcome = 0 THEN 1 END) AS n_neg
+        FROM ev GROUP BY score_price),
+seen AS (SELECT *, SUM(n_neg) OVER up AS fp, SUM(n_pos) OVER up AS tp, SUM(n_pos) OVER () AS P, SUM(n_neg) OVER () AS N,
+                ROW_NUMBER() OVER (ORDER BY threshold DESC) AS i,
+                LEAD(n_pos) OVER (ORDER BY threshold DESC) AS next_pos,
+                LEAD(n_neg) OVER (ORDER BY threshold DESC) AS next_neg
+         FROM per WINDOW up AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT CAST('infinity' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL
+SELECT threshold, {rf('CAST(fp AS DOUBLE) / N')}, {rf('CAST(tp AS DOUBLE) / P')}
+FROM seen WHERE i = 1 OR next_pos IS NULL OR next_pos != n_pos OR next_neg != n_neg"""
+
 SWEEP_CTE = f"""sweep AS (
   SELECT CAST(40 + i AS DOUBLE) / 100 AS threshold,
          COUNT(CASE WHEN outcome = 0 AND score_price < CAST(40 + i AS DOUBLE) / 100 THEN 1 END) AS tp,

@@ -87,6 +87,29 @@ def test_roc_curve_points_brute_force(spark):
         assert tpr == pytest.approx(sum(1 for p, y in pairs if p >= t and y == 1) / P)
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 40])
+def test_roc_curve_bends(spark, buckets):
+    """Points of the curve whose second difference isn't zero, the first and the last."""
+    rng = random.Random(6)
+    pairs = [(round(rng.random(), 2), rng.randint(0, 1)) for _ in range(150)]
+    pairs += [(2 + i / 8, 1) for i in range(20)] + [(-1 - i / 8, 0) for i in range(20)]
+    P = sum(y for _, y in pairs)
+    N = len(pairs) - P
+    scores = sorted({p for p, _ in pairs}, reverse=True)
+    all_points = [(t, sum(1 for p, y in pairs if p >= t and y == 0), sum(1 for p, y in pairs if p >= t and y == 1)) for t in scores]
+    want = [(float("inf"), 0.0, 0.0)]
+    for i, (t, fp, tp) in enumerate(all_points):
+        inner = 0 < i < len(all_points) - 1
+        if not inner or any(all_points[i + 1][k] - 2 * all_points[i][k] + all_points[i - 1][k] for k in (1, 2)):
+            want.append((t, fp / N, tp / P))
+    assert len(want) < len(all_points) - 30
+    df = spark.createDataFrame(pairs, "p double, y int")
+    got = sorted(((r.threshold, r.fpr, r.tpr) for r in ev.roc_curve(df, "y", "p", buckets=buckets).collect()), reverse=True)
+    assert [t for t, *_ in got] == [t for t, *_ in want]
+    for (_, a, b), (_, c, d) in zip(got, want):
+        assert a == pytest.approx(c) and b == pytest.approx(d)
+
+
 def test_sweep_matches_brute_force(spark):
     rng = random.Random(11)
     pairs = [(round(rng.random(), 3), rng.randint(0, 1)) for _ in range(500)]

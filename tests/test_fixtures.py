@@ -260,3 +260,29 @@ def test_zero_denominators_give_null(spark):
     assert fe.derived_features(df).first().income_vulnerability_ratio is None
     one_class = spark.createDataFrame([(0.3, 1), (0.7, 1)], "p double, y int")
     assert ev.roc_auc(one_class, "y", "p").first().roc_auc is None
+
+
+def test_json_records_of_arrays_and_objects(spark):
+    from lamina.sources.json_dim import flatten_nested_record, json_records
+
+    df = spark.createDataFrame([
+        (1, ' [{"id": 1, "region": {"name": "N"}}, {"id": "x", "region": "S"}, null, 7]'), (2, '{"id": 2, "region": "S"}'),
+        (3, "[]"), (4, None), (5, '[{"id": 5'), (6, "{}"), (7, '[{"id": 8, "region": null}]')], "k int, j string")
+    out = flatten_nested_record(json_records(df, "j", keep=("k",)), "record", {"code": ("id", "int")}, "region", "name",
+                                "region_name", keep=("k",), bad_alias="bad")
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert [r for r in got if r[3] is None] == [(1, 1, "N", None), (2, 2, "S", None), (6, None, None, None), (7, 8, None, None)]
+    bad = [r for r in got if r[3] is not None]
+    assert [(r[0], r[1], r[2]) for r in bad] == [(1, None, None), (1, None, None), (5, None, None)]
+    assert {r[3] for r in bad} >= {"7", '[{"id": 5'}
+
+
+def test_value_distribution_reads_its_input_once(spark, tmp_path):
+    from lamina.operators.profile import value_distribution
+
+    spark.range(100).select((F.col("id") % 3).alias("y")).write.parquet(str(tmp_path / "t"))
+    out = value_distribution(spark.read.parquet(str(tmp_path / "t")), "y")
+    assert [(r.y, r.n) for r in out.collect()] == [(0, 34), (1, 33), (2, 33)]
+    assert out.agg(F.sum("pct")).first()[0] == 100
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan or plan.count("FileScan") <= 2

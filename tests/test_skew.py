@@ -46,6 +46,35 @@ def test_group_rate_does_not_shuffle_the_rows(spark, skewed):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_group_rate_of_many_groups_splits_heavy_ones(spark, skewed, exclude_self):
+    """Beyond the broadcast bound: same rows and rates, the null group among them, and the
+    hot group's rows don't meet in one partition."""
+    df, _ = skewed
+    df = df.withColumn("g", F.when(F.col("id") % 17 != 0, F.col("g")))
+    want = fe.group_rate(df, "g", "y", exclude_self=exclude_self)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = fe.group_rate(df, "g", "y", exclude_self=exclude_self, max_broadcast_bytes=0)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        hot = [r["count"] for r in got.filter("g = 1").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(hot) >= 8 and max(hot) <= 2 * sorted(hot)[len(hot) // 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_indicator_join_beyond_the_broadcast_bound(spark, skewed):
+    df, _ = skewed
+    fact = df.withColumn("g", F.when(F.col("id") % 17 != 0, F.col("g")))
+    side = (fact.filter("g != 3").groupBy("g", "period").agg(F.count("*").alias("n_total"), F.sum("x").cast("int").alias("total"))
+            .withColumn("id", F.lit(-1)))
+    want = fact.join(side.drop("id"), ["g", "period"], "left").select("id", "g", "period", "n_total", "total")
+    got = fe.join_indicators(fact, side, ("g", "period"), max_broadcast_bytes=0)
+    assert got.columns.count("id") == 1
+    assert (sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())))
+
+
 def test_indicators_hot_area(spark, skewed):
     df, rows = skewed
     gold = df.select("period", F.lit(1).alias("region_code"), F.lit("R").alias("region_name"),
