@@ -26,8 +26,7 @@ def join_indicators(fact: DataFrame, indicators: DataFrame,
     """Left join of the fact to an aggregated indicator table, whose column ``weight``
     counts the rows of a key: broadcast where proven small, else heavy keys and null keys
     apart from the shuffle join."""
-    ind = drop_overlap(indicators, fact, keys)
-    ind = ind.withColumn("__weight", indicators[weight])
+    ind = drop_overlap(indicators.withColumn("__weight", F.col(weight)), fact, keys)
     return join_aggregate(fact, ind, keys, "__weight", max_bytes=max_broadcast_bytes).drop("__weight")
 
 
