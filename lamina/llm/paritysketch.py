@@ -17,7 +17,7 @@ equal sets are a class; classes are joined, never their members.
 Candidates share a key. In each key's group, in blocks of bounded size, sketches
 rule out pairs; each remaining class is verified against one leader. Then, while
 verified links have left components of a group apart, one near pair of each is
-verified, and at last every pair of theirs, unless its sketches rule it out. Only
+verified, and at last every pair of theirs, unless longer sketches rule it out. Only
 components are computed: pairs within one aren't tested. No link that connects two
 components is lost, and a group of near copies makes about as many pairs as it has
 members.
@@ -42,6 +42,9 @@ THRESHOLD = 85
 FEW = 1
 #: Members of a key's group that are compared in one go.
 BLOCK = 512
+#: Bits of a sketch for each shingle that a qualifying set can differ by: for the leaders of
+#: every key, and for what links have left apart, most of which is just too far apart.
+COARSE, FINE = 4, 16
 #: Rounds in which a component has one pair verified, before all that are left.
 CHOOSING_ROUNDS = 1
 #: Keys that a task collects before it hands them on.
@@ -84,12 +87,12 @@ def identity(s: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
-def sketch(s: np.ndarray, threshold: int) -> bytes:
-    """Parity sketch: a power of two of bits, at least four times what a
+def sketch(s: np.ndarray, threshold: int, times: int = COARSE) -> bytes:
+    """Parity sketch: a power of two of bits, at least ``times`` what a
     qualifying set can differ by. Folding a longer one by XOR gives a shorter one's bits."""
     apart = int(most_apart(len(s), len(s) * 100 // threshold, threshold))
     bits = 64
-    while bits < 4 * apart:
+    while bits < times * apart:
         bits *= 2
     at = (mix64(s ^ _BIT) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -159,27 +162,29 @@ def keys_of(s: np.ndarray, threshold: int, few: int = FEW) -> np.ndarray:
 # --- the tables --------------------------------------------------------------------
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, length: int, threshold: int) -> DataFrame:
-    """doc_id, n_shingles, class, check, sketch; the last three null without shingles or id."""
+    """doc_id, n_shingles, class, check, sketch, fine (a longer sketch); the last four null
+    without shingles or id."""
     ship_package(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()),
-                        ("check", pa.int64()), ("sketch", pa.binary())])
+                        ("check", pa.int64()), ("sketch", pa.binary()), ("fine", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for chunk in text_chunks(batch.column(1)):
                 ids = batch.column(0)[chunk.first:chunk.first + chunk.rows].to_pylist()
-                n, one, two, bits = [], [], [], []
+                n, one, two, bits, fine = [], [], [], [], []
                 for doc_id, s in zip(ids, shingle_sets(chunk, length)):
                     n.append(len(s))
                     a, b = identity(s) if len(s) and doc_id is not None else (None, None)
                     one.append(a)
                     two.append(b)
                     bits.append(sketch(s, threshold) if a is not None else None)
+                    fine.append(sketch(s, threshold, FINE) if a is not None else None)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip((ids, n, one, two, bits), schema.types)], schema=schema)
+                    [pa.array(x, t) for x, t in zip((ids, n, one, two, bits, fine), schema.types)], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, class long, check long, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, class long, check long, sketch binary, fine binary")
 
 
 def shared_keys(docs: DataFrame, id_col: str, text_col: str, length: int, threshold: int,
@@ -477,10 +482,11 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
     table = write_and_read(document_sets(docs, "doc_id", "text", length, threshold), "document-sets")
     classes = write_and_read(table.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("sketch").alias("sketch"), F.min("check").alias("c1"), F.max("check").alias("c2")), "classes")
+        F.first("sketch").alias("sketch"), F.first("fine").alias("fine"), F.min("check").alias("c1"), F.max("check").alias("c2")), "classes")
     if not classes.filter("c1 != c2").isEmpty():
         raise RuntimeError("two different sets share a 64-bit fingerprint")
     of = classes.select("class", "n_shingles", "sketch")
+    fine = classes.select("class", "n_shingles", F.col("fine").alias("sketch"))
 
     entries = shared_keys(docs, "doc_id", "text", length, threshold)
     led, across = _first_candidates(entries, of, threshold)
@@ -500,7 +506,7 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
                 .filter("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
         if choose is not None:
             rest = rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        more = rest.union(_second_candidates(entries, near, label, of, threshold, choose)).distinct()
+        more = rest.union(_second_candidates(entries, near, label, fine, threshold, choose)).distinct()
         more = write_and_read(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
         if more.isEmpty():
             continue
