@@ -39,7 +39,7 @@ RISK_LOW_FROM = 70.0
 # reference library's default), forest (120 trees, depth 14, 75 % rows per tree),
 # boosted trees (160 rounds, rate 0.06, depth 6)
 LOGISTIC_PARAMS = {"maxIter": 1000, "C": 1.0, "tol": 1e-4}
-FOREST_PARAMS = {"numTrees": 120, "maxDepth": 14, "subsamplingRate": 0.75}
+FOREST_PARAMS = {"trees": 120, "depth": 14, "share": 0.75}
 BOOSTED_PARAMS = {"rounds": 160, "step": 0.06, "depth": 6}
 
 # random search: 3 draws, 3 folds, scored by ROC-AUC
@@ -47,5 +47,5 @@ SEARCH_DRAWS = 3
 SEARCH_FOLDS = 3
 BOOSTED_GRID = {"rounds": [120, 200], "depth": [5, 7, 9], "step": [0.03, 0.06],
                 "subsample": [0.8, 1.0], "colsample": [0.7, 0.9]}
-FOREST_GRID = {"numTrees": [100, 160], "maxDepth": [12, 18], "minInstancesPerNode": [5, 10]}
+FOREST_GRID = {"trees": [100, 160], "depth": [12, 18], "min_split": [5, 10]}
 LOGISTIC_GRID = {"C": [0.1, 1.0, 5.0]}

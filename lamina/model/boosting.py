@@ -191,6 +191,22 @@ def _sampled(p: BoostParams, tree: int, block: int, n: int) -> np.ndarray | None
     return draw.random(n) < p.subsample
 
 
+def add_parts(parts: DataFrame, n_parts: int, dtype=np.float64) -> list:
+    """Rows (part, sums) of many tasks, added up by grouped tasks until at most FAN_IN are left."""
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+        total = sum((np.frombuffer(r["sums"], dtype) for r in rows[1:]), np.frombuffer(rows[0]["sums"], dtype))
+        return pa.table({"part": [rows[0]["part"] // FAN_IN], "sums": [total.tobytes()]})
+
+    left = n_parts
+    while left > FAN_IN:
+        parts = (parts.withColumn("__lot", F.floor(F.col("part") / FAN_IN)).groupBy("__lot")
+                 .applyInArrow(lambda t: add(t.select(["part", "sums"])), "part long, sums binary"))
+        left = -(-left // FAN_IN)
+    return sorted(parts.collect(), key=lambda r: r["part"])
+
+
 def _level_sums(blocks: DataFrame, fit: str, trees, grown: Tree, level: list[int], p: BoostParams, n_features: int,
                 base: float, n_parts: int) -> np.ndarray:
     """(node, feature, bin, [gradient, hessian]) sums of the nodes of a level."""
@@ -221,18 +237,7 @@ def _level_sums(blocks: DataFrame, fit: str, trees, grown: Tree, level: list[int
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "sums": [total.tobytes()]},
                                          schema=pa.schema([("part", pa.int64()), ("sums", pa.binary())]))
 
-    def add(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
-        total = sum((np.frombuffer(r["sums"]) for r in rows[1:]), np.frombuffer(rows[0]["sums"]))
-        return pa.table({"part": [rows[0]["part"] // FAN_IN], "sums": [total.tobytes()]})
-
-    parts = blocks.mapInArrow(run, "part long, sums binary")
-    left = n_parts
-    while left > FAN_IN:
-        parts = (parts.withColumn("__lot", F.floor(F.col("part") / FAN_IN)).groupBy("__lot")
-                 .applyInArrow(lambda t: add(t.select(["part", "sums"])), "part long, sums binary"))
-        left = -(-left // FAN_IN)
-    rows = sorted(parts.collect(), key=lambda r: r["part"])         # at most FAN_IN
+    rows = add_parts(blocks.mapInArrow(run, "part long, sums binary"), n_parts)
     return sum((np.frombuffer(r["sums"]) for r in rows), np.zeros(int(np.prod(shape)))).reshape(shape)
 
 
@@ -361,6 +366,9 @@ class SecondOrderTreesModel(Model, HasFeaturesCol, MLReadable, MLWritable):
                 for t, tree in enumerate(self.trees) for i in range(len(tree.feature))]
         return spark.createDataFrame(rows, NODES)
 
+    def _probability(self):
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         from pyspark.ml.functions import array_to_vector
 
@@ -375,7 +383,7 @@ class SecondOrderTreesModel(Model, HasFeaturesCol, MLReadable, MLWritable):
             return pd.Series(margins(m, trees.value, base, depth))
 
         out = dataset.withColumn("margin", margin(vector_to_array(F.col(self.getFeaturesCol()))))
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
+        p = self._probability()
         return out.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - p, p)))
 
     def write(self) -> MLWriter:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lamina import fixed
 from lamina.model.boosting import SecondOrderTrees
+from lamina.model.forest import HistogramForest
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -52,10 +53,11 @@ SEARCH_GRIDS = {"boosted": fixed.BOOSTED_GRID, "forest": fixed.FOREST_GRID,
 def make_classifier(kind: str, params: dict, features_col: str = "features",
                     label_col: str = "label", weight_col: str | None = "weight",
                     n_train: int | None = None, seed: int = fixed.SEED, scale_pos: float = 1.0,
-                    order_col: str = "id", partitions: int = 1):
+                    order_col: str = "id", partitions: int = 1, weights: tuple[float, float] = (1.0, 1.0)):
     """Estimator for a candidate. ``C`` (inverse L2 strength) maps to
-    regParam = 1 / (C * n) for an unscaled sum-of-losses objective."""
-    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    regParam = 1 / (C * n) for an unscaled sum-of-losses objective. ``weights`` are the
+    forest's for class 0 and 1."""
+    from pyspark.ml.classification import LogisticRegression
 
     p = dict(params)
     common = {"featuresCol": features_col, "labelCol": label_col}
@@ -68,10 +70,8 @@ def make_classifier(kind: str, params: dict, features_col: str = "features",
             est.setWeightCol(weight_col)
         return est
     if kind == "forest":
-        est = RandomForestClassifier(seed=seed, **common, **p)
-        if weight_col:
-            est.setWeightCol(weight_col)
-        return est
+        forest = json.dumps({**p, "weight_0": weights[0], "weight_1": weights[1], "seed": seed})
+        return HistogramForest(orderCol=order_col, partitions=partitions, forest=forest, **common)
     if kind == "boosted":
         boost = json.dumps({**p, "scale_pos": scale_pos, "seed": seed})
         return SecondOrderTrees(orderCol=order_col, partitions=partitions, boost=boost, **common)

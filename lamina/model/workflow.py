@@ -119,10 +119,10 @@ def training_matrix(data: ModelData, train: DataFrame | None = None) -> Matrix:
 def fit_classifier(matrix: Matrix, cand: Candidate, scale_pos: float, id_col: str):
     """The classifier alone. Balanced class weights and the regularisation follow the
     rows of this fit; the boosted trees' positive scale is the training split's."""
-    if cand.kind == "boosted":
-        return make_classifier(cand.kind, cand.params, label_col=LABEL, scale_pos=scale_pos, order_col=id_col,
-                               partitions=-(-matrix.n // ROWS_PER_PARTITION)).fit(matrix.rows)
     w = tuple(matrix.n / (2.0 * max(1, c)) for c in (matrix.n_neg, matrix.n_pos))
+    if cand.kind in ("boosted", "forest"):
+        return make_classifier(cand.kind, cand.params, label_col=LABEL, scale_pos=scale_pos, order_col=id_col,
+                               partitions=-(-matrix.n // ROWS_PER_PARTITION), weights=w).fit(matrix.rows)
     parts = training_partitions(matrix.n)
     rows = _weighted(matrix.rows, w).repartition(parts, id_col).sortWithinPartitions(id_col)
     return make_classifier(cand.kind, cand.params, label_col=LABEL, weight_col=WEIGHT,
