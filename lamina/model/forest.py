@@ -54,7 +54,7 @@ def _rng(*key: int) -> np.random.Generator:
 def block_draws(p: ForestParams, sizes: np.ndarray) -> np.ndarray:
     """Draws of each tree from each block: (tree, block). A tree's add up to the share."""
     n = int(sizes.sum())
-    total = max(1, int(round(p.share * n)))
+    total = max(1, int(p.share * n + 0.5))
     return np.stack([_rng(p.seed, t).multinomial(total, sizes / n) for t in range(p.trees)])
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from lamina.sources import sinks
 from lamina.sources.tables import input_files, read_table
 
 EXPLAIN_SALT = "|explain42"
+GRADIENT_LEFT = 0.01     # of the steepest slope at zero coefficients
 ATTRIBUTION_ORDERS = 8   # sampled feature orders a row
 
 _CACHE: dict = {}
@@ -258,6 +260,51 @@ def q_train_check(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register("forest_check", oracle_ml.with_mf() + f"""
+SELECT CAST(t.tree AS INTEGER) AS tree, CAST(FLOOR(COUNT(*) * {fixed.FOREST_PARAMS['share']} + 0.5) AS BIGINT) AS draws,
+       TRUE AS consistent
+FROM labeled l CROSS JOIN range({fixed.FOREST_PARAMS['trees']}) t(tree) WHERE l.split = 'train' GROUP BY t.tree""")
+def q_forest_check(spark, sf_dir):
+    """Each tree draws its share of the training rows exactly; a node's draws are its
+    children's together, every split lowers the impurity and no node is deeper than allowed."""
+    model = fitted(spark, sf_dir, "rf").stages[-1]
+    nodes = model.nodes(spark)
+    child = nodes.select("tree", F.col("node").alias("child"), F.col("cover").alias("below"))
+    sums = (nodes.where("feature >= 0").select("tree", "node", F.explode(F.array("left", "right")).alias("child"))
+            .join(child, ["tree", "child"]).groupBy("tree", "node").agg(F.sum("below").alias("below")))
+    # a leaf holds its share of class 1 over the number of trees
+    ok = F.when(F.col("feature") >= 0, (F.col("below") == F.col("cover")) & (F.col("gain") > 0) & (F.col("cover") >= 2)) \
+        .otherwise(F.col("cover").isNotNull() & F.col("value").between(0, 1.0 / fixed.FOREST_PARAMS["trees"] + 1e-12))
+    return (nodes.join(sums, ["tree", "node"], "left").groupBy("tree")
+            .agg(F.max(F.when(F.col("node") == 0, F.col("cover"))).cast("long").alias("draws"),
+                 F.every(F.coalesce(ok, F.lit(False))).alias("consistent")))
+
+
+@register("logistic_check", f"""
+SELECT unnest({[*mq.NUMERIC, *mq.CATEGORICAL, '(intercept)']!r}) AS feature, TRUE AS stationary""")
+def q_logistic_check(spark, sf_dir):
+    """Of each coefficient: the gradient of the weighted, penalised loss at the fitted point,
+    from sums over the training matrix, is nearly zero against the one at zero coefficients."""
+    m, fit = matrix(spark, sf_dir), fitted(spark, sf_dir, "logreg").stages[-1]
+    names = [*mq.NUMERIC, *mq.CATEGORICAL]
+    coef, n = [float(c) for c in fit.coefficients], m.n
+    weight = F.when(F.col(wf.LABEL) == 1, n / (2.0 * max(1, m.n_pos))).otherwise(n / (2.0 * max(1, m.n_neg)))
+    rows = m.rows.select(vector_to_array(wf.FEATURES).alias("x"), F.col(wf.LABEL).alias("y"), weight.alias("w"))
+    x = [F.col("x")[i] for i in range(len(names))] + [F.lit(1.0)]
+    z = sum((x[i] * F.lit(c) for i, c in enumerate(coef)), F.lit(float(fit.intercept)))
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    sums = rows.select("w", "y", p.alias("p"), F.array(*x).alias("x")).agg(
+        F.sum("w").alias("w"),
+        *[F.sum(F.col("w") * (F.col("p") - F.col("y")) * F.col("x")[i]).alias(f"g{i}") for i in range(len(x))],
+        *[F.sum(F.col("w") * (F.lit(0.5) - F.col("y")) * F.col("x")[i]).alias(f"s{i}") for i in range(len(x))])
+    reg = 1.0 / (fixed.LOGISTIC_PARAMS["C"] * n)
+    start = F.greatest(*[F.abs(F.col(f"s{i}") / F.col("w")) for i in range(len(x))])
+    parts = [F.struct(F.lit(name).alias("feature"), (
+        F.abs(F.col(f"g{i}") / F.col("w") + F.lit(reg * coef[i] if i < len(coef) else 0.0)) <= GRADIENT_LEFT * start)
+        .alias("stationary")) for i, name in enumerate([*names, "(intercept)"])]
+    return sums.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+
+
 # -- boosted trees ---------------------------------------------------------------------
 
 FIRST_TREE_FEATURES = ("l_quantity", "l_discount", "l_tax")
