@@ -19,8 +19,8 @@ def con():
     return duck(SF_ORACLE)
 
 
-#: these fit the boosted trees
-CHECKS = {"train_check", "score_batch_check", "model_roundtrip_check", "attribution_check", "metrics_published"}
+#: these fit the trees
+CHECKS = {"train_check", "forest_check", "score_batch_check", "model_roundtrip_check", "attribution_check", "metrics_published"}
 
 
 @pytest.mark.parametrize("name", [pytest.param(n, marks=pytest.mark.slow) if n in CHECKS else n for n in sorted(ORACLE)])
