@@ -80,6 +80,23 @@ def test_logistic_fit_save_load(spark):
     assert diff == 0.0
 
 
+def test_logistic_scores_in_a_session_that_observed_a_metric(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import Observation
+
+    from lamina.model import workflow as wf
+    from lamina.model.train import REFERENCE_CANDIDATES
+
+    seen = Observation()
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 10}
+    rows = spark.range(200).select("id", (F.col("id") % 7).cast("double").alias("x"),
+                                   (F.col("id") % 3 == 0).cast("double").alias(wf.LABEL))
+    rows = VectorAssembler(inputCols=["x"], outputCol=wf.FEATURES).transform(rows)
+    model = wf.fit_classifier(wf.Matrix(None, rows, 133, 67), REFERENCE_CANDIDATES[0], 1.0, "id")
+    assert model.transform(rows).agg(F.count("prediction")).first()[0] == 200
+
+
 def test_sampled_shapley_additivity(spark):
     from lamina.model import workflow as wf
     from lamina.model.explain import sampled_shapley
