@@ -112,6 +112,36 @@ def test_lots_and_partitions_do_not_change_the_trees(spark, monkeypatch):
         assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and (a.value == b.value).all()
 
 
+def test_subtrees_of_tasks_equal_those_of_levels(spark, monkeypatch):
+    df, _, _ = frame(spark, rows=900, features=5)
+    p = fo.ForestParams(trees=5, depth=7, min_split=3)
+    blocks, cuts = packed(df, p)
+    whole = fo.fit_forest(blocks, cuts, p)                  # each tree in one task
+    monkeypatch.setattr(fo, "SUBTREE_NODES", 3)             # a few nodes counted at once
+    small = fo.fit_forest(blocks, cuts, p)
+    monkeypatch.setattr(fo, "SUBTREE_DRAWS", 0)             # every level in jobs
+    levels = fo.fit_forest(blocks, cuts, p)
+    for a, b, c in zip(whole, small, levels):
+        for name in ("feature", "threshold", "left", "right", "value", "cover", "gain"):
+            assert (getattr(a, name) == getattr(b, name)).all() and (getattr(a, name) == getattr(c, name)).all()
+    monkeypatch.setattr(fo, "SUBTREE_DRAWS", 200)           # levels first, then subtrees
+    for a, t in zip(whole, fo.fit_forest(blocks, cuts, p)):
+        assert (t.feature[0], t.threshold[0]) == (a.feature[0], a.threshold[0]) and t.cover[0] == 675
+        split = np.flatnonzero(t.feature >= 0)
+        assert (t.cover[split] == t.cover[t.left[split]] + t.cover[t.right[split]]).all()
+        assert (t.gain[split] > 0).all() and (t.cover[split] >= 3).all()
+        assert sorted([*t.left[split], *t.right[split]]) == list(range(1, len(t.feature)))
+        assert bo.tree_depth(t) <= 7 and abs(len(t.feature) - len(a.feature)) < len(a.feature) // 2
+
+
+def test_only_few_counts_reach_the_driver(spark, monkeypatch):
+    """Small nodes aren't counted level by level, whatever their number."""
+    seen = []
+    monkeypatch.setattr(fo, "_lot_counts", lambda *a, **k: seen.append(a) or (_ for _ in ()).throw(AssertionError))
+    df, _, _ = frame(spark, rows=500)
+    assert len(fit(df, trees=6, depth=9).trees) == 6 and not seen
+
+
 def test_scores_save_and_attributions(spark):
     df, x, y = frame(spark, rows=800)
     model = fit(df, trees=20, depth=6, min_split=5)
