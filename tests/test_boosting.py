@@ -196,3 +196,34 @@ def test_attributions_add_up(spark):
     rows = long.join(model.transform(df), "id").collect()
     assert len(rows) == 300 and all(r.n == 3 for r in rows)
     assert max(abs(r.phi + ta.expected(model.trees) - r.margin) for r in rows) < 1e-9
+
+
+def test_leaves_are_solved_once_for_all_batches(spark, monkeypatch):
+    df, x, _ = frame(spark, seed=7, features=6)
+    model = fit(df, rounds=3, depth=5, step=0.5)
+    all_leaves = [leaf for t in model.trees for leaf in ta.leaves(t)]
+    rows = np.vstack([x, np.where(np.arange(6) == 0, np.nan, x)])
+    solved = ta.solve(all_leaves)
+    want = ta.shapley_values(rows, all_leaves)
+    monkeypatch.setattr(ta, "SOLVED_FEATURES", 1)           # long paths: the patterns that occur
+    monkeypatch.setattr(ta, "KEPT_BORDERS", 2)
+    assert np.abs(ta.shapley_values(rows, all_leaves) - want).max() < 1e-12
+    monkeypatch.setattr(ta, "pattern_values", None)
+    assert (ta.shapley_values(rows, [], solved) == want).all()
+
+
+def test_few_rows_are_dealt_out_to_parts(spark, monkeypatch):
+    """One partition of blocks gives several parts, and the same trees, with and without samples."""
+    df, _, _ = frame(spark, rows=900)
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 100)
+    seen, level_sums = [], bo._level_sums
+    monkeypatch.setattr(bo, "_level_sums", lambda *a: seen.append(a[-1]) or level_sums(*a))
+    for subsample in (1.0, 0.7):
+        trees = []
+        for most, rows in ((1, 1 << 14), (8, 17)):
+            monkeypatch.setattr(bo, "PARTS", most)
+            monkeypatch.setattr(bo, "PIECE_ROWS", rows)
+            trees.append(fit(df, rounds=3, depth=3, partitions=1, subsample=subsample).nodes(spark).collect())
+        assert [(r.tree, r.node, r.feature, r.threshold) for r in trees[0]] == \
+            [(r.tree, r.node, r.feature, r.threshold) for r in trees[1]]
+    assert set(seen) == {1, 8}
