@@ -227,3 +227,19 @@ def test_few_rows_are_dealt_out_to_parts(spark, monkeypatch):
         assert [(r.tree, r.node, r.feature, r.threshold) for r in trees[0]] == \
             [(r.tree, r.node, r.feature, r.threshold) for r in trees[1]]
     assert set(seen) == {1, 8}
+
+
+def test_margins_by_passes_equal_single_rows(spark, monkeypatch):
+    df, x, _ = frame(spark, seed=9, features=4)
+    trees = fit(df, rounds=4, depth=5, step=0.5).trees
+    rows = np.vstack([x, [np.nan, 3, np.inf, 1], [-np.inf, np.nan, 5, np.nan]])
+    monkeypatch.setattr(bo, "STEP_ROWS", 37)
+    got = bo.margins(rows, trees, 0.25, max(map(bo.tree_depth, trees)))
+    for row, m in zip(rows, got):
+        want = 0.25
+        for t in trees:
+            node = 0
+            while t.feature[node] >= 0:
+                node = t.right[node] if row[t.feature[node]] >= t.threshold[node] else t.left[node]
+            want += t.value[node]
+        assert m == want
