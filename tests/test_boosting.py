@@ -7,6 +7,8 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark import RDD
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -243,3 +245,15 @@ def test_margins_by_passes_equal_single_rows(spark, monkeypatch):
                 node = t.right[node] if row[t.feature[node]] >= t.threshold[node] else t.left[node]
             want += t.value[node]
         assert m == want
+
+
+def test_levels_plan_no_queries_and_many_parts_add_up_the_same(spark, monkeypatch):
+    df, _, _ = frame(spark, seed=5, features=4)
+    blocks = bo.pack(df, "features", "label", "id", 3, bo.feature_cuts(
+        df, [vector_to_array("features")[i] for i in range(4)], 16))
+    cut, parts = bo.pieces(blocks, 4)
+    assert isinstance(cut, RDD) and cut.getNumPartitions() == parts
+    sums = spark.sparkContext.parallelize(range(11), 11).map(lambda i: (i, np.full(3, float(i)).tobytes()))
+    monkeypatch.setattr(bo, "FAN_IN", 2)
+    added = bo._add_up(sums, 11)
+    assert len(added) <= 2 and sum(np.frombuffer(s) for _, s in added).tolist() == [55.0] * 3
