@@ -45,8 +45,8 @@ def run_batch(spark: SparkSession, src: BatchSources, root: str, fmt: str = "par
     table atomically (``sources.versions``): one that stops leaves every table whole."""
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        paths[name] = versions.replace(df, f"{root}/{name}", fmt, partition_by)
+    def put(name: str, df: DataFrame, partition_by: Sequence[str] = (), deal: bool = True) -> DataFrame:
+        paths[name] = versions.replace(df, f"{root}/{name}", fmt, partition_by, deal=deal)
         return versions.read(spark, paths[name])
 
     # raw layer
@@ -70,7 +70,7 @@ def run_batch(spark: SparkSession, src: BatchSources, root: str, fmt: str = "par
     fact = clean["fact"].select(*[c for c in clean["fact"].columns
                                   if c not in (ing.INGESTED_AT, ing.ORIGIN)])
     gold = put("published_fact", en.gold_fact(fact, clean["regions"], clean["areas"]),
-               partition_by=["period"])
+               partition_by=["period"], deal=False)     # years: large tables aren't shuffled for them
     leaf = put("published_leaf_stats", ind.fact_leaf(gold))
     written = []
     for level in ind.LEVELS:
@@ -80,5 +80,5 @@ def run_batch(spark: SparkSession, src: BatchSources, root: str, fmt: str = "par
     put("published_indicators", ind.stacked(written), partition_by=["period"])
     if src.reference is not None:
         put("published_reference", src.reference,
-            partition_by=[src.reference_partition] if src.reference_partition else [])
+            partition_by=[src.reference_partition] if src.reference_partition else [], deal=False)
     return paths

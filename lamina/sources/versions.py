@@ -47,12 +47,12 @@ def _newest(spark: SparkSession, path: str):
 
 
 def stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-          options: dict | None = None) -> tuple[int, str, str]:
+          options: dict | None = None, deal: bool = True) -> tuple[int, str, str]:
     """Write the next version without committing it; the argument of ``commit``."""
     last = _newest(df.sparkSession, path)
     version = last["version"] + 1 if last else 1
     folder = f"v-{version:08d}-{uuid.uuid4().hex[:12]}"
-    sinks.write_table(df, f"{path}/{folder}", "errorifexists", fmt, partition_by, options)
+    sinks.write_table(df, f"{path}/{folder}", "errorifexists", fmt, partition_by, options, deal)
     return version, folder, fmt
 
 
@@ -62,10 +62,10 @@ def commit(spark: SparkSession, path: str, staged: tuple[int, str, str]) -> None
 
 
 def replace(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-            options: dict | None = None) -> str:
+            options: dict | None = None, deal: bool = True) -> str:
     """Replace data and schema of the table at ``path``, or make it. ``df`` may read the
     version that it replaces."""
-    commit(df.sparkSession, path, stage(df, path, fmt, partition_by, options))
+    commit(df.sparkSession, path, stage(df, path, fmt, partition_by, options, deal))
     return path
 
 

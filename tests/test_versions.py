@@ -74,3 +74,13 @@ def test_calls_run_together(spark):
     with pytest.raises(ValueError, match="one of them"):
         run_together(spark, [fails, lambda: spark.range(10).count()])
     assert run_together(spark, []) == []
+
+
+def test_rows_stay_in_their_tasks_where_they_are_not_dealt_out(spark):
+    df = spark.range(0, 4000, 1, 4).withColumn("year", (F.col("id") % 3).cast("int"))
+    kept, dealt = work_path(spark, "kept"), work_path(spark, "dealt")
+    versions.replace(df, kept, partition_by=["year"], deal=False)
+    versions.replace(df, dealt, partition_by=["year"])
+    rows = [sorted(map(tuple, versions.read(spark, p).select("id", "year").collect())) for p in (kept, dealt)]
+    assert rows[0] == rows[1] and len(rows[0]) == 4000
+    assert len(versions.read(spark, kept).inputFiles()) == 4 * 3     # a task's file for each year
