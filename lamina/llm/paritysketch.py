@@ -14,7 +14,7 @@ equal sets are a class; classes are joined, never their members.
   it has more of them than ``spare`` - then a pair may share no others, and both
   sets have that many, so that both put in all.
 
-Candidates share a key. In each key's group, in blocks of bounded size, sketches
+Candidates share a key; of keys that the same classes share, one counts. In each key's group, in blocks of bounded size, sketches
 rule out pairs; each remaining class is verified against one leader. Then, while
 verified links have left components of a group apart, one near pair of each is
 verified, and at last every pair of theirs, unless longer sketches rule it out. Only
@@ -127,14 +127,20 @@ class Sketches:
         they or the sizes rule a pair out."""
         small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
         fits = 100 * small >= self.threshold * large
-        apart = most_apart(small, large, self.threshold)
         out = np.full(len(i), -1, np.int64)
+        at = np.flatnonzero(fits)
+        out[at] = most_apart(small[at], large[at], self.threshold) - self.distances(i[at], j[at])
+        return out
+
+    def distances(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Hamming distances of the pairs (i, j), each in the shorter one's bits."""
+        out = np.zeros(len(i), np.int64)
         for a in self.matrix:
             for b in self.matrix:
-                at = np.flatnonzero(fits & (self.words[i] == a) & (self.words[j] == b))
+                at = np.flatnonzero((self.words[i] == a) & (self.words[j] == b))
                 for part in np.array_split(at, len(at) * max(a, b) // (1 << 20) + 1):
                     x = self._at(i[part], a, min(a, b)) ^ self._at(j[part], b, min(a, b))
-                    out[part] = apart[part] - np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+                    out[part] = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
         return out
 
 
@@ -256,8 +262,19 @@ def shared_keys(docs: DataFrame, id_col: str, text_col: str, length: int, thresh
     return write_and_read(met, "shared-keys")
 
 
+def distinct_groups(entries: DataFrame) -> DataFrame:
+    """``entries`` of one key for each set of classes: keys that the same classes share
+    make the same candidates. Sets are told apart by their size and 128 bits."""
+    sets = entries.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("class")).alias("one"),
+                                      F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("two"))
+    kept = sets.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key")
+    return write_and_read(entries.join(kept, "key", "left_semi"), "distinct-groups")
+
+
 _LED = pa.schema([("key", pa.int64()), ("leader", pa.int64()), ("class", pa.int64())])
 _LED_SHAPE = "key long, leader long, class long"
+_LEFT = _LED.append(pa.field("open", pa.int64()))
+_LEFT_SHAPE = _LED_SHAPE + ", open long"
 
 
 def _table(table: pa.Table, *names: str) -> list[np.ndarray]:
@@ -266,22 +283,35 @@ def _table(table: pa.Table, *names: str) -> list[np.ndarray]:
 
 def _lead(table: pa.Table, threshold: int) -> pa.Table:
     """Of each class of a (key, block): its leader, or itself where no earlier leader
-    is near. All groups of a bucket of keys advance together, one leader a round."""
+    is near. All groups of a bucket of keys advance together, one leader a round.
+
+    A class is ``open`` (1) where a class that another leads may be near to it: where its
+    sketch is no farther from that leader's than both together can be. Leaders are the
+    smallest of those left, so that all three distances are in the leader's bits."""
     key, block, cls, n = _table(table, "key", "block", "class", "n_shingles")
     order = np.lexsort((cls, n, block, key))
     key, block, cls = key[order], block[order], cls[order]
     raw = table.column("sketch").take(pa.array(order)).to_pylist()
     sketches = Sketches(raw, n[order], threshold)
+    n = sketches.n
     leader = np.full(len(key), -1, np.int64)
+    open_ = np.zeros(len(key), np.int64)
     free = np.arange(len(key))
     while len(free):
         new = np.append(True, (key[free[1:]] != key[free[:-1]]) | (block[free[1:]] != block[free[:-1]]))
         head = free[np.flatnonzero(new)[np.cumsum(new) - 1]]      # the first one left of each group
         took = head == free
-        took[~took] = sketches.near(head[~took], free[~took])
+        h, z = head[~took], free[~took]
+        apart, most = sketches.distances(h, z), n[h] * 100 // threshold
+        near = (n[z] <= most) & (apart <= most_apart(n[h], n[z], threshold))
+        led = np.zeros(len(key), bool)
+        led[h[near]] = True
+        reach = most_apart(n[h], most, threshold) + most_apart(most, n[z], threshold)
+        open_[z[led[h] & (apart <= reach)]] = 1
+        took[~took] = near
         leader[free[took]] = head[took]
         free = free[~took]
-    return pa.table([pa.array(key), pa.array(cls[leader]), pa.array(cls)], schema=_LED)
+    return pa.table([pa.array(key), pa.array(cls[leader]), pa.array(cls), pa.array(open_)], schema=_LEFT)
 
 
 def _across(table: pa.Table, threshold: int) -> pa.Table:
@@ -399,12 +429,13 @@ def _buckets(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _first_candidates(entries: DataFrame, of: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """(leaders, across): per block of a key's classes, each class and its leader; and
-    near leaders of different blocks. Columns key, leader, class."""
+def _first_candidates(entries: DataFrame, of: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(leaders, across, left): per block of a key's classes, each class and its leader;
+    near leaders of different blocks (both key, leader, class); and the (key, class) that
+    may have a link in the key besides these, all classes of a key of several blocks."""
     buckets = F.lit(_buckets(of))
     led = write_and_read(entries.join(of, "class").groupBy(F.pmod(F.xxhash64("key", "block"), buckets).alias("bucket"))
-                         .applyInArrow(lambda t: _lead(t, threshold), _LED_SHAPE), "leaders")
+                         .applyInArrow(lambda t: _lead(t, threshold), _LEFT_SHAPE), "leaders")
     several = entries.filter("block > 0").select("key").distinct()
     heads = led.filter("leader = class").select("key", "class").join(several, "key", "left_semi")
     blocks = heads.groupBy("key").agg((F.count("*") / BLOCK).cast("int").alias("last"))
@@ -414,7 +445,9 @@ def _first_candidates(entries: DataFrame, of: DataFrame, threshold: int) -> tupl
              .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
     across = (heads.groupBy(F.pmod(F.xxhash64("key", "low", "high"), buckets).alias("bucket"))
               .applyInArrow(lambda t: _across(t, threshold), _LED_SHAPE))
-    return led, write_and_read(across, "across")
+    left = led.join(several.withColumn("several", F.lit(1)), "key", "left").filter(
+        "leader != class OR open = 1 OR several = 1").select("key", "class")
+    return led.drop("open"), write_and_read(across, "across"), left
 
 
 def _apart(table: pa.Table, threshold: int, choose: int | None) -> pa.Table:
@@ -445,12 +478,12 @@ def _apart(table: pa.Table, threshold: int, choose: int | None) -> pa.Table:
     return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _second_candidates(entries: DataFrame, near: DataFrame, label: DataFrame, of: DataFrame,
+def _second_candidates(left: DataFrame, near: DataFrame, label: DataFrame, of: DataFrame,
                        threshold: int, choose: int | None = None) -> DataFrame:
     """Pairs (a, b) of classes that share a key, are still apart, and that sizes and
     sketches don't rule out; with ``choose`` one of a component's. Of two classes that no leader of the key was near to, the
     first round has compared the sketches already."""
-    marked = (entries.select("key", "class")
+    marked = (left
               .join(label.withColumnRenamed("node", "class"), "class", "left")
               .join(near.select("key", "class").distinct().withColumn("near", F.lit(1)), ["key", "class"], "left")
               .select("key", "class", F.coalesce("component", "class").alias("label"),
@@ -488,8 +521,8 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
     of = classes.select("class", "n_shingles", "sketch")
     fine = classes.select("class", "n_shingles", F.col("fine").alias("sketch"))
 
-    entries = shared_keys(docs, "doc_id", "text", length, threshold)
-    led, across = _first_candidates(entries, of, threshold)
+    entries = distinct_groups(shared_keys(docs, "doc_id", "text", length, threshold))
+    led, across, left = _first_candidates(entries, of, threshold)
     near = led.filter("leader != class").union(across)
     pairs = _ordered(near.select(F.col("leader").alias("a"), F.col("class").alias("b")))
     pairs = write_and_read(pairs, "pairs")
@@ -506,7 +539,7 @@ def join(docs: DataFrame, length: int = SHINGLE, threshold: int = THRESHOLD, id_
                 .filter("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
         if choose is not None:
             rest = rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        more = rest.union(_second_candidates(entries, near, label, fine, threshold, choose)).distinct()
+        more = rest.union(_second_candidates(left, near, label, fine, threshold, choose)).distinct()
         more = write_and_read(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
         if more.isEmpty():
             continue

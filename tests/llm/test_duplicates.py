@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lamina.llm import paritysketch, substrings
 from lamina.llm.shingles import shingle_sets
@@ -190,6 +191,63 @@ def test_sketch_and_pieces_lose_no_pair():
             assert len(np.intersect1d(paritysketch.keys_of(a, 85), paritysketch.keys_of(b, 85)))
 
 
+def test_one_key_of_equal_groups(spark):
+    rows = [(k, c, 0) for k, group in {1: (7, 8), 2: (7, 8), 3: (7, 8, 9), 4: (8, 9), 5: (7, 8, 9)}.items() for c in group]
+    got = paritysketch.distinct_groups(spark.createDataFrame(rows, "key long, class long, block int")).collect()
+    assert sorted((r.key, r["class"]) for r in got) == [(1, 7), (1, 8), (3, 7), (3, 8), (3, 9), (4, 8), (4, 9)]
+
+
+def test_classes_that_a_followed_leader_rules_out_are_closed():
+    """Whatever qualifies with a class that another leads is led too, or open; far ones aren't."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    draw = lambda n: np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+    closed = 0
+    for _ in range(30):
+        base = draw(int(rng.integers(20, 300)))
+        sets = [draw(int(rng.integers(20, 400))) for _ in range(6)]
+        for _ in range(12):
+            base = np.unique(np.append(rng.permutation(base)[len(base) // 14:], draw(int(rng.integers(0, 2 + len(base) // 7)))))
+            sets.append(base)
+        table = pa.table({"key": np.ones(len(sets), np.int64), "block": np.zeros(len(sets), np.int64),
+                          "class": np.arange(len(sets)), "n_shingles": np.array([len(s) for s in sets]),
+                          "sketch": [paritysketch.sketch(s, 80) for s in sets]})
+        got = {r["class"]: r for r in paritysketch._lead(table, 80).to_pylist()}
+        for x, s in enumerate(sets):
+            for y, u in enumerate(sets):
+                both = len(np.intersect1d(s, u))
+                # y has a leader, which isn't x; x and y qualify, and no leader was compared with the other
+                if (x != y and got[y]["leader"] not in (x, y) and got[x]["leader"] == x
+                        and 100 * both >= 80 * (len(s) + len(u) - both)):
+                    head = got[y]["leader"]
+                    assert got[x]["open"] or (len(s), x) < (len(sets[head]), head)
+        closed += sum(not r["open"] and r["leader"] == c for c, r in got.items() if c < 6)
+    assert closed > 30
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    import time
+
+    from lamina.llm.common import write_and_read
+
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, set_to = held(), spark.conf.get(key, None)
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(write_and_read(grouped, "tidy").collect()) == 7
+    assert spark.conf.get(key, None) == set_to
+    own = lambda: {f for f in held() - before if f.endswith(".data")}
+    for _ in range(50):
+        if not own():
+            break
+        time.sleep(0.1)
+    assert not own()
+
+
 def test_shingles_are_those_of_words():
     import pyarrow as pa
 
