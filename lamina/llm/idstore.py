@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ MAGIC = b"LMNTOK01"
 FILE_IDS = 1 << 22
 #: Units that a worker remembers; the memory is emptied beyond.
 CACHE_UNITS = 700_000
+#: Unknown units that the library is given as one text.
+JOINED_UNITS = 64
 _SELECT_EVERY = 256
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
@@ -139,6 +142,10 @@ class UnitEncoder:
         self.tokenizer = _tokenizer(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.code, self.most = {"<u2": "H", "<u4": "I"}[width], cache_units
+        self.width = np.dtype(width)
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         # the word behind the blank -> ids; what was known before the last emptying
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -150,6 +157,21 @@ class UnitEncoder:
             out += [array.array(self.code, e.ids).tobytes() for e in got]
         return out
 
+    def _units(self, words: list[str]) -> list[bytes]:
+        """The ids of each `` word``. Many are one text for the library: a unit's first
+        token, and no other, begins with the blank."""
+        out = []
+        texts = [" " + " ".join(words[a:a + JOINED_UNITS]) for a in range(0, len(words), JOINED_UNITS)]
+        for at, raw in zip(range(0, len(words), JOINED_UNITS), self._library(texts)):
+            own = words[at:at + JOINED_UNITS]
+            begin = np.flatnonzero(self.blank[np.frombuffer(raw, self.width)])
+            if len(begin) != len(own):
+                out += self._library([" " + w for w in own])
+            else:
+                cut = [*(begin * self.width.itemsize).tolist(), len(raw)]
+                out += [raw[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        return out
+
     def _learn(self, words: set[str]) -> None:
         """Make the ids of `` word`` known for words that aren't."""
         if len(self.known) + len(words) > self.most:
@@ -158,40 +180,52 @@ class UnitEncoder:
         new = ((words - ended) | {w[:-1] for w in ended}) - self.known.keys()
         seen = new & self.older.keys()
         self.known.update(zip(seen, map(self.older.__getitem__, seen)))
-        new = list(new - seen)
-        self.known.update(zip(new, self._library([" " + w for w in new])))
+        new -= seen
+        # beside another unit's blank these would be other white space
+        alone = [w for w in new if not w or w[0] == "\n" or w[-1] == "\n"]
+        self.known.update(zip(alone, self._library([" " + w for w in alone])))
+        new = list(new.difference(alone))
+        self.known.update(zip(new, self._units(new)))
         signs = list({w[-1] for w in ended})
         sign = dict(zip(signs, self._library(signs)))
         self.known.update((w, self.known[w[:-1]] + sign[w[-1]]) for w in ended)
 
+    def _assembled(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that fall into units, each distinct unit looked up once."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets, coded = np.asarray(split.offsets, np.int64), split.flatten().dictionary_encode()
+        words, unit = coded.dictionary.to_pylist(), np.array(coded.indices, np.int64)
+        ids = list(map(self.known.get, words))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            self._learn({words[i] for i in missing})
+            for i in missing:
+                ids[i] = self.known[words[i]]
+        # a text's first word has no blank before it
+        first = offsets[:-1]
+        ids += self._library([words[i] for i in unit[first]])
+        unit[first] = len(words) + np.arange(len(texts))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width.itemsize
+        starts, n = np.cumsum(sizes) - sizes, sizes[unit]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1]) + np.repeat(starts[unit] - (ends - n), n)
+        raw = np.frombuffer(b"".join(ids), self.width)[at].tobytes()
+        cut = (np.append(0, ends)[offsets] * self.width.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``width``."""
-        first: dict[int, str] = {}
-        rest: dict[int, list[str]] = {}
-        ids: dict[int, list[bytes | None]] = {}
-        whole: list[int] = []
-        missing: set[str] = set()
-        get = self.known.get
+        whole, rest = [], []
         for i, text in enumerate(texts):
             if ("  " in text or " \n" in text or "\n " in text or any(s in text for s in self.special)
                     or not text.replace("\n", " ").isprintable() and _OTHER_SPACE.search(text)):
                 whole.append(i)
-                continue
-            first[i], *words = text.split(" ")
-            ids[i] = got = list(map(get, words))
-            if None in got:
-                rest[i] = words
-                missing.update([w for w, x in zip(words, got) if x is None])
-        self._learn(missing)
-        get = self.known.__getitem__
+            else:
+                rest.append(i)
         out = [b""] * len(texts)
-        for (i, begin) in zip(first, self._library(list(first.values()))):
-            got = ids[i]
-            if i in rest:
-                got = [get(w) if x is None else x for w, x in zip(rest[i], got)]
-            out[i] = begin + b"".join(got)
-        for i, x in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = x
+        for rows, make in ((rest, self._assembled), (whole, self._library)):
+            for i, x in zip(rows, make([texts[i] for i in rows]) if rows else ()):
+                out[i] = x
         return out
 
 

@@ -76,6 +76,20 @@ def test_unit_encoder_is_the_library():
         assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_unknown_units_share_texts_for_the_library(monkeypatch):
+    library = Tokenizer.from_file(TOKENIZER_FILE)
+    encoder = idstore.UnitEncoder(TOKENIZER_FILE, "<u2")
+    rng, given = random.Random(3), []
+    run = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda texts: given.extend(texts) or run(texts))
+    word = lambda: "".join(rng.choice("abcé1'.!\n中s") for _ in range(rng.randrange(1, 9))).strip("\n") or "x"
+    texts = [" ".join(word() for _ in range(100)) + rng.choice(["", "\n", " "]) for _ in range(30)] + ["", " a", "\n"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    distinct = len({w for t in texts for w in t.split(" ")})
+    assert distinct > 1500 and len(given) < distinct / 4
+
+
 def test_files_messy(spark, monkeypatch):
     library = Tokenizer.from_file(TOKENIZER_FILE)
     docs = frame(spark, MESSY)
