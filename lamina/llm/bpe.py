@@ -13,11 +13,13 @@ library call stays bounded:
 
 from __future__ import annotations
 
+import array
 import base64
 import functools
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -33,12 +35,15 @@ _SPACE_RUN = regex.compile(r"\p{White_Space}{%d,}" % LONG_SPACE)
 
 
 @functools.lru_cache(maxsize=4)
-def _encodings(rank_file: str, pattern: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
-    """The encoding, and one that merges its whole input as a single match."""
+def _encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
     with open(rank_file, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    make = functools.partial(tiktoken.Encoding, mergeable_ranks=ranks, special_tokens={})
-    return make("local", pat_str=pattern), make("whole", pat_str=r"(?s:.+)")
+    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def _encodings(rank_file: str, pattern: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
+    """The encoding, and one that merges its whole input as a single match."""
+    return _encoding(rank_file, pattern), _encoding(rank_file, r"(?s:.+)")
 
 
 def safe_pieces(text: str, piece_chars: int = PIECE_CHARS) -> Iterator[tuple[str, bool]]:
@@ -66,12 +71,13 @@ def safe_pieces(text: str, piece_chars: int = PIECE_CHARS) -> Iterator[tuple[str
 
 def encode_text(text: str, rank_file: str, pattern: str) -> list[int]:
     """Token ids of one text, without special tokens."""
-    plain, whole = _encodings(rank_file, pattern)
+    plain = _encoding(rank_file, pattern)
     if len(text) < LONG_SPACE:
         return plain.encode_ordinary(text)
     ids: list[int] = []
     for piece, is_space in safe_pieces(text):
-        ids += (whole if is_space else plain).encode_ordinary(piece)
+        # few workers ever need the second encoding
+        ids += (_encodings(rank_file, pattern)[1] if is_space else plain).encode_ordinary(piece)
     return ids
 
 
@@ -90,16 +96,17 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, keep: list[str] = ("do
     def run(batches):
         for batch in batches:
             texts = batch.column(text_at)
-            out, held, first = [], 0, 0
+            ids, ends, held, first = array.array("i"), [0], 0, 0
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or ""
-                out.append(encode_text(text, rank_file, pattern))
+                ids.extend(encode_text(text, rank_file, pattern))
+                ends.append(len(ids))
                 held += len(text)
                 if held > 4 << 20 or i + 1 == batch.num_rows:
-                    part = batch.slice(first, len(out)).columns[:len(keep)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*part, pa.array(out, pa.list_(pa.int32()))], names=[*keep, out_col])
-                    out, held, first = [], 0, i + 1
+                    part = batch.slice(first, i + 1 - first).columns[:len(keep)]
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
+                    yield pa.RecordBatch.from_arrays([*part, lists], names=[*keep, out_col])
+                    ids, ends, held, first = array.array("i"), [0], 0, i + 1
 
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     return docs.select(*read).mapInArrow(run, schema)
@@ -113,7 +120,7 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids
     schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())])
 
     def run(batches):
-        enc, _ = _encodings(rank_file, pattern)
+        enc = _encoding(rank_file, pattern)
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index(ids_col))
             held, out, first = 0, [], 0

@@ -47,6 +47,14 @@ def test_space_run_that_the_library_alone_cannot_match():
     assert bpe._encodings(RANK_FILE, P.PATTERN)[0].decode(ids) == " " * 1_000_000 + "x"
 
 
+def test_second_encoding_is_made_for_long_space_alone():
+    bpe._encoding.cache_clear()
+    bpe.encode_text("a text " * 200, RANK_FILE, P.PATTERN)
+    assert bpe._encoding.cache_info().currsize == 1
+    bpe.encode_text("x" + " " * 900, RANK_FILE, P.PATTERN)
+    assert bpe._encoding.cache_info().currsize == 2
+
+
 def test_encode_decode_messy(spark, encoding):
     docs = frame(spark, MESSY)
     got = bpe.decode(bpe.encode(docs, RANK_FILE, P.PATTERN), RANK_FILE, P.PATTERN).collect()
