@@ -235,7 +235,8 @@ def search(index: DataFrame, phrases: list[Phrase], slop: int = 0) -> DataFrame:
     shared = spark.sparkContext.broadcast(phrases)
     wanted = {t for p in phrases for t in p.terms}
     if len(wanted) <= MAX_TERMS:
-        names = spark.createDataFrame([(t,) for t in sorted(wanted)] + [(b"",)], "term binary")
+        # an Arrow table: of a list, Spark would start Python workers on the executors to read it
+        names = spark.createDataFrame(pa.table({"term": pa.array([*sorted(wanted), b""], pa.binary())}))
         index = index.join(F.broadcast(names), "term", "left_semi")   # bounded by MAX_TERMS
     return (index.select("shard", "term", "postings", "lengths").groupBy("shard")
             .applyInArrow(lambda table: _search_shard(table, shared.value, slop), HITS))

@@ -102,6 +102,21 @@ def test_token_stage(spark):
     assert sorted(r.n_tokens for r in got) == sorted(len(bpe.encode_text(t or "", RANK_FILE, P.PATTERN)) for _, t in MESSY)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tokens_run_one_python_worker_a_core(spark):
+    assert plan_of(cp.tokens(spark, frame(spark, MESSY), SF_SMALL)).count("MapInArrow") == 1
+
+
+def test_test_terms_need_no_python_worker(spark):
+    """A list's DataFrame is read by Python workers of their own kind, which then stay."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plan = plan_of(cp.decontaminate(spark, docs, SF_SMALL))
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
 def test_whole_pipeline(spark):
     assert [n for n, _ in cp.STAGES] == ["language", "near_duplicates", "decontaminate", "pseudonyms", "tokens"]
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
