@@ -81,18 +81,7 @@ def encode_text(text: str, rank_file: str, pattern: str) -> list[int]:
     return ids
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, keep: list[str] = ("doc_id",),
-           text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """The columns ``keep`` (the text may be one) and ``out_col`` (array of int).
-
-    A null or empty text has no ids. Repeated rows and null ids are kept as they
-    are; other columns are not read. No shuffle: the file splits are the tasks.
-    """
-    ship_package(docs.sparkSession)
-    keep = list(keep)
-    read = keep if text_col in keep else [*keep, text_col]
-    text_at = read.index(text_col)
-
+def _encoder(rank_file: str, pattern: str, keep: list[str], text_at: int, out_col: str):
     def run(batches):
         for batch in batches:
             texts = batch.column(text_at)
@@ -107,18 +96,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, keep: list[str] = ("do
                     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, np.int32)))
                     yield pa.RecordBatch.from_arrays([*part, lists], names=[*keep, out_col])
                     ids, ends, held, first = array.array("i"), [0], 0, i + 1
+    return run
 
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return docs.select(*read).mapInArrow(run, schema)
-
-
-def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids",
-           out_col: str = "decoded") -> DataFrame:
-    """Adds the raw bytes of the ids as a binary column. Null ids give null; bytes
-    need not be valid UTF-8. An id that the rank file lacks raises KeyError."""
-    ship_package(encoded.sparkSession)
-    schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())])
 
+def _decoder(rank_file: str, pattern: str, ids_col: str, out_col: str):
     def run(batches):
         enc = _encoding(rank_file, pattern)
         for batch in batches:
@@ -134,5 +115,35 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids
                         [*part.columns, pa.array(out, pa.binary())],
                         names=[*batch.schema.names, out_col])
                     held, out, first = 0, [], i + 1
+    return run
+
 
-    return encoded.mapInArrow(run, schema)
+def encode(docs: DataFrame, rank_file: str, pattern: str, keep: list[str] = ("doc_id",),
+           text_col: str = "text", out_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """The columns ``keep`` (the text may be one) and ``out_col`` (array of int).
+
+    A null or empty text has no ids. Repeated rows and null ids are kept as they
+    are; other columns are not read. No shuffle: the file splits are the tasks.
+
+    With ``decoded_col``, this column is what ``decode`` gives. Both steps run in one
+    Python worker then; of ``decode(encode(...))``, Spark runs one for each at a time.
+    """
+    ship_package(docs.sparkSession)
+    keep = list(keep)
+    read = keep if text_col in keep else [*keep, text_col]
+    to_ids = _encoder(rank_file, pattern, keep, read.index(text_col), out_col)
+    fields = [*(docs.schema[c] for c in keep), T.StructField(out_col, T.ArrayType(T.IntegerType()))]
+    if decoded_col is None:
+        return docs.select(*read).mapInArrow(to_ids, T.StructType(fields))
+    to_bytes = _decoder(rank_file, pattern, out_col, decoded_col)
+    schema = T.StructType([*fields, T.StructField(decoded_col, T.BinaryType())])
+    return docs.select(*read).mapInArrow(lambda batches: to_bytes(to_ids(batches)), schema)
+
+
+def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids",
+           out_col: str = "decoded") -> DataFrame:
+    """Adds the raw bytes of the ids as a binary column. Null ids give null; bytes
+    need not be valid UTF-8. An id that the rank file lacks raises KeyError."""
+    ship_package(encoded.sparkSession)
+    schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())])
+    return encoded.mapInArrow(_decoder(rank_file, pattern, ids_col, out_col), schema)

@@ -63,6 +63,14 @@ def test_encode_decode_messy(spark, encoding):
     assert bpe.encode(docs.limit(0), RANK_FILE, P.PATTERN).count() == 0
 
 
+def test_decoded_beside_the_ids(spark):
+    docs = frame(spark, MESSY)
+    both = bpe.encode(docs, RANK_FILE, P.PATTERN, decoded_col="decoded")
+    apart = bpe.decode(bpe.encode(docs, RANK_FILE, P.PATTERN), RANK_FILE, P.PATTERN)
+    assert both.schema == apart.schema
+    assert Counter(map(str, both.collect())) == Counter(map(str, apart.collect()))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**40), max_size=300).map(sorted))
 def test_elias_fano(values):
