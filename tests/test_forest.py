@@ -229,3 +229,10 @@ def test_features_of_a_lot_are_those_of_its_nodes_and_even():
     assert all((lot[i] == fo.node_features(p, 3, int(i), 9, 5)).all() for i in (0, 7, 3999))
     assert abs(np.bincount(lot.ravel(), minlength=9) / 4000 - 1 / 3).max() < 0.04
     assert (fo.lot_features(p, np.full(4000, 4), nodes, 9, 5) != lot).any(axis=1).mean() > 0.9
+
+
+def test_no_rows_score_to_none(spark):
+    df, _, _ = frame(spark, rows=40)
+    model = fit(df, trees=2, depth=2)
+    none = df.where("id < 0").repartition(3)
+    assert model.transform(none).collect() == [] and model.transform(none).count() == 0
